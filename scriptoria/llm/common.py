@@ -49,9 +49,21 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Ids up to this number (about 8 MB) are broadcast; more are joined by shuffle.
+BROADCAST_IDS = 500_000
+
+
+def without_ids(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
+    """Rows of ``docs`` whose id is not in the one column of ``gone``; rows without an id stay."""
+    ids = materialise(gone.toDF("__gone").where("__gone is not null").distinct(), "gone")
+    small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    ids = F.broadcast(ids) if small else ids
+    return docs.join(ids, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+
+
 def estimated_bytes(df: DataFrame) -> int:
     """Catalyst's own size estimate of a plan (for a file scan: the size of its files)."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
 
 
 def shuffle_width(spark: SparkSession) -> int:
@@ -71,7 +83,7 @@ def key_filter_words(keys: DataFrame, key: str) -> list[int]:
     """
     h = mixed(F.col(key))
     rows = (
-        keys.select((h % FILTER_WORDS).alias("w"), F.shiftleft(F.lit(1).cast("long"), (F.shiftright(h, 40) % 64).cast("int")).alias("b"))
+        keys.select((h % FILTER_WORDS).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftright(h, 40) % 64).cast("int")).alias("b"))
         .groupBy("w").agg(F.bit_or("b").alias("b"))
     )
     words = [0] * FILTER_WORDS

@@ -6,7 +6,8 @@ filters on the digest are the runs' filters.  *Compaction* merges all runs and k
 byte for byte: their normalised texts are regrouped with the text itself as part of the key, so equal bytes
 and nothing else merge; map-side combining leaves a row a task for a hot text.
 
-Defined results: a null text counts as empty; rows with a null id take part and lose against any other id;
+Defined results: a null text counts as empty; rows with a null id lose against any other id but are never
+dropped, having no id to name them by;
 repeated rows with one id form one group in which every row of that id is kept or dropped together; an empty
 table gives no rows.  Only the id and text columns are read, so extra columns can't clash.
 """
@@ -16,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import materialise, read_table, scratch_path
+from .common import materialise, read_table, scratch_path, without_ids
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: Hit digests up to this number (about 8 MB) are broadcast for the verification read, beyond it they are joined by shuffle.
@@ -73,13 +74,16 @@ def exact_groups(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id"
     checked = materialise(verify_hits(docs, hits, keep, id_col, text_col), "verified")
     joined = runs.join(checked.drop("clash"), ["digest", "n_bytes", "check"], "left")
     keep_id = F.when(F.col("group_size").isNull(), F.col("id")).otherwise(F.col("keep_id"))
-    return joined.select("id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), F.col("id").eqNullSafe(keep_id).alias("kept"), "digest")
+    return joined.select("id", keep_id.alias("keep_id"), F.coalesce("group_size", F.lit(1).cast("long")).alias("group_size"), (F.col("id").isNull() | F.col("id").eqNullSafe(keep_id)).alias("kept"), "digest")
 
 
 def drop_copies(docs: DataFrame, keep: str = "smallest", id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that stay, with all their columns."""
-    gone = exact_groups(docs, keep, id_col, text_col).where("not kept").select(F.col("id").alias("__gone")).distinct()
-    return docs.join(gone, docs[id_col] == gone["__gone"], "left_anti")
+    """The rows of ``docs`` that stay, with all their columns; of rows that repeat id and text, one stays."""
+    groups = materialise(exact_groups(docs, keep, id_col, text_col), "groups")
+    repeated = groups.where("kept and group_size > 1 and id is not null").groupBy("id", "digest").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
+    if not repeated.isEmpty():
+        docs = docs.dropDuplicates([id_col, text_col])
+    return without_ids(docs, id_col, groups.where("not kept").select("id"))
 
 
 def op2_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -17,11 +17,12 @@ code length; ties go to the alphabetically first language; rows with a null labe
 
 from __future__ import annotations
 
-import math
+import pickle
 
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -179,10 +180,10 @@ def fit(docs: DataFrame, learn: Column, rows_per_language: int = 1000, order: in
 
 def predict(docs: DataFrame, model: PpmModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, lang_pred, score (posterior of the winner under equal priors), bits_per_byte."""
-    held = docs.sparkSession.sparkContext.broadcast(model)
+    held = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
     def score(batches):
-        m = held.value
+        m = pickle.loads(held.value)  # noqa: S301 - made by this job's driver
         for batch in batches:
             texts = batch.column(1)
             lang, prob, rate = [], [], []
@@ -208,12 +209,25 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(3)) == 1
 
 
-def keep_identified(docs: DataFrame) -> DataFrame:
-    """Rows whose text has a language, with all their columns (one pass: a rejected text is null or letterless,
-    or nothing could be learned)."""
-    model = fit(docs, ~held_out())
-    ids = predict(docs, model).where(F.col("lang_pred") != UNDETERMINED).select(F.col("id").alias("__id")).distinct()
-    return docs.join(ids, docs["doc_id"] == ids["__id"], "left_semi")
+def keep_identified(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """Rows whose text has a language, with all their columns: what goes is null, empty or letterless texts (all
+    rows if nothing could be learned).  One pass over the rows, without a shuffle."""
+    model = fit(docs, F.coalesce(~held_out(), F.lit(False)))
+    held = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
+    at = docs.columns.index(text_col)
+
+    def identified(batches):
+        m = pickle.loads(held.value)  # noqa: S301 - made by this job's driver
+        for batch in batches:
+            keep = []
+            texts = batch.column(at)
+            for lo, hi, data, offsets in text_chunks(texts, 1 << 20):
+                bits = m.code_lengths(data, offsets) if m else None
+                for i, t in enumerate(texts.slice(lo, hi - lo).to_pylist()):
+                    keep.append(bool(m and t and _LETTER.search(t) and np.isfinite(bits[i].min())))
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    return docs.mapInArrow(identified, docs.schema)
 
 
 def op1_langid_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -6,15 +6,21 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from . import exact_dedup, langid
+import corpus_pipeline
+
+from . import exact_dedup, langid, minhash, mixing, packing
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_langid_ppm": langid.op1_langid_ppm,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op4_temperature_mixing": mixing.op4_temperature_mixing,
+        "op8_best_fit_packing": packing.op8_best_fit_packing,
+        "op10_minhash_near_dedup": minhash.op10_minhash_near_dedup,
+        "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.OP2_SQL}
+    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op4_temperature_mixing": mixing.OP4_SQL}

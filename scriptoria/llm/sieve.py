@@ -23,7 +23,7 @@ REPEAT_BITS = 26
 COUNT_BITS = 23
 
 
-def bucket_bits(df: DataFrame, per_bucket: int = 4 << 20, most: int = 20) -> int:
+def bucket_bits(df: DataFrame, per_bucket: int = 4 << 20, most: int = 14) -> int:
     """Buckets follow the input's size, so a reducer's share stays about the same."""
     return min(most, max(6, (estimated_bytes(df) // per_bucket).bit_length()))
 
