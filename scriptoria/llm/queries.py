@@ -8,14 +8,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import exact_dedup, langid, minhash, mixing, packing
+from . import exact_dedup, langid, minhash, mixing, packing, substring, suffix_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_langid_ppm": langid.op1_langid_ppm,
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
+        "op3_substring_dedup": substring.op3_substring_dedup,
         "op4_temperature_mixing": mixing.op4_temperature_mixing,
+        "op7_suffix_array_dedup": suffix_dedup.op7_suffix_array_dedup,
         "op8_best_fit_packing": packing.op8_best_fit_packing,
         "op10_minhash_near_dedup": minhash.op10_minhash_near_dedup,
         "pipeline": corpus_pipeline.run,
@@ -23,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op4_temperature_mixing": mixing.OP4_SQL}
+    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op3_substring_dedup": substring.OP3_SQL, "op4_temperature_mixing": mixing.OP4_SQL}

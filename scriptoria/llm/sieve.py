@@ -17,8 +17,8 @@ from pyspark.sql import DataFrame
 from .common import estimated_bytes, shuffle_width
 
 BLOCK_SCHEMA = "bucket long, block binary"
-#: log2 of the number of bits of the repeat filter (8 MB).
-REPEAT_BITS = 26
+#: log2 of the number of bits of the repeat filter (16 MB).
+REPEAT_BITS = 27
 #: log2 of the number of one-byte cells of the frequency sketch (8 MB).
 COUNT_BITS = 23
 
