@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import exact_dedup, langid, minhash, mixing, packing, substring, suffix_dedup
+from . import exact_dedup, fingerprint, langid, licences, minhash, mixing, packing, substring, suffix_dedup, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -17,12 +17,21 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_exact_dedup": exact_dedup.op2_exact_dedup,
         "op3_substring_dedup": substring.op3_substring_dedup,
         "op4_temperature_mixing": mixing.op4_temperature_mixing,
+        "op5_warc_index_merge": warc.op5_warc_index_merge,
+        "op6_multiset_fingerprint": fingerprint.op6_multiset_fingerprint,
         "op7_suffix_array_dedup": suffix_dedup.op7_suffix_array_dedup,
         "op8_best_fit_packing": packing.op8_best_fit_packing,
+        "op9_licence_scan": licences.op9_licence_scan,
         "op10_minhash_near_dedup": minhash.op10_minhash_near_dedup,
         "pipeline": corpus_pipeline.run,
     }
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op2_exact_dedup": exact_dedup.OP2_SQL, "op3_substring_dedup": substring.OP3_SQL, "op4_temperature_mixing": mixing.OP4_SQL}
+    return {
+        "op2_exact_dedup": exact_dedup.OP2_SQL,
+        "op3_substring_dedup": substring.OP3_SQL,
+        "op4_temperature_mixing": mixing.OP4_SQL,
+        "op5_warc_index_merge": warc.OP5_SQL,
+        "op9_licence_scan": licences.OP9_SQL,
+    }
