@@ -4,11 +4,13 @@ Documents with one shingle set form a class, represented by its smallest id; onl
 A representative is posted under (coordinate, value) pairs of its signature.  Two documents that agree on at
 least ``threshold`` of the ``coordinates`` share a pair among the ``coordinates - threshold + 1`` first ones of
 each, in any common order of the pairs; the order takes rare pairs first (a fixed-size sketch of frequencies),
-so values of common passages are hardly ever posted, and pairs that the sketch proves unique are skipped.
-Collisions in a posting list are first tried against the list's smallest document, which joins most copies in a
-number of comparisons linear in the list; lists that still hold several components are then compared in full,
-in blocks of bounded size, counting equal coordinates and keeping those at the threshold.  Each pair kept is
-confirmed on the full shingle sets.  So no list is capped, and no list of copies is expanded into all pairs.
+so values of common passages are hardly ever posted.
+Collisions in a posting list are first tried against the list's smallest document, a number of comparisons linear in
+the list: signatures that agree form *clusters*, and pairs confirmed on the full shingle sets form *components*.
+Two kinds of pairs remain, and both are compared in full, in blocks of bounded size: members of one list in
+different clusters, by counting equal coordinates (those at the threshold are confirmed); and members of one
+cluster in different components, by their sets at once, where each unit only returns the links that join its
+components.  So no list is capped, and no group of copies is expanded into all pairs.
 
 With 64 coordinates and threshold 40, two documents at Jaccard 0.85 are missed with probability about 1e-6.
 
@@ -27,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytescan import LOWER_ASCII, gram_hashes, mix, text_chunks, word_hashes, words
-from .common import FILTER_WORDS, key_filter_words, materialise, read_table, without_ids
+from .common import FILTER_WORDS, key_filter_words, materialise, mixed, read_table, without_ids
 from .components import components
 from .sieve import cell_of, count_sketch
 
@@ -96,7 +98,7 @@ def _pair_keys(sig: np.ndarray) -> np.ndarray:
 
 
 def postings(reps: DataFrame, coordinates: int, threshold: int) -> DataFrame:
-    """(pair, id): each representative under its prefix of rare pairs; pairs proven unique are left out."""
+    """(pair, id): each representative under its prefix of rare pairs."""
     sketch = count_sketch(reps, ["sig"], lambda batch: [_pair_keys(_matrix(batch.column(0))).ravel()])
     held = reps.sparkSession.sparkContext.broadcast(sketch)
     prefix = coordinates - threshold + 1
@@ -110,10 +112,9 @@ def postings(reps: DataFrame, coordinates: int, threshold: int) -> DataFrame:
             # one total order for all: by cell, then by key
             rank = (cells.astype(np.uint64) << np.uint64(56)) | (keys >> np.uint64(8))
             first = np.argsort(rank, axis=1, kind="stable")[:, :prefix]
-            chosen, cell = np.take_along_axis(keys, first, 1), np.take_along_axis(cells, first, 1)
-            row, col = np.nonzero(cell > 1)
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            yield pa.RecordBatch.from_arrays([pa.array(chosen[row, col].astype(np.int64)), pa.array(ids[row].astype(np.int64))], names=["pair", "id"])
+            chosen = np.take_along_axis(keys, first, 1)
+            ids = np.repeat(batch.column(0).to_numpy(), prefix)
+            yield pa.RecordBatch.from_arrays([pa.array(chosen.ravel().astype(np.int64)), pa.array(ids)], names=["pair", "id"])
 
     return reps.select("id", "sig").mapInArrow(post, "pair long, id long")
 
@@ -135,13 +136,12 @@ def agreeing(pairs: DataFrame, sigs: DataFrame, threshold: int) -> DataFrame:
     return both.mapInArrow(test, "u long, v long")
 
 
-def confirm(docs: DataFrame, pairs: DataFrame, numerator: int, k: int, id_col: str, text_col: str) -> DataFrame:
-    """Pairs (u, v) with 100 * |intersection| >= numerator * |union| on their full shingle sets."""
-    spark = docs.sparkSession
+def shingle_table(docs: DataFrame, pairs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, shingles) of the documents of some pairs (and perhaps of a few others): a fixed-size filter picks them."""
     ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v"))
-    held = spark.sparkContext.broadcast(np.array(key_filter_words(ids, "id"), np.int64))
-    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t"))
-    rows = rows.withColumn("h", F.xxhash64("id").bitwiseAND(F.lit((1 << 62) - 1)))
+    held = docs.sparkSession.sparkContext.broadcast(np.array(key_filter_words(ids, "id"), np.int64))
+    rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).where("id is not null")
+    rows = rows.withColumn("h", mixed(F.col("id")))
 
     def sets(batches):
         filt = held.value
@@ -154,10 +154,14 @@ def confirm(docs: DataFrame, pairs: DataFrame, numerator: int, k: int, id_col: s
                 out.extend(s.tobytes() for s in shingle_sets(data, offsets, k))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(out, pa.binary())], names=["id", "shingles"])
 
-    found = materialise(rows.mapInArrow(sets, "id long, shingles binary"), "sets")
+    return materialise(rows.mapInArrow(sets, "id long, shingles binary"), "sets")
+
+
+def confirm(pairs: DataFrame, sets: DataFrame, numerator: int) -> DataFrame:
+    """Pairs (u, v) with 100 * |intersection| >= numerator * |union| on their full shingle sets."""
     both = (
-        pairs.join(found.withColumnsRenamed({"id": "u", "shingles": "su"}), "u")
-        .join(found.withColumnsRenamed({"id": "v", "shingles": "sv"}), "v").select("u", "v", "su", "sv")
+        pairs.join(sets.withColumnsRenamed({"id": "u", "shingles": "su"}), "u")
+        .join(sets.withColumnsRenamed({"id": "v", "shingles": "sv"}), "v").select("u", "v", "su", "sv")
     )
 
     def test(batches):
@@ -169,38 +173,22 @@ def confirm(docs: DataFrame, pairs: DataFrame, numerator: int, k: int, id_col: s
                 keep.append(shared > 0 and 100 * shared >= numerator * (len(p) + len(q) - shared))
             yield batch.select([0, 1]).filter(pa.array(keep, pa.bool_()))
 
-    return both.mapInArrow(test, "u long, v long")
-
+    return both.mapInArrow(test, "u long, v long").distinct()
 
-def block_pairs(mixed: DataFrame, sigs: DataFrame, threshold: int, block: int = BLOCK) -> DataFrame:
-    """Pairs of different components inside posting lists (columns pair, id, comp, n), compared block by block.
 
-    A list of n documents is dealt into ceil(n / block) blocks and a task's unit is two blocks, so no unit
-    exceeds 2 * block documents; only pairs that agree on the threshold become rows.
-    """
+def _units(rows: DataFrame, group: str, payload: str, block: int) -> DataFrame:
+    """Deal the rows of each group (with its size n) into blocks; a unit is a pair of blocks: (group, b1, b2), at most
+    2 * block rows.  Rows: unit's three keys, own block, id, part, payload, sorted by unit."""
     dealt = (
-        mixed.join(sigs.select("id", "sig"), "id").withColumn("nb", F.ceil(F.col("n") / block).cast("long"))
-        .withColumn("b", F.pmod(F.xxhash64("id"), F.col("nb")))
-        .select("pair", "id", "comp", "sig", "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("c"))
-        .select("pair", F.least("b", "c").alias("b1"), F.greatest("b", "c").alias("b2"), "b", "id", "comp", "sig")
+        rows.withColumn("nb", F.ceil(F.col("n") / block).cast("long")).withColumn("b", F.pmod(F.xxhash64("id"), F.col("nb")))
+        .select(group, "id", "part", payload, "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("c"))
+        .select(group, F.least("b", "c").alias("b1"), F.greatest("b", "c").alias("b2"), "b", "id", "part", payload)
     )
-    units = dealt.repartition("pair", "b1", "b2").sortWithinPartitions("pair", "b1", "b2")
+    return dealt.repartition(group, "b1", "b2").sortWithinPartitions(group, "b1", "b2")
 
-    def compare(unit):
-        b = np.array([r[3] for r in unit])
-        ids = np.array([r[4] for r in unit], np.int64)
-        comp = np.array([r[5] for r in unit], np.int64)
-        sig = np.frombuffer(b"".join(r[6] for r in unit), np.uint32).reshape(len(unit), -1)
-        cross = unit[0][1] != unit[0][2]
-        for i in range(len(unit)):
-            other = (comp != comp[i]) & (ids > ids[i])
-            if cross:
-                other &= b != b[i]
-            at = np.flatnonzero(other)
-            if len(at):
-                hit = at[(sig[at] == sig[i]).sum(axis=1) >= threshold]
-                for j in hit:
-                    yield int(ids[i]), int(ids[j])
+
+def _by_unit(compare):
+    """Run ``compare(rows of a unit)``, which yields pairs, over the sorted rows of a partition."""
 
     def scan(batches):
         unit, key = [], None
@@ -225,7 +213,66 @@ def block_pairs(mixed: DataFrame, sigs: DataFrame, threshold: int, block: int =
         if out:
             yield done()
 
-    return units.mapInArrow(scan, "u long, v long").distinct()
+    return scan
+
+
+def _unit_columns(unit):
+    return (np.array([r[k] for r in unit], np.int64) for k in (3, 4, 5))
+
+
+def agreeing_in_lists(lists: DataFrame, sigs: DataFrame, threshold: int, block: int = BLOCK) -> DataFrame:
+    """Pairs of different parts inside posting lists (pair, id, part, n) whose signatures agree on the threshold."""
+
+    def compare(unit):
+        b, ids, part = _unit_columns(unit)
+        sig = np.frombuffer(b"".join(r[6] for r in unit), np.uint32).reshape(len(unit), -1)
+        cross = unit[0][1] != unit[0][2]
+        for i in range(len(unit)):
+            other = (part != part[i]) & (ids > ids[i])
+            if cross:
+                other &= b != b[i]
+            at = np.flatnonzero(other)
+            if len(at):
+                for j in at[(sig[at] == sig[i]).sum(axis=1) >= threshold]:
+                    yield int(ids[i]), int(ids[j])
+
+    return _units(lists.join(sigs.select("id", "sig"), "id"), "pair", "sig", block).mapInArrow(_by_unit(compare), "u long, v long").distinct()
+
+
+def joining_links(clusters: DataFrame, sets: DataFrame, numerator: int, block: int = BLOCK) -> DataFrame:
+    """Links between different components (part) inside clusters (cluster, id, part, n), on full sets: of each unit a
+    set of links that joins all its rows that links join."""
+
+    def compare(unit):
+        b, ids, part = _unit_columns(unit)
+        own = [np.frombuffer(r[6], np.uint64) for r in unit]
+        size = np.array([len(x) for x in own])
+        if not size.all():
+            return
+        vocabulary, flat = np.unique(np.concatenate(own), return_inverse=True)
+        edge = np.cumsum(size) - size
+        label = part.copy()
+        names, counts = np.unique(part, return_counts=True)
+        largest = names[np.argmax(counts)]
+        cross = unit[0][1] != unit[0][2]
+        mask = np.zeros(len(vocabulary), np.int32)
+        # every pair of two components has a member outside the largest one
+        for i in np.flatnonzero(part != largest):
+            other = label != label[i]
+            if cross:
+                other &= b != b[i]
+            if not other.any():
+                continue
+            mine = flat[edge[i] : edge[i] + size[i]]
+            mask[mine] = 1
+            shared = np.add.reduceat(mask[flat], edge)
+            mask[mine] = 0
+            for j in np.flatnonzero(other & (shared > 0) & (100 * shared >= numerator * (size + size[i] - shared))):
+                if label[j] != label[i]:
+                    yield int(min(ids[i], ids[j])), int(max(ids[i], ids[j]))
+                    label[label == label[j]] = label[i]
+
+    return _units(clusters.join(sets, "id"), "cluster", "shingles", block).mapInArrow(_by_unit(compare), "u long, v long").distinct()
 
 
 def near_duplicates(
@@ -247,22 +294,31 @@ def near_duplicates(
     members = materialise(members.distinct(), "members")
     reps = materialise(filled.join(classes.select(F.col("rep").alias("id"), "set_key"), ["id", "set_key"], "left_semi").select("id", "sig").dropDuplicates(["id"]), "reps")
 
-    posted = materialise(postings(reps, coordinates, threshold), "postings")
-    lists = posted.groupBy("pair").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
+    every = materialise(postings(reps, coordinates, threshold), "every-posting")
+    lists = every.groupBy("pair").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
     lists = materialise(lists, "lists")
+    posted = materialise(every.join(lists.select("pair"), "pair", "left_semi"), "postings")
     stars = posted.join(lists, "pair").where("id <> leader").select(F.col("leader").alias("u"), F.col("id").alias("v")).distinct()
     candidates = materialise(agreeing(stars, reps, threshold), "candidates")
-    links = materialise(confirm(docs, candidates, numerator, shingle, id_col, text_col), "links")
-
-    comp = materialise(components(links), "star-components")
-    held = posted.join(lists.drop("leader"), "pair").join(comp.withColumnRenamed("node", "id"), "id", "left")
-    held = materialise(held.select("pair", "id", "n", F.coalesce("component", "id").alias("comp")), "held")
-    several = held.groupBy("pair").agg(F.min("comp").alias("a"), F.max("comp").alias("b")).where("a <> b").select("pair")
-    rest = block_pairs(held.join(several, "pair", "left_semi"), reps, threshold)
-    rest = materialise(rest.join(candidates, ["u", "v"], "left_anti"), "rest")
-    more = confirm(docs, rest, numerator, shingle, id_col, text_col)
-
-    edges = links.union(more).union(members.where("id <> rep").select(F.col("rep").alias("u"), F.col("id").alias("v")))
+    sets = shingle_table(docs, candidates, shingle, id_col, text_col)
+    links = materialise(confirm(candidates, sets, numerator), "links")
+
+    def part(edges: DataFrame, name: str) -> DataFrame:
+        return materialise(components(edges).toDF("id", name), name)
+
+    cluster, comp = part(candidates, "cluster"), part(links, "component")
+    # members of one cluster in different components
+    placed = cluster.join(comp, "id", "left").select("id", "cluster", F.coalesce("component", "id").alias("part"))
+    open_ = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("cluster", "n")
+    joining = materialise(joining_links(placed.join(open_, "cluster"), sets, numerator), "joining")
+    # members of one list in different clusters
+    listed = posted.join(lists.drop("leader"), "pair").join(cluster, "id", "left").select("pair", "id", "n", F.coalesce("cluster", "id").alias("part"))
+    listed = materialise(listed, "listed")
+    several = listed.groupBy("pair").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("pair")
+    rest = materialise(agreeing_in_lists(listed.join(several, "pair", "left_semi"), reps, threshold), "rest")
+    more = confirm(rest, shingle_table(docs, rest, shingle, id_col, text_col), numerator) if not rest.isEmpty() else rest
+
+    edges = links.union(joining).union(more).union(members.where("id <> rep").select(F.col("rep").alias("u"), F.col("id").alias("v")))
     whole = components(edges)
     out = sigs.select("id", "n_shingles").join(whole.withColumnRenamed("node", "id"), "id", "left")
     return out.select("id", "n_shingles", F.coalesce("component", "id").alias("component_id")).withColumn("kept", F.col("id").eqNullSafe(F.col("component_id")))

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import materialise, read_table
+from .common import BROADCAST_IDS, materialise, read_table
 
 #: Documents a block.
 BLOCK_DOCS = 1024
@@ -93,7 +93,8 @@ def mixed_rows(docs: DataFrame, entropy_share: float = 1.0, max_repeats: float =
     more = mix(docs, entropy_share, max_repeats, cover=True, id_col=id_col).where("copies > 1").groupBy("id").agg(F.max("copies").alias("__copies"))
     names = docs.columns
     more = materialise(more.withColumnRenamed("id", "__id"), "copies")
-    joined = docs.join(more, F.col(id_col).cast("long") == F.col("__id"), "left")
+    small = more.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
+    joined = docs.join(F.broadcast(more) if small else more, F.col(id_col).cast("long") == F.col("__id"), "left")
     again = joined.withColumn("__n", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(F.coalesce("__copies", F.lit(1).cast("long")), F.lit(1).cast("long")))))
     return again.select(*[F.col(f"`{c}`") for c in names])
 

@@ -19,8 +19,8 @@ from .common import estimated_bytes, shuffle_width
 BLOCK_SCHEMA = "bucket long, block binary"
 #: log2 of the number of bits of the repeat filter (16 MB).
 REPEAT_BITS = 27
-#: log2 of the number of one-byte cells of the frequency sketch (8 MB).
-COUNT_BITS = 23
+#: log2 of the number of one-byte cells of the frequency sketch (16 MB).
+COUNT_BITS = 24
 
 
 def bucket_bits(df: DataFrame, per_bucket: int = 4 << 20, most: int = 14) -> int:
