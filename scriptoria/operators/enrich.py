@@ -12,6 +12,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from scriptoria.functions import fixed
+from scriptoria.scratch import materialise
 
 from .normalize import SNAPSHOT, analysis_lines, changed, is_analysis_noise, looks_weak, merge_enrichment, normalise, with_needs_enrichment
 
@@ -93,13 +94,15 @@ def enrich(docs: DataFrame, provider: Callable[[DataFrame], DataFrame], limit: i
         gated = budgeted(gated, "needsEnrichment", ["slug", "position"], limit)
     else:
         gated = gated.withColumn("inBudget", F.lit(True))
+    # a written table: predicates on the gate would otherwise be expanded into all title rules, branch by branch
+    gated = materialise(gated, "gated")
     base = docs.columns
     ready = normalise(gated.where("not needsEnrichment").withColumn("_old", F.struct(*SNAPSHOT))).withColumn("_new", F.struct(*SNAPSHOT))
     ready = ready.select(*base, F.when(changed("_old", "_new"), "normalised").otherwise("ready").alias("outcome"))
     asked = gated.where("needsEnrichment and inBudget")
     answers = provider(candidates(asked)).withColumn("ai", valid_record(F.col("record"))).drop("record")
     joined = asked.join(answers, ["slug", "position"], "left").withColumn("_old", F.struct(*SNAPSHOT))
-    joined = joined.withColumn("evidence", F.array_join(F.concat("header", "footerLines", F.slice("bodyLines", 1, 3)), "\n"))
+    joined = materialise(joined, "answered").withColumn("evidence", F.array_join(F.concat("header", "footerLines", F.slice("bodyLines", 1, 3)), "\n"))
     got = merge_enrichment(joined.where("ai is not null"), "evidence").withColumn("_new", F.struct(*SNAPSHOT))
     got = got.select(*base, F.when(changed("_old", "_new"), "changed").otherwise("same").alias("outcome"))
     stop = F.when(F.coalesce(is_unavailable(F.col("status"), F.col("error")), F.lit(False)), F.raise_error(F.lit("the provider is not available"))).otherwise(F.lit("failed"))

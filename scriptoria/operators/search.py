@@ -33,6 +33,10 @@ def stems(words: pd.Series) -> pd.Series:
     return words.map(lambda ws: None if ws is None else [known.setdefault(w, stem(w)) for w in ws])
 
 
+def _placed(terms: Column, offset: Column, weight: str) -> Column:
+    return F.transform(terms, lambda t, k: F.struct(t.alias("term"), (k + 1 + offset).alias("pos"), F.lit(weight).alias("weight")))
+
+
 def token_table(docs: DataFrame, key: list[str], fields: list[tuple[str, str]], stemmed: bool = False, stop: list[str] | None = None) -> DataFrame:
     """(key, term, pos, weight) of all fields, given as (column, weight class) in the order of their positions."""
     prepared = docs.select(*key, *[tokens(F.col(c)).alias(f"_f{i}") for i, (c, _) in enumerate(fields)])
@@ -41,7 +45,7 @@ def token_table(docs: DataFrame, key: list[str], fields: list[tuple[str, str]],
     offset = F.lit(0)
     parts = []
     for i, (_, weight) in enumerate(fields):
-        parts.append(F.transform(F.col(f"_s{i}"), lambda t, k, o=offset, w=weight: F.struct(t.alias("term"), (k + 1 + o).alias("pos"), F.lit(w).alias("weight"))))
+        parts.append(_placed(F.col(f"_s{i}"), offset, weight))
         offset = offset + F.size(f"_f{i}")
     flat = prepared.select(*key, F.explode(F.concat(*parts)).alias("t")).select(*key, "t.term", "t.pos", "t.weight")
     return flat.where(~F.col("term").isin(*stop)) if stop else flat
