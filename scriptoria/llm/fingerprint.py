@@ -112,43 +112,44 @@ def fingerprint_documents(docs: DataFrame, id_col: str = "doc_id", text_col: str
     repeated = not base.groupBy("id").agg(F.count(F.lit(1)).alias("n")).where("n > 1 or id is null").isEmpty()
     if repeated:  # rows get a key of their own and the digest of their text as second order
         base = materialise(base.withColumn("key", F.monotonically_increasing_id()).withColumn("o2", F.sha2("t", 256)), "keyed")
+        ids = base.select("key", "id")
+        order = base.select("key", F.col("id").alias("o1"), "o2")
     else:
-        base = base.withColumn("key", F.col("id")).withColumn("o2", F.lit(""))
-    sizes = base.select("key", F.col("id").alias("o1"), "o2", F.length("t").alias("n_chars"))
-    follows = materialise(next_rows(sizes.drop("n_chars")), "next")
-    before = follows.withColumnsRenamed({"key": "previous", "next": "key"})
-    asked = before.join(sizes.select(F.col("key").alias("previous"), F.floor(F.col("n_chars") / 4).cast("int").alias("k")), "previous")
-    donors = base.select("key", "t").join(asked, "key").where("k > 0").select(F.col("previous").alias("key"), F.expr("substring(t, 1, k)").alias("gift"))
-    given = base.select("key", "id", "t").join(donors, "key", "left")
+        base = base.select(F.col("id").alias("key"), "t")
+        ids, order = None, base.select("key", F.col("key").alias("o1"), F.lit("").alias("o2"))
+    follows = materialise(next_rows(order), "next")
+    # both uses of the texts have one shape, so one exchange serves them
+    texts = base.where("key is not null").select("key", "t")
+    sizes = base.where("key is not null").select(F.col("key").alias("previous"), F.floor(F.length("t") / 4).cast("int").alias("k"))
+    asked = materialise(follows.withColumnsRenamed({"key": "previous", "next": "key"}).join(sizes, "previous").where("k > 0"), "asked")
+    donors = texts.join(asked, "key").select(F.col("previous").alias("key"), F.expr("substring(t, 1, k)").alias("gift"))
     kept = F.expr("substring(t, 1, cast(length(t) - floor(length(t) / 4) as int))")
-    texts = given.select("key", "id", F.col("t").alias("own"), F.concat(kept, F.coalesce("gift", F.lit(""))).alias("edited"))
-    return _compare(texts, follows)
+    both = texts.join(donors, "key", "left").select("key", F.col("t").alias("own"), F.concat(kept, F.coalesce("gift", F.lit(""))).alias("edited"))
+    out = _compare(both, follows)
+    return out.withColumnRenamed("key", "id") if ids is None else ids.join(out, "key").drop("key")
 
 
 def _compare(texts: DataFrame, follows: DataFrame) -> DataFrame:
-    """Fingerprints of both texts of a row in one aggregation over its pieces."""
-    both = texts.select("key", "id", F.explode(F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("own").alias("t")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("t")))).alias("v"))
-    rows = both.select("key", "id", "v.kind", "v.t")
+    """Fingerprints of both texts of a row in one hash aggregation over its pieces, then the likenesses."""
+    both = texts.select("key", F.explode(F.array(F.struct(F.lit(0).alias("kind"), F.col("own").alias("t")), F.struct(F.lit(1).alias("kind"), F.col("edited").alias("t")))).alias("v"))
+    rows = both.select("key", "v.kind", "v.t").withColumns({"n_chars": F.length("t").cast("long"), "sha": F.unhex(F.sha2(F.col("t").cast("binary"), 256))})
     lines = F.when(F.length("t") > 0, F.split("t", "\n")).otherwise(F.array(F.lit(None).cast("string")))
-    head = F.struct("key", "id", "kind", F.length("t").cast("long").alias("n_chars"), F.sha2(F.col("t").cast("binary"), 256).alias("sha"))
-    paragraphs = rows.select("key", head.alias("head"), F.explode(lines).alias("p"))
-    pieces = paragraphs.select(
-        F.col("head").alias("__k"), "key", F.sha2(F.col("p").cast("binary"), 256).alias("d"), F.split("p", " ").alias("w"))
-    exploded = pieces.select("__k", "key", "d", F.posexplode_outer(F.expr(
+    # key, kind, size and digest are all grouping columns: sums alone are aggregated, so it stays a hash aggregation
+    group = ["key", "kind", "n_chars", "sha"]
+    paragraphs = rows.select(*group, F.explode(lines).alias("p"))
+    pieces = paragraphs.select(*group, F.sha2(F.col("p").cast("binary"), 256).alias("d"), F.split("p", " ").alias("w"))
+    exploded = pieces.select(*group, "d", F.posexplode_outer(F.expr(
         "transform(sequence(0, greatest(size(w) - 3, 0)), i -> xxhash64(get(w, i), get(w, i + 1), get(w, i + 2)))")).alias("i", "x"))
-    hashed = exploded.select("__k", "key", "d", "i", *[F.when(F.col("x").isNotNull(), _lane_hash(F.col("x"), k)).alias(f"x{k}") for k in range(HASHES)])
-    kind = F.col("__k.kind").alias("kind")
-    sums = hashed.groupBy("key", kind).agg(
-        F.first("__k.id").alias("id"), F.first("__k.n_chars").alias("n_chars"), F.first("__k.sha").alias("sha"), F.count("x0").alias("n"), *_exact_sums(), *_lane_sums())
-    print_ = F.when(F.col("n") > 0, F.struct("n", F.array(*[f"e{e}" for e in range(EXACT_LANES)]).alias("exact"), F.array(*[f"l{j}" for j in range(LONGS)]).alias("lanes")))
-    flat = materialise(sums.select("key", "kind", "id", "n_chars", "sha", print_.alias("fp")), "prints")
-    own = flat.where("kind = 0").select("key", "id", "n_chars", "fp")
-    edited = flat.where("kind = 1").select("key", F.col("sha").alias("edited_sha256"), F.col("fp").alias("efp"))
-    other = own.select(F.col("key").alias("next"), F.col("fp").alias("nfp"))
-    joined = own.join(edited, "key").join(follows, "key").join(other, "next")
+    hashed = exploded.select(*group, "d", "i", *[F.when(F.col("x").isNotNull(), _lane_hash(F.col("x"), k)).alias(f"x{k}") for k in range(HASHES)])
+    sums = hashed.groupBy(*group).agg(F.count("x0").alias("n"), *_exact_sums(), *_lane_sums())
+    fp = F.when(F.col("n") > 0, F.struct("n", F.array(*[f"e{e}" for e in range(EXACT_LANES)]).alias("exact"), F.array(*[f"l{j}" for j in range(LONGS)]).alias("lanes")))
+    pairs = sums.select("key", F.struct("kind", "n_chars", "sha", fp.alias("fp")).alias("v")).groupBy("key").agg(F.sort_array(F.collect_list("v")).alias("v"))
+    own, edited = F.get("v", F.lit(0)), F.get("v", F.lit(1))
+    prints = pairs.select("key", own["n_chars"].alias("n_chars"), edited["sha"].alias("sha"), own["fp"].alias("fp"), edited["fp"].alias("efp"))
+    prints = materialise(prints.join(follows, "key"), "prints")
+    joined = prints.join(prints.select(F.col("key").alias("next"), F.col("fp").alias("nfp")), "next")
     return joined.select(
-        "id", "n_chars", "edited_sha256", printed("fp").alias("fingerprint"), printed("efp").alias("edited_fingerprint"),
+        "key", "n_chars", F.lower(F.hex("sha")).alias("edited_sha256"), printed("fp").alias("fingerprint"), printed("efp").alias("edited_fingerprint"),
         likeness("fp", "efp").alias("near_edited"), likeness("fp", "nfp").alias("near_next"),
     )
 
