@@ -84,7 +84,7 @@ class PpmModel:
         k = len(languages)
         #: by gram length: table of grams met, their costs, and the escape costs of grams as contexts
         self.tables: dict[int, tuple[GramTable, np.ndarray]] = {}
-        self.escapes: dict[int, np.ndarray] = {}
+        self.escapes: dict[int, tuple[GramTable, np.ndarray]] = {}
         below_cost = np.full((1, k), 8.0)
         below_table: GramTable | None = None
         self.root_escape = np.zeros(k)
@@ -108,11 +108,8 @@ class PpmModel:
             if m == 1:
                 self.root_escape = escape[0] if len(escape) else np.zeros(k)
             else:
-                # contexts of m - 1 bytes: every one was met as a gram, or is a document's start
-                rows = below_table.find(context)
-                made = np.zeros((len(below_table.keys) + 1, k), np.float32)
-                made[rows[rows >= 0]] = escape[rows >= 0]
-                self.escapes[m - 1] = made
+                at = GramTable(context)
+                self.escapes[m - 1] = (at, np.vstack([escape[at.order], np.zeros((1, k))]).astype(np.float32))
             self.tables[m] = (table, cost.astype(np.float32))
             below_table, below_cost = table, cost
 
@@ -136,7 +133,8 @@ class PpmModel:
             if not len(todo):
                 break
             if m > 1:
-                cost[todo] += self.escapes[m - 1][self.tables[m - 1][0].find(own >> np.uint64(8))]
+                at, escape = self.escapes[m - 1]
+                cost[todo] += escape[at.find(own >> np.uint64(8))]  # the last row is for contexts not met
             else:
                 cost[todo] += (self.root_escape + 8.0).astype(np.float32)
         filled = np.flatnonzero(np.diff(offsets))

@@ -292,7 +292,7 @@ def near_duplicates(
     classes = filled.groupBy("set_key", "n_shingles").agg(F.min("id").alias("rep"))
     members = filled.select("id", "set_key", "n_shingles").join(classes, ["set_key", "n_shingles"]).select("id", "rep")
     members = materialise(members.distinct(), "members")
-    reps = materialise(filled.join(classes.select(F.col("rep").alias("id"), "set_key"), ["id", "set_key"], "left_semi").select("id", "sig").dropDuplicates(["id"]), "reps")
+    reps = materialise(filled.join(classes.select(F.col("rep").alias("id"), "set_key"), ["id", "set_key"], "left_semi").select("id", "sig").distinct(), "reps")
 
     every = materialise(postings(reps, coordinates, threshold), "every-posting")
     lists = every.groupBy("pair").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")

@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from .common import BROADCAST_IDS, materialise, read_table
+from .common import BROADCAST_IDS, fresh_name, materialise, read_table
 
 #: Documents a block.
 BLOCK_DOCS = 1024
@@ -90,13 +90,13 @@ def mixed_rows(docs: DataFrame, entropy_share: float = 1.0, max_repeats: float =
 
     Rows without an id are taken once.
     """
-    more = mix(docs, entropy_share, max_repeats, cover=True, id_col=id_col).where("copies > 1").groupBy("id").agg(F.max("copies").alias("__copies"))
-    names = docs.columns
-    more = materialise(more.withColumnRenamed("id", "__id"), "copies")
+    own, copies, n = (fresh_name(docs, x) for x in ("own", "copies", "n"))
+    more = mix(docs, entropy_share, max_repeats, cover=True, id_col=id_col).where("copies > 1 and id is not null").groupBy("id").agg(F.max("copies").alias("copies"))
+    more = materialise(more.toDF(own, copies), "copies")
     small = more.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
-    joined = docs.join(F.broadcast(more) if small else more, F.col(id_col).cast("long") == F.col("__id"), "left")
-    again = joined.withColumn("__n", F.explode(F.sequence(F.lit(1).cast("long"), F.greatest(F.coalesce("__copies", F.lit(1).cast("long")), F.lit(1).cast("long")))))
-    return again.select(*[F.col(f"`{c}`") for c in names])
+    joined = docs.join(F.broadcast(more) if small else more, F.col(id_col).cast("long") == F.col(own), "left")
+    times = F.sequence(F.lit(1).cast("long"), F.coalesce(copies, F.lit(1).cast("long")))
+    return joined.withColumn(n, F.explode(times)).select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def op4_temperature_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
