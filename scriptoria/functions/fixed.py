@@ -99,3 +99,7 @@ PRINT_DIRS = ["pdf-print", "печать"]
 CANONICAL_STEM = r"^(?:19|20)\d{2}Q[1-4]-[1-3]$"
 SKIPPED_NAMES = [".git", ".DS_Store", "README.md", "source-audit.json", "source-map.json"]
 EXPORT_FORMATS = ["pdf", "txt", "docx", "epub"]
+
+# Paths of pages, of stored sources and of their legacy directory.
+PAGE_PATH = "/pearls/"
+STORED_PREFIX, LEGACY_PREFIX, LEGACY_SEGMENT = "data/source-data/", "data/source-data/pearls-word/", "/pearls-word/"

@@ -225,7 +225,7 @@ def map_lookup(paths: DataFrame, items: DataFrame, path: str = "path") -> DataFr
     return paths.join(best, path, "left")
 
 
-def override_lookup(issues: DataFrame, overrides: DataFrame, items: DataFrame | None = None, prefix: str = "data/source-data/", legacy: str = "data/source-data/pearls-word/") -> DataFrame:
+def override_lookup(issues: DataFrame, overrides: DataFrame, items: DataFrame | None = None, prefix: str = fixed.STORED_PREFIX, legacy: str = fixed.LEGACY_PREFIX) -> DataFrame:
     """Override of each issue: the first key that is known, among the path, its legacy forms and its mapped names."""
     p = F.col("sourcePath")
     keys = [p, F.regexp_replace(p, prefix, legacy), F.regexp_replace(p, legacy, prefix)]

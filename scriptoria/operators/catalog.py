@@ -158,7 +158,7 @@ def catalog_items(containers: DataFrame, documents: DataFrame, filters: Filters)
     label = site_label(F.col("siteLabel"), F.col("siteYear"), F.col("siteMonth"))
     exports = F.struct(*[F.concat(F.lit("/downloads/"), year, F.lit("/"), "slug", F.lit(f".{k}")).alias(k) for k in fixed.EXPORT_FORMATS])
     return rows.select(
-        F.concat(F.lit("/pearls/"), year, F.lit("/"), "slug").alias("path"), "siteYear", "siteMonth", label.alias("siteMonthLabel"),
+        F.concat(F.lit(fixed.PAGE_PATH), year, F.lit("/"), "slug").alias("path"), "siteYear", "siteMonth", label.alias("siteMonthLabel"),
         F.coalesce(F.get("documents", F.lit(0))["description"], label).alias("description"), "documents", exports.alias("downloads"), "siteSortDate", "slug",
     ).orderBy("siteSortDate", "slug")
 
@@ -183,7 +183,7 @@ def offline_items(containers: DataFrame, documents: DataFrame, filters: Filters)
 
 def sitemap_paths(containers: DataFrame) -> DataFrame:
     """``/`` and every container's path, newest first (column ``rank`` keeps the order)."""
-    rows = containers.select(F.concat(F.lit("/pearls/"), F.col("siteYear").cast("string"), F.lit("/"), F.col("slug")).alias("path"), "siteSortDate", "slug")
+    rows = containers.select(F.concat(F.lit(fixed.PAGE_PATH), F.col("siteYear").cast("string"), F.lit("/"), F.col("slug")).alias("path"), "siteSortDate", "slug")
     root = containers.sparkSession.range(1).select(F.lit("/").alias("path"), F.lit("9999-99-99").alias("siteSortDate"), F.lit("~").alias("slug"))
     return root.union(rows).orderBy(F.desc("siteSortDate"), F.desc("slug")).select("path")
 
