@@ -72,3 +72,35 @@ def creation_label(raw: Column, date: Column, year: Column) -> Column:
 
 def display_title(title: Column, raw_header: Column) -> Column:
     return F.coalesce(F.concat(F.lit("«"), title, F.lit("»")), raw_header)
+
+
+def shown_header(header: Column, page_title: Column) -> Column:
+    """Header lines of a page without its own title and the series name."""
+    return F.filter(header, lambda x: ~(x.eqNullSafe(page_title) | x.startswith(fixed.SERIES_TITLE)))
+
+
+def issue_parts(slug: Column) -> Column:
+    """struct(slug, year, quarter) of a slug; a malformed one is an error."""
+    t = trim(slug)
+    good = matches(t, fixed.CANONICAL_STEM, "u")
+    checked = F.when(good, t).otherwise(F.raise_error(F.concat(F.lit("invalid issue slug: "), F.coalesce(slug, F.lit("null")))).cast("string"))
+    return F.struct(checked.alias("slug"), F.substring(checked, 1, 4).cast("int").alias("year"), F.substring(checked, 6, 1).cast("int").alias("quarter"))
+
+
+def parsed_path(slug: Column, year: Column) -> Column:
+    """Path of a parsed issue."""
+    return F.concat(F.lit("data/parsed/"), year.cast("string"), F.lit("/"), slug, F.lit(".json"))
+
+
+def material_matches(materials: Column, query: str | None = None, master: str | None = None, year: str | None = None) -> Column:
+    """Whether one and the same material has the query in any of its fields, the master and the year."""
+    def one(m: Column) -> Column:
+        out = F.lit(True)
+        if query:
+            fields = F.lower(F.concat_ws(" ", m["title"], m["master"], m["type"], m["date"]))
+            out = out & fields.contains(query.lower())
+        if master:
+            out = out & m["master"].eqNullSafe(F.lit(master))
+        return out & m["year"].eqNullSafe(F.lit(year)) if year else out
+
+    return F.exists(materials, one)

@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
+import unicodedata
+
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import fixed
 from .jsregex import first, matches, normal_spaces, rx, swap, trim
@@ -156,3 +160,23 @@ def composed(c: Column) -> Column:
 def sorted_record(m: Column) -> Column:
     """A map with its keys in order."""
     return F.map_from_entries(F.array_sort(F.map_entries(m)))
+
+
+@F.pandas_udf(T.StringType())
+def nfc(s: pd.Series) -> pd.Series:
+    """Full canonical composition (``composed`` covers the Cyrillic letters without leaving the JVM)."""
+    return s.map(lambda x: None if x is None else unicodedata.normalize("NFC", x))
+
+
+def short_digest(*parts: Column) -> Column:
+    """First 12 hexadecimal digits of the SHA-1 of parts joined by colons: names of temporary folders."""
+    return F.substring(F.sha1(F.concat_ws(":", *parts)), 1, 12)
+
+
+def page_description(body_lines: Column) -> Column:
+    """First 160 characters of all body text, for search engines."""
+    return F.substring(F.array_join(body_lines, " "), 1, 160)
+
+
+def absolute_url(site: str, path: Column) -> Column:
+    return F.concat(F.lit(site.rstrip("/")), path)

@@ -253,3 +253,27 @@ def outcome_counts(rows: DataFrame) -> DataFrame:
 def latest(files: DataFrame, key: str, when: str) -> DataFrame:
     """Newest row of each key."""
     return files.withColumn("_r", F.row_number().over(Window.partitionBy(key).orderBy(F.desc(when)))).where("_r = 1").drop("_r")
+
+
+def prepared_sources(prepared: DataFrame, files: DataFrame) -> DataFrame:
+    """Prepared copies with the original of each: relativePath, sourcePath; a copy without an original is an error."""
+    rows = listing(prepared).where(F.col("extension") == ".docx").withColumn("slug", stem(F.col("relativePath")))
+    best = ranked(candidate_ranks(files).where("rank <= 2"), ["slug"], ["rank", "relativePath"]).select("slug", F.col("relativePath").alias("_source"))
+    lost = F.raise_error(F.concat(F.lit("no source of "), F.col("relativePath"))).cast("string")
+    return rows.join(best, "slug", "left").select("relativePath", "slug", F.coalesce("_source", lost).alias("sourcePath"))
+
+
+def pdf_jobs(paths: DataFrame) -> DataFrame:
+    """Checked PDF jobs (relativePath): other files and other names are errors."""
+    wrong = F.when(extension(F.col("relativePath")) != ".pdf", "not a PDF: ").when(~is_canonical(F.col("relativePath")), "not an issue's name: ")
+    checked = F.when(wrong.isNull(), F.col("relativePath")).otherwise(F.raise_error(F.concat(wrong, "relativePath")).cast("string"))
+    return paths.withColumn("relativePath", checked)
+
+
+def map_metadata(paths: DataFrame, items: DataFrame, path: str = "path") -> DataFrame:
+    """Add originalName, oldPath, newPath of each path's item: old or new path as stored or without the stored prefix."""
+    plain = F.regexp_replace(path, rf"^(?:\\./)?(?:{fixed.LEGACY_PREFIX}|{fixed.STORED_PREFIX})", "")
+    asked = paths.select(path, F.explode(F.array_distinct(F.array(F.col(path), plain))).alias("_k")).distinct()
+    known = items.select(F.explode(F.array("oldPath", "newPath")).alias("_k"), "item_pos", "originalName", "oldPath", "newPath")
+    best = asked.join(known, "_k").groupBy(path).agg(F.min_by(F.struct("originalName", "oldPath", "newPath"), F.col("item_pos")).alias("sourceMap"))
+    return paths.join(best, path, "left")
