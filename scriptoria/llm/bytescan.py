@@ -6,6 +6,8 @@ any slice costs two look-ups; a finaliser mixes the bits afterwards.
 
 from __future__ import annotations
 
+import sys
+import types
 from collections.abc import Iterator
 
 import numpy as np
@@ -14,7 +16,16 @@ import pyarrow.compute as pc
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_WORDS = np.uint64(0xD6E8FEB86659FD93)
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+
+
+def process_cache() -> dict:
+    """A dictionary that lives as long as the Python process, whatever functions come and go in it."""
+    name = "scriptoria_process_cache"
+    if name not in sys.modules:
+        sys.modules[name] = types.ModuleType(name)
+    return sys.modules[name].__dict__
+
+
 
 #: Separators of words: 0x20 and 0x09-0x0D.
 SEPARATOR = np.zeros(256, bool)
@@ -35,7 +46,8 @@ def mix(h: np.ndarray) -> np.ndarray:
 
 def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
     """base**i and base**-i modulo 2**64 for i < n (base is odd, so it has an inverse)."""
-    have = _POWERS.get(int(base))
+    cache = process_cache()
+    have = cache.get(("powers", int(base)))
     if have is None or len(have[0]) < n:
         size = max(1 << 16, 1 << (n - 1).bit_length())
         inverse = np.uint64(pow(int(base), -1, 1 << 64))
@@ -45,7 +57,7 @@ def powers(base: np.uint64, n: int) -> tuple[np.ndarray, np.ndarray]:
                 p = np.full(size, b, np.uint64)
                 p[0] = 1
                 made.append(np.multiply.accumulate(p))
-        have = _POWERS[int(base)] = (made[0], made[1])
+        have = cache["powers", int(base)] = (made[0], made[1])
     return have[0][:n], have[1][:n]
 
 

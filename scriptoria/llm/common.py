@@ -55,10 +55,18 @@ BROADCAST_IDS = 500_000
 
 def without_ids(docs: DataFrame, id_col: str, gone: DataFrame) -> DataFrame:
     """Rows of ``docs`` whose id is not in the one column of ``gone``; rows without an id stay."""
-    ids = materialise(gone.toDF("__gone").where("__gone is not null").distinct(), "gone")
+    name = fresh_name(docs, "gone")
+    ids = gone.toDF(name)
+    ids = materialise(ids.where(F.col(name).isNotNull()).distinct(), "gone")
     small = ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS
     ids = F.broadcast(ids) if small else ids
-    return docs.join(ids, F.col(id_col).cast("long") == F.col("__gone"), "left_anti")
+    return docs.join(ids, F.col(id_col).cast("long") == F.col(name), "left_anti")
+
+
+def fresh_name(df: DataFrame, base: str) -> str:
+    """A column name that ``df`` does not have."""
+    taken = {c.lower() for c in df.columns}
+    return next(n for n in (f"__{base}{'_' * k}" for k in range(len(taken) + 1)) if n not in taken)
 
 
 def estimated_bytes(df: DataFrame) -> int:
@@ -75,13 +83,14 @@ def mixed(key: Column) -> Column:
     return F.xxhash64(key).bitwiseAND(F.lit((1 << 62) - 1))
 
 
-def key_filter_words(keys: DataFrame, key: str) -> list[int]:
+def key_filter_words(keys: DataFrame, key: str, by_value: bool = False) -> list[int]:
     """One-bit-per-key filter of ``FILTER_WORDS`` longs over the column ``key``.
 
     Computed natively: bits are OR-ed per word before the shuffle, and at most ``FILTER_WORDS`` rows reach
-    the driver whatever the number of keys.  A full filter lets every row pass, so it only saves work.
+    the driver whatever the number of keys.  A full filter lets every row pass, so it only saves work.  Keys that are
+    well mixed already are taken by value.
     """
-    h = mixed(F.col(key))
+    h = F.col(key).bitwiseAND(F.lit((1 << 62) - 1)) if by_value else mixed(F.col(key))
     rows = (
         keys.select((h % FILTER_WORDS).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftright(h, 40) % 64).cast("int")).alias("b"))
         .groupBy("w").agg(F.bit_or("b").alias("b"))

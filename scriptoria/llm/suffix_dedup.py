@@ -2,8 +2,9 @@
 
 A first scan finds the text that can repeat at all: each ``length``-byte window is marked by the least hash of its
 short grams, equal windows have equal marks, and marks that occur in one document only (proven by a fixed-size
-filter) rule their windows out.  What is left are *pieces*: runs of windows with one mark, with their bytes.
-Pieces are combined before they move, and go to tasks by mark, so equal windows meet.  There the suffixes at
+filter) rule their windows out; whole copies of a smaller document need no search.  What is left are *pieces*:
+runs of windows with one mark, with their bytes.  Pieces are combined before they move, in compressed blocks, and
+go to tasks by mark, so equal windows meet.  There the suffixes at
 all window starts are sorted: multikey quicksort with 8-byte characters to a shallow depth, then blind tries for
 the groups that still agree - levels at which a whole group agrees are skipped, only branching groups are split -
 down to ``length`` bytes.  Suffixes that end in one group hold the same string; the smallest document of the
@@ -25,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bytescan import BASE, gram_hashes, prefix_hash, slice_hash, sliding_min, text_chunks
-from .common import materialise, read_table, shuffle_width
+from .bytescan import BASE, gram_hashes, mix, prefix_hash, slice_hash, sliding_min, text_chunks
+from .common import BROADCAST_IDS, FILTER_WORDS, key_filter_words, materialise, read_table, shuffle_width
 from .removal import apply_spans, with_row_key
-from .sieve import marked, repeat_filter
+from .sieve import bucket_bits, marked, repeat_filter
 
 LENGTH, GRAM, SHALLOW = 50, 18, 16
 #: Windows in one piece at most, and different pieces of one mark that a task sorts.
 RUN, CLASS_LIMIT = 64, 100_000
+#: Pieces that a task holds before it sends them off.
+FLUSH = 200_000
 
 
 def _runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
@@ -55,7 +58,8 @@ def _runs(data: np.ndarray, offsets: np.ndarray, length: int, gram: int):
         k = np.arange(parts.sum()) - np.repeat(np.cumsum(parts) - parts, parts)
         n = np.minimum(RUN, np.repeat(n, parts) - RUN * k)
         first = np.repeat(first, parts) + RUN * k
-    return mark[first], doc[first], at[first], n
+    # minima crowd at the low end: mixed again, they spread evenly over filters and buckets
+    return mix(mark[first]), doc[first], at[first], n
 
 
 def words_at(data: np.ndarray) -> np.ndarray:
@@ -108,63 +112,103 @@ def sort_suffixes(data: np.ndarray, at: np.ndarray, length: int, shallow: int =
     return order, group
 
 
-def resolve(mark: np.ndarray, piece: np.ndarray, low: np.ndarray, high: np.ndarray, texts: list[bytes], length: int):
-    """Of pieces sorted by mark: (piece, first or -1, packed firsts or None) where a window repeats across documents.
+def resolve(data: np.ndarray, sizes: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, gram: int, limit: int):
+    """Of the pieces that lie one after another in ``data``: rows (piece hash, first or -1, packed firsts or None, low, high, bytes)
+    where a window repeats across documents.
 
     ``low`` and ``high`` are the smallest and largest document of a piece; a first is the smallest document of a window.
+    Pieces of classes with more than ``limit`` different pieces come back as they are (their first is None).
     """
+    start = np.cumsum(sizes) - sizes
+    piece = slice_hash(prefix_hash(data.astype(np.uint64) + np.uint64(1), BASE), start, start + sizes, BASE)
+    mark = sliding_min(gram_hashes(data.astype(np.uint64) + np.uint64(1), gram), length - gram + 1)[start]
     order = np.lexsort((piece, mark))
-    mark, piece, low, high = mark[order], piece[order], low[order], high[order]
-    new = np.ones(len(piece), bool)
-    new[1:] = (piece[1:] != piece[:-1]) | (mark[1:] != mark[:-1])
-    at = np.flatnonzero(new)
+    mark, piece, low, high, start, sizes = (x[order] for x in (mark, piece, low, high, start, sizes))
+    at = np.flatnonzero(np.r_[True, (piece[1:] != piece[:-1]) | (mark[1:] != mark[:-1])])
     low, high = np.minimum.reduceat(low, at), np.maximum.reduceat(high, at)
-    mark, piece, order = mark[at], piece[at], order[at]
+    mark, piece, start, sizes = mark[at], piece[at], start[at], sizes[at]
+    name = piece.astype(np.int64)
     _, klass, members = np.unique(mark, return_inverse=True, return_counts=True)
-    alone = members[klass] == 1
-    for i in np.flatnonzero(alone & (high > low)):
-        yield int(piece[i]), int(low[i]), None
-    several = np.flatnonzero(~alone)
+    members = members[klass]
+    for i in np.flatnonzero((members == 1) & (high > low)):
+        yield int(name[i]), int(low[i]), None, None, None, None
+    for i in np.flatnonzero(members > limit):
+        yield int(name[i]), None, None, int(low[i]), int(high[i]), data[start[i] : start[i] + sizes[i]].tobytes()
+    several = np.flatnonzero((members > 1) & (members <= limit))
     if not len(several):
         return
-    own = [texts[order[i]] for i in several]
-    sizes = np.array([len(t) for t in own])
-    data = np.frombuffer(b"".join(own), np.uint8)
-    windows = sizes - length + 1
-    of = np.repeat(np.arange(len(own)), windows)
-    start = np.repeat(np.cumsum(sizes) - sizes, windows) + np.arange(windows.sum()) - np.repeat(np.cumsum(windows) - windows, windows)
-    rank, group = sort_suffixes(data, start, length)
+    windows = sizes[several] - length + 1
+    edge = np.cumsum(windows) - windows
+    of = np.repeat(several, windows)
+    place = start[of] + np.arange(windows.sum()) - np.repeat(edge, windows)
+    rank, group = sort_suffixes(data, place, length)
     first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-    least = np.minimum.reduceat(low[several][of[rank]], first)
+    least = np.minimum.reduceat(low[of[rank]], first)
     firsts = np.empty(len(of), np.int64)
     firsts[rank] = least[group]
-    edge = np.cumsum(windows) - windows
     lowest, highest = np.minimum.reduceat(firsts, edge), np.maximum.reduceat(firsts, edge)
-    for k, i in enumerate(several):
-        if high[i] > lowest[k]:
-            if lowest[k] == highest[k]:
-                yield int(piece[i]), int(lowest[k]), None
-            else:
-                yield int(piece[i]), -1, firsts[edge[k] : edge[k] + windows[k]].tobytes()
+    for k in np.flatnonzero(high[several] > lowest):
+        i = several[k]
+        if lowest[k] == highest[k]:
+            yield int(name[i]), int(lowest[k]), None, None, None, None
+        else:
+            yield int(name[i]), -1, firsts[edge[k] : edge[k] + windows[k]].tobytes(), None, None, None
+
+
+def _pack(sizes: np.ndarray, low: np.ndarray, high: np.ndarray, text: bytes) -> bytes:
+    """Pieces as one compressed block; hashes are left out, a reader makes them again from the bytes."""
+    raw = np.int64(len(sizes)).tobytes() + sizes.astype(np.uint8).tobytes() + low.astype(np.int64).tobytes() + (high - low).astype(np.int64).tobytes() + text
+    return np.int64(len(raw)).tobytes() + pa.compress(raw, codec="zstd", asbytes=True)
+
+
+def _unpack(block: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray, bytes]:
+    raw = pa.decompress(block[8:], int(np.frombuffer(block, np.int64, 1)[0]), codec="zstd", asbytes=True)
+    n = int(np.frombuffer(raw, np.int64, 1)[0])
+    low = np.frombuffer(raw, np.int64, n, 8 + n)
+    return np.frombuffer(raw, np.uint8, n, 8).astype(np.int64), low, low + np.frombuffer(raw, np.int64, n, 8 + 9 * n), raw[8 + 17 * n :]
+
+
+def exact_copies(rows: DataFrame, length: int) -> DataFrame:
+    """(key, n): documents whose whole text is that of a smaller document; all their bytes go, if they have enough."""
+    digests = rows.where("id is not null and t is not null").select("id", "key", F.octet_length("t").cast("long").alias("n"), F.sha2(F.col("t").cast("binary"), 256).alias("d"))
+    digests = materialise(digests.where(F.col("n") >= length), "digests")
+    shared = digests.groupBy("d").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    return digests.join(shared, "d").where("id > first").select("key", "n")
 
 
 def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFrame:
     """(key, span): byte intervals to remove, from rows of id, t, key."""
     spark = rows.sparkSession
-    numbered = rows.where("id is not null and t is not null")
+    copies = materialise(exact_copies(rows, length), "copies")
+    numbered = rows.where("id is not null and t is not null").select("id", "t", "key")
+    # copies need no search: a bounded number of them is skipped where rows are read, more are taken out by a join
+    if copies.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        skip = spark.sparkContext.broadcast(np.sort(copies.select("key").toArrow().column(0).to_numpy()))
+    else:
+        skip = spark.sparkContext.broadcast(np.zeros(0, np.int64))
+        numbered = numbered.join(copies.select("key"), "key", "left_anti").select("id", "t", "key")
+
+    def fresh(batch):
+        keys, gone = batch.column(2).to_numpy(), skip.value
+        if not len(gone):
+            return batch
+        at = np.minimum(np.searchsorted(gone, keys), len(gone) - 1)
+        return batch.filter(pa.array(gone[at] != keys))
 
     def marks(batch):
-        base = 0
-        for lo, hi, data, offsets in text_chunks(batch.column(0)):
+        base, batch = 0, fresh(batch)
+        for lo, hi, data, offsets in text_chunks(batch.column(1)):
             if found := _runs(data, offsets, length, gram):
                 yield found[0], found[1] + base
             base += hi - lo
 
-    held = spark.sparkContext.broadcast(repeat_filter(numbered, ["t"], marks))
+    held = spark.sparkContext.broadcast(repeat_filter(numbered, ["id", "t", "key"], marks))
+
+    bits = bucket_bits(numbered, 1 << 18)
 
-    def chosen(batch, column):
+    def chosen(batch):
         """Runs that may repeat, with the hashes of their pieces."""
-        for lo, _, data, offsets in text_chunks(batch.column(column)):
+        for lo, _, data, offsets in text_chunks(batch.column(1)):
             if found := _runs(data, offsets, length, gram):
                 may = marked(held.value, found[0])
                 mark, doc, at, n = (x[may] for x in found)
@@ -173,80 +217,72 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
                     yield lo, data, offsets, mark, doc, at, n, piece
 
     def distinct(batches):
+        """Different pieces of a part of the input, as compressed blocks by range of mark."""
+        pending, size = [], 0
+
+        def flush():
+            mark, piece, ids, n, texts = (np.concatenate([p[k] for p in pending]) if k < 4 else [t for p in pending for t in p[4]] for k in range(5))
+            order = np.lexsort((ids, piece))
+            p, i = piece[order], ids[order]
+            first = np.flatnonzero(np.r_[True, p[1:] != p[:-1]])
+            own, low, high = order[first], i[first], i[np.append(first[1:], len(p)) - 1]
+            bucket = (mark[own] >> np.uint64(64 - bits)).astype(np.int64)
+            step = np.argsort(bucket, kind="stable")
+            own, low, high, bucket = own[step], low[step], high[step], bucket[step]
+            cuts = [0, *(np.flatnonzero(np.diff(bucket)) + 1).tolist(), len(bucket)]
+            blocks = [_pack(n[own[a:b]], low[a:b], high[a:b], b"".join(texts[k] for k in own[a:b])) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
+            return pa.RecordBatch.from_arrays([pa.array(bucket[cuts[:-1]]), pa.array(blocks, pa.binary())], names=["bucket", "block"])
+
         for batch in batches:
+            batch = fresh(batch)
             ids = batch.column(0).to_numpy()
-            for lo, data, _, mark, doc, at, n, piece in chosen(batch, 1):
-                order = np.lexsort((ids[lo + doc], piece))
-                p, i = piece[order], ids[lo + doc][order]
-                first = np.flatnonzero(np.r_[True, p[1:] != p[:-1]])
-                last = np.append(first[1:], len(p)) - 1
-                own = order[first]
+            for lo, data, _, mark, doc, at, n, piece in chosen(batch):
                 raw = data.tobytes()
-                texts = [raw[a : a + m] for a, m in zip(at[own].tolist(), (n[own] + length - 1).tolist(), strict=True)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(mark[own].astype(np.int64)), pa.array(p[first].astype(np.int64)), pa.array(i[first]), pa.array(i[last]), pa.array(texts, pa.binary())],
-                    names=["mark", "piece", "low", "high", "bytes"])
-
-    def places(batches):
-        for batch in batches:
-            ids, keys = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-            for lo, _, offsets, _, doc, at, n, piece in chosen(batch, 1):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(piece.astype(np.int64)), pa.array(ids[lo + doc]), pa.array(keys[lo + doc]), pa.array(((at - offsets[doc]) << 8) | n)],
-                    names=["piece", "id", "key", "run"])
-
-    schema = "mark long, piece long, low long, high long, bytes binary"
-    base = numbered.select("id", "t", "key")
-    classes = base.mapInArrow(distinct, schema).repartition(shuffle_width(spark), "mark").sortWithinPartitions("mark")
+                bytes_ = n + length - 1
+                pending.append((mark, piece, ids[lo + doc], bytes_, [raw[a : a + m] for a, m in zip(at.tolist(), bytes_.tolist(), strict=True)]))
+                size += len(mark)
+                if size > FLUSH:
+                    yield flush()
+                    pending, size = [], 0
+        if size:
+            yield flush()
 
     def sort(batches):
-        """Whole classes of about 50,000 pieces at a time; a class beyond the limit is handed on as it is."""
-        held_: list[tuple] = []
-        out: list[tuple] = []
-
-        def done(rows_):
-            mark = np.array([r[0] for r in rows_], np.int64)
-            piece, low, high = (np.array([r[k] for r in rows_], np.int64) for k in (1, 2, 3))
-            for p, first, firsts in resolve(mark, piece, low, high, [r[4] for r in rows_], length):
-                out.append((p, first, firsts, None, None, None))
-
-        def table():
-            made = pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary()), strict=True)], names=["piece", "first", "firsts", "low", "high", "bytes"])
-            out.clear()
-            return made
-
-        large = None
+        blocks: dict[int, list[bytes]] = {}
         for batch in batches:
-            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if row[0] == large:
-                    out.append((row[1], None, None, row[2], row[3], row[4]))
-                    if len(out) > 20_000:
-                        yield table()
-                    continue
-                if len(held_) >= 50_000 and held_[-1][0] != row[0]:
-                    done(held_)
-                    held_ = []
-                held_.append(row)
-                if len(held_) > CLASS_LIMIT:
-                    part = [r for r in held_ if r[0] == row[0]]
-                    if len(part) > CLASS_LIMIT // 2:
-                        large = row[0]
-                        done([r for r in held_ if r[0] != large])
-                        out.extend((r[1], None, None, r[2], r[3], r[4]) for r in part)
-                        held_ = []
-                if len(out) > 20_000:
-                    yield table()
-        if held_:
-            done(held_)
-        if out:
-            yield table()
-
+            for k, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                blocks.setdefault(k, []).append(b)
+        types = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
+        for own in blocks.values():
+            parts = [_unpack(b) for b in own]
+            sizes, low, high = (np.concatenate([p[k] for p in parts]) for k in range(3))
+            out = list(resolve(np.frombuffer(b"".join(p[3] for p in parts), np.uint8), sizes, low, high, length, gram, CLASS_LIMIT))
+            if out:
+                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
+                yield pa.RecordBatch.from_arrays(columns, names=["piece", "first", "firsts", "low", "high", "bytes"])
+
+    classes = numbered.mapInArrow(distinct, "bucket long, block binary").repartition(shuffle_width(spark), "bucket")
     solved = materialise(classes.mapInArrow(sort, "piece long, first long, firsts binary, low long, high long, bytes binary"), "solved")
     firsts = solved.where("first is not null").select("piece", "first", "firsts")
     if not solved.where("first is null").isEmpty():
         firsts = firsts.unionByName(_large_classes(solved.where("first is null"), length))
+    # a second fixed-size filter: pieces without an entry need not travel
+    wanted = spark.sparkContext.broadcast(np.array(key_filter_words(firsts.select("piece"), "piece", by_value=True), np.int64))
 
-    found = base.mapInArrow(places, "piece long, id long, key long, run long")
+    def places(batches):
+        for batch in batches:
+            batch = fresh(batch)
+            ids, keys = batch.column(0).to_numpy(), batch.column(2).to_numpy()
+            for lo, _, offsets, _, doc, at, n, piece in chosen(batch):
+                name = piece.astype(np.int64)
+                h = name & ((1 << 62) - 1)
+                may = (wanted.value[h % FILTER_WORDS] >> ((h >> 40) % 64)) & 1 == 1
+                doc, at, n = doc[may], at[may], n[may]
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(name[may]), pa.array(ids[lo + doc]), pa.array(keys[lo + doc]), pa.array(((at - offsets[doc]) << 8) | n)],
+                    names=["piece", "id", "key", "run"])
+
+    found = numbered.mapInArrow(places, "piece long, id long, key long, run long")
     if rows.where("key <> id").isEmpty():
         found = found.drop("key").withColumn("key", F.col("id"))
     hits = found.join(firsts, "piece").where("firsts is not null or id > first").select("key", "id", "run", "firsts")
@@ -276,7 +312,12 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
             joined = [b"".join(blobs[j] for j in order[a:b]) for a, b in zip(first, np.append(first[1:], len(k)), strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(k[first]), pa.array(joined, pa.binary())], names=["key", "span"])
 
-    return hits.mapInArrow(spans, "key long, span binary")
+    def whole(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([np.array([0, n], np.int64).tobytes() for n in batch.column(1).to_pylist()], pa.binary())], names=["key", "span"])
+
+    out = "key long, span binary"
+    return hits.mapInArrow(spans, out).unionByName(copies.mapInArrow(whole, out))
 
 
 def _large_classes(pieces: DataFrame, length: int) -> DataFrame:
