@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bytescan import gram_hashes, sliding_min, text_chunks, word_hashes, words
+from .bytescan import gram_hashes, mix, sliding_min, text_chunks, word_hashes, words
 from .common import read_table
 from .removal import apply_spans, with_row_key
 from .sieve import marked, repeat_filter
@@ -39,7 +39,8 @@ def _windows(data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
     doc = np.repeat(np.arange(len(offsets) - 1), np.diff(first))
     at = np.flatnonzero(doc[: len(doc) - window + 1] == doc[window - 1 :])
     mark = sliding_min(gram_hashes(hashes, gram), window - gram + 1)[at]
-    return hashes, at, doc[at], mark, first
+    # minima crowd at the low end: mixed again, they spread evenly over the filter
+    return hashes, at, doc[at], mix(mark), first
 
 
 def repeated_windows(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
