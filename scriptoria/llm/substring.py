@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytescan import gram_hashes, mix, sliding_min, text_chunks, word_hashes, words
-from .common import read_table
+from .common import materialise, read_table
 from .removal import apply_spans, with_row_key
 from .sieve import marked, repeat_filter
 
@@ -73,7 +73,9 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
                         names=["h", "id", "key", "pos"])
 
     found = numbered.select("id", "t", "key").mapInArrow(emit, "h long, id long, key long, pos int")
-    first = found.select("h", "id").groupBy("h").agg(F.min("id").alias("first"))
+    counted = found.select("h", "id").groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    # written: both sides of the look-up are then plain exchanges, and a hot window's rows can be split over tasks
+    first = materialise(counted.where("first < last").select("h", "first"), "repeated")
     same_key = rows.schema["key"].name == "key" and rows.select("key", "id").where("key <> id").isEmpty()
     slim = found.drop("key").withColumn("key", F.col("id")) if same_key else found
     hits = slim.join(first, "h").where("id > first").groupBy("key").agg(F.collect_set("pos").alias("pos"))
