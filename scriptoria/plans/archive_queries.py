@@ -188,3 +188,58 @@ def changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     old = table(spark, sf_dir, "customer").select("c_custkey", "c_nationkey", "c_acctbal")
     older = old.withColumn("c_acctbal", F.when(F.col("c_custkey") % 10 == 0, F.lit(None)).otherwise(F.col("c_acctbal")))
     return load.changed_only(older, old, ["c_custkey"])
+
+
+@query("""SELECT * FROM (VALUES ('s1', 'p/2020Q1-1.docx'), ('s2', 'w/2.docx'), ('s3', NULL)) v(slug, word)""")
+def word_for_pdf(spark: SparkSession, sf_dir: str) -> DataFrame:
+    issues = spark.createDataFrame([("s1", "w/1.doc", "p/2020Q1-1.docx"), ("s2", "w/2.pdf", None), ("s3", "w/3.pdf", None)], "slug string, sourcePath string, preparedDocx string")
+    files = spark.createDataFrame([("p/2020Q1-1.docx",), ("w/1.doc",), ("w/2.docx",), ("w/2.doc",)], "relativePath string")
+    return exports.word_for_pdf(issues, files).select("slug", "word")
+
+
+@query("""SELECT * FROM (VALUES ('s1', 'a/x.doc'), ('s2', 'a/y.doc'), ('s3', 'm/z.doc'), ('s4', 'gone')) v(slug, path)""")
+def existing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    issues = spark.createDataFrame([("s1", "a/x.doc", None), ("s2", "a/pearls-word/y.doc", None), ("s3", "b", "m/z.doc"), ("s4", "gone", None)], "slug string, sourcePath string, mappedPath string")
+    files = spark.createDataFrame([("a/x.doc",), ("a/y.doc",), ("m/z.doc",)], "relativePath string")
+    return exports.existing_path(issues, files).select("slug", F.col("existingPath").alias("path"))
+
+
+@query("""SELECT * FROM (VALUES ('data/source-data/a.doc', 'A.doc'), ('n/b.doc', 'B.doc'), ('c.doc', NULL)) v(path, name)""")
+def map_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
+    items = spark.createDataFrame([(0, "A.doc", "a.doc", "n/a.doc"), (1, "B.doc", "b.doc", "n/b.doc")], "item_pos int, originalName string, oldPath string, newPath string")
+    paths = spark.createDataFrame([("data/source-data/a.doc",), ("n/b.doc",), ("c.doc",)], "path string")
+    return A.map_metadata(paths, items).select("path", F.col("sourceMap.originalName").alias("name"))
+
+
+@query("""SELECT * FROM (VALUES ('2020Q1-1.docx', '2020/Q1/word/2020Q1-1.docx'), ('2020Q1-2.docx', '2020/q1/Word/2020Q1-2.docx')) v(prepared, source)""")
+def prepared_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
+    prepared = spark.createDataFrame([("2020Q1-1.docx",), ("2020Q1-2.docx",)], "relativePath string")
+    files = spark.createDataFrame([(p,) for p in _FILES], "relativePath string")
+    return A.prepared_sources(prepared, files).select(F.col("relativePath").alias("prepared"), F.col("sourcePath").alias("source"))
+
+
+@query("SELECT k AS key, n FROM (VALUES ('converted', 0::BIGINT), ('copied', 1), ('skipped', 2), ('skipped-invalid', 0), ('would-convert', 0), ('would-copy', 0)) v(k, n)")
+def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return A.outcome_counts(spark.createDataFrame([("skipped",), ("copied",), ("skipped",)], "outcome string"))
+
+
+@query("""SELECT * FROM (VALUES ('s2', 'docx', 'disk full')) v(slug, format, error)""")
+def settled_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return exports.settled(spark.createDataFrame([("s1", "txt", None), ("s2", "docx", "disk full")], "slug string, format string, error string"))
+
+
+@query("""SELECT * FROM (VALUES ('2020Q1-1', '2020'), ('x', '2019'), ('y', 'archive')) v(slug, year)""")
+def export_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scriptoria.sources.parsed_json import export_items as items
+
+    rows = spark.createDataFrame([("2020Q1-1", (2020,), None, None, "a"), ("x", (None,), "data/parsed/2019/x.json", None, "a"), ("y", (None,), None, "b", "a")], "slug string, sitePublication struct<year:int>, jsonPath string, sourceWord string, sourcePdf string")
+    return items(rows).select("slug", "year")
+
+
+@query("""SELECT o_orderkey, row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderdate, o_orderkey) <= 50 AS inBudget FROM orders WHERE year(o_orderdate) = 1995
+UNION ALL SELECT o_orderkey, false FROM orders WHERE year(o_orderdate) > 1995""")
+def budget_by_block(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from scriptoria.operators.enrich import budgeted
+
+    rows = table(spark, sf_dir, "orders").select("o_orderkey", "o_orderdate", F.year("o_orderdate").alias("y"), F.lit(True).alias("needs"))
+    return budgeted(rows, "needs", ["o_orderdate", "o_orderkey"], 50, block="y").select("o_orderkey", "inBudget")
