@@ -173,6 +173,7 @@ def exact_copies(rows: DataFrame, length: int) -> DataFrame:
     digests = rows.where("id is not null and t is not null").select("id", "key", F.octet_length("t").cast("long").alias("n"), F.sha2(F.col("t").cast("binary"), 256).alias("d"))
     digests = materialise(digests.where(F.col("n") >= length), "digests")
     shared = digests.groupBy("d").agg(F.min("id").alias("first"), F.max("id").alias("last")).where("first < last")
+    shared = materialise(shared.select("d", "first"), "shared")  # both sides of the join are then plain exchanges that can be split
     return digests.join(shared, "d").where("id > first").select("key", "n")
 
 
@@ -267,7 +268,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
     if not solved.where("first is null").isEmpty():
         firsts = firsts.unionByName(_large_classes(solved.where("first is null"), length))
     # a second fixed-size filter: pieces without an entry need not travel
-    wanted = spark.sparkContext.broadcast(np.array(key_filter_words(firsts.select("piece"), "piece", by_value=True), np.int64))
+    wanted = spark.sparkContext.broadcast(key_filter_words(firsts.select("piece"), "piece", by_value=True))
 
     def places(batches):
         for batch in batches:

@@ -432,3 +432,23 @@ def test_near_stage_keeps_one_of_each_group(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     kept = {r["doc_id"] for r in minhash.drop_near_duplicates(docs, 80).select("doc_id").collect()}
     assert kept == {c for _, c in brute_components([(r["doc_id"], r["text"]) for r in docs.collect()], 80).values()}
+
+
+def test_components(spark):
+    from scriptoria.llm.components import components
+
+    rng = random.Random(4)
+    for n, m in ((30, 20), (200, 150), (60, 59)):
+        edges = [(rng.randrange(n), rng.randrange(n)) for _ in range(m)] if m != n - 1 else [(i, i + 1) for i in range(m)]
+        up = list(range(n))
+
+        def top(x, up=up):
+            while up[x] != x:
+                x = up[x]
+            return x
+
+        for a, b in edges:
+            x, y = top(a), top(b)
+            up[max(x, y)] = min(x, y)
+        got = {r["node"]: r["component"] for r in components(spark.createDataFrame([*edges, (None, 1)], "u long, v long")).collect()}
+        assert got == {x: top(x) for e in edges if e[0] != e[1] for x in e}
