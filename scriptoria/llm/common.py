@@ -7,6 +7,7 @@ import shutil
 import tempfile
 import uuid
 
+import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -83,7 +84,7 @@ def mixed(key: Column) -> Column:
     return F.xxhash64(key).bitwiseAND(F.lit((1 << 62) - 1))
 
 
-def key_filter_words(keys: DataFrame, key: str, by_value: bool = False) -> list[int]:
+def key_filter_words(keys: DataFrame, key: str, by_value: bool = False) -> np.ndarray:
     """One-bit-per-key filter of ``FILTER_WORDS`` longs over the column ``key``.
 
     Computed natively: bits are OR-ed per word before the shuffle, and at most ``FILTER_WORDS`` rows reach
@@ -95,8 +96,7 @@ def key_filter_words(keys: DataFrame, key: str, by_value: bool = False) -> list[
         keys.select((h % FILTER_WORDS).alias("w"), F.call_function("shiftleft", F.lit(1).cast("long"), (F.shiftright(h, 40) % 64).cast("int")).alias("b"))
         .groupBy("w").agg(F.bit_or("b").alias("b"))
     )
-    words = [0] * FILTER_WORDS
-    for part in rows.toArrow().to_batches():
-        for w, b in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), strict=True):
-            words[w] = b
+    found = rows.toArrow()
+    words = np.zeros(FILTER_WORDS, np.int64)
+    words[found.column(0).to_numpy()] = found.column(1).to_numpy()
     return words

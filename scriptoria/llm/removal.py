@@ -37,7 +37,7 @@ def apply_spans(rows: DataFrame, spans: DataFrame, finish: Callable[[bytes, np.n
     proves to have no spans are finished where they are read; the others are joined with their spans.
     """
     packed = materialise(spans.groupBy("key").agg(F.collect_list("span").alias("spans")), "spans")
-    held = rows.sparkSession.sparkContext.broadcast(np.array(key_filter_words(packed, "key"), np.int64))
+    held = rows.sparkSession.sparkContext.broadcast(key_filter_words(packed, "key"))
     names = ["id", *(x.split()[0] for x in schema.split(","))]
     types = {"long": pa.int64(), "string": pa.string()}
     kinds = [types[x.split()[1]] for x in schema.split(",")]
