@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 import __spark_entry__ as entry
 import corpus_pipeline
-from scriptoria.llm import common, exact_dedup, fingerprint, langid, licences, minhash, mixing, packing, sieve, substring, suffix_dedup, warc
+from scriptoria.llm import common, exact_dedup, fingerprint, langid, licences, minhash, mixing, packing, sieve, suffix_dedup, warc
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, key string, part int, __gone int, h double"
