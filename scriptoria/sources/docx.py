@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import io
 import re
+import xml.etree.ElementTree as ET
 import zipfile
 from collections.abc import Iterator
 
@@ -13,82 +14,64 @@ from pyspark.sql import functions as F
 
 PARAGRAPH = "struct<text:string,styleId:string,isBold:boolean,isItalic:boolean,maxFontSize:double,boldTextRatio:double>"
 SCHEMA = f"path string, headers array<{PARAGRAPH}>, body array<{PARAGRAPH}>, footers array<{PARAGRAPH}>, error string"
-_ENTITIES = (("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&apos;", "'"), ("&amp;", "&"))
-
-
-def _flag(properties: str, tag: str) -> bool | None:
-    found = re.search(rf"<w:{tag}\b([^>]*)>", properties)
-    if not found:
-        return None
-    value = re.search(r'\bw:val="([^"]+)"', found[1])
-    return not (value and value[1].lower() in ("0", "false", "off"))
-
-
-def _size(properties: str) -> float | None:
-    found = re.search(r'<w:sz\b[^>]*\bw:val="(\d+)"', properties)
-    return int(found[1]) / 2 if found else None
-
+_NS = "{http://schemas.openxmlformats.org/wordprocessingml/2006/main}"
+_OFF = {"0", "false", "off"}
+
+
+def _look(properties: ET.Element | None) -> dict:
+    """Bold, italic and size (points) that a properties element states; what it leaves open is absent."""
+    out: dict = {}
+    for child in properties if properties is not None else ():
+        tag, value = child.tag.removeprefix(_NS), child.get(f"{_NS}val")
+        if tag in ("b", "i"):
+            out[tag] = (value or "true").lower() not in _OFF
+        elif tag == "sz" and (value or "").isdigit():
+            out[tag] = int(value) / 2
+    return out
 
-def _properties(xml: str) -> str:
-    found = re.search(r"<w:rPr\b.*?</w:rPr>", xml, re.S)
-    return found[0] if found else ""
 
+def _styles(xml: bytes) -> dict[str, dict]:
+    return {s.get(f"{_NS}styleId"): _look(s.find(f"{_NS}rPr")) for s in ET.fromstring(xml).iter(f"{_NS}style") if s.get(f"{_NS}styleId")}
 
-def _styles(xml: str) -> dict[str, tuple]:
-    out = {}
-    for style in re.findall(r"<w:style\b.*?</w:style>", xml, re.S):
-        if name := re.search(r'\bw:styleId="([^"]+)"', style):
-            p = _properties(style)
-            out[name[1]] = (_flag(p, "b"), _flag(p, "i"), _size(p))
-    return out
 
+def _own(element: ET.Element, tag: str) -> Iterator[ET.Element]:
+    """Descendants with a tag that do not belong to a paragraph inside this one."""
+    for child in element:
+        if child.tag == _NS + tag:
+            yield child
+        elif child.tag != f"{_NS}p":
+            yield from _own(child, tag)
 
-def _run_text(xml: str) -> str:
-    def piece(m: re.Match) -> str:
-        if m[0].startswith("<w:tab"):
-            return " "
-        if m[0].startswith("<w:br"):
-            return "\n"
-        text = m[1]
-        for entity, char in _ENTITIES:
-            text = text.replace(entity, char)
-        return re.sub(r"<[^>]+>", "", text)
 
-    return "".join(piece(m) for m in re.finditer(r"<w:t\b[^>]*>(.*?)</w:t>|<w:tab\b[^>]*/>|<w:br\b[^>]*/>", xml, re.S))
+def _run_text(run: ET.Element) -> str:
+    marks = {f"{_NS}tab": " ", f"{_NS}br": "\n"}
+    return "".join((x.text or "") if x.tag == f"{_NS}t" else marks.get(x.tag, "") for x in run)
 
 
 def _tidy(text: str) -> str:
-    text = text.replace(" ", " ")
-    text = re.sub(r"[ \t]+\n", "\n", text)
-    text = re.sub(r"\n[ \t]+", "\n", text)
-    return re.sub(r"[ \t]{2,}", " ", text).strip()
+    lines = [re.sub(r"[ \t]{2,}", " ", x) for x in text.replace("\u00a0", " ").split("\n")]
+    inner = [x if len(lines) == 1 else x.rstrip(" \t") if i == 0 else x.lstrip(" \t") if i == len(lines) - 1 else x.strip(" \t") for i, x in enumerate(lines)]
+    return "\n".join(inner).strip()
 
 
 def _solid(text: str) -> int:
-    return len(re.sub(r"\s+", "", text))
+    return sum(not c.isspace() for c in text)
 
 
-def paragraphs(xml: str, styles: dict[str, tuple]) -> list[dict]:
-    """Non-empty paragraphs with what their runs share out: bold share, italics, largest size."""
+def paragraphs(xml: bytes, styles: dict[str, dict]) -> list[dict]:
+    """Non-empty paragraphs with what their runs make of them: bold share, italics, largest size."""
     out = []
-    for p in re.findall(r"<w:p\b.*?</w:p>", xml, re.S):
-        style = re.search(r'<w:pStyle\b[^>]*\bw:val="([^"]+)"', p)
-        base = styles.get(style[1], (None, None, None)) if style else (None, None, None)
-        runs = []
-        for r in re.findall(r"<w:r\b.*?</w:r>", p, re.S):
-            props, text = _properties(r), _run_text(r)
-            if text:
-                own = (_flag(props, "b"), _flag(props, "i"), _size(props))
-                runs.append((text, *(b if a is None else a for a, b in zip(own, base, strict=True))))
-        text = _tidy("".join(r[0] for r in runs))
-        if not text:
-            continue
-        share = sum(_solid(r[0]) for r in runs if r[1]) / _solid(text) if _solid(text) else 0.0
-        sizes = [r[3] for r in runs if r[3]]
-        out.append({
-            "text": text, "styleId": style[1] if style else None, "isBold": share >= 0.6, "isItalic": bool(runs) and all(not r[0].strip() or bool(r[2]) for r in runs),
-            "maxFontSize": max(sizes) if sizes else None, "boldTextRatio": share,
-        })
+    for p in ET.fromstring(xml).iter(f"{_NS}p"):
+        style = p.find(f"{_NS}pPr/{_NS}pStyle")
+        name = style.get(f"{_NS}val") if style is not None else None
+        runs = [(t, {**styles.get(name, {}), **_look(r.find(f"{_NS}rPr"))}) for r in _own(p, "r") if (t := _run_text(r))]
+        text = _tidy("".join(t for t, _ in runs))
+        if text:
+            share = sum(_solid(t) for t, look in runs if look.get("b")) / max(1, _solid(text))
+            out.append({
+                "text": text, "styleId": name, "isBold": share >= 0.6, "isItalic": all(look.get("i", False) or not t.strip() for t, look in runs),
+                "maxFontSize": max((look["sz"] for _, look in runs if look.get("sz")), default=None), "boldTextRatio": share,
+            })
     return out
 
 
@@ -98,7 +81,7 @@ def parse_package(content: bytes) -> dict:
         names = sorted(z.namelist())
         if "word/document.xml" not in names:
             raise ValueError("part not found: word/document.xml")
-        read = lambda n: z.read(n).decode("utf-8")
+        read = z.read
         styles = _styles(read("word/styles.xml")) if "word/styles.xml" in names else {}
         many = lambda kind: [p for n in names if re.fullmatch(rf"word/{kind}\d+\.xml", n) for p in paragraphs(read(n), styles)]
         return {"headers": many("header"), "body": paragraphs(read("word/document.xml"), styles), "footers": many("footer")}
@@ -113,7 +96,7 @@ def parse(files: DataFrame) -> DataFrame:
             for path, content in zip(frame["path"], frame["content"], strict=True):
                 try:
                     rows.append({"path": path, **parse_package(bytes(content)), "error": None})
-                except (ValueError, zipfile.BadZipFile, KeyError, UnicodeDecodeError) as e:
+                except (ValueError, zipfile.BadZipFile, KeyError, ET.ParseError) as e:
                     rows.append({"path": path, "headers": [], "body": [], "footers": [], "error": str(e)})
             yield pd.DataFrame(rows, columns=["path", "headers", "body", "footers", "error"])
 
