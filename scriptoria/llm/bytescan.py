@@ -77,15 +77,18 @@ def slice_hash(p: np.ndarray, start: np.ndarray, end: np.ndarray, base: np.uint6
     return mix(h)
 
 
-def text_chunks(column: pa.Array, limit: int = 1 << 20) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+def text_chunks(column: pa.Array, limit: int = 1 << 19) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(first row, row after the last, bytes, offsets) of runs of rows of about ``limit`` bytes; null is empty."""
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
-    column = pc.fill_null(column, "").cast(pa.large_string())
+    if column.null_count:
+        column = pc.fill_null(column, "")
     if not len(column):
         return
+    # the column's own buffers, without a copy
     _, off, data = column.buffers()
-    offs = np.frombuffer(off, np.int64)[column.offset : column.offset + len(column) + 1]
+    wide = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offs = np.frombuffer(off, wide)[column.offset : column.offset + len(column) + 1].astype(np.int64)
     data = np.frombuffer(data, np.uint8) if data is not None else np.zeros(0, np.uint8)
     lo = 0
     while lo < len(column):

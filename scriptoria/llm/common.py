@@ -13,8 +13,8 @@ from pyspark.sql import functions as F
 
 _OWN_DIRS: dict[str, str] = {}
 
-#: Words of 64 bits in a fixed-size filter (2**20 longs, 8 MB): its size never follows the data.
-FILTER_WORDS = 1 << 20
+#: Words of 64 bits in a fixed-size filter (2**18 longs, 2 MB): its size never follows the data.
+FILTER_WORDS = 1 << 18
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -37,16 +37,29 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/scriptoria/{name}-{uuid.uuid4().hex}"
 
 
+#: Rows of an Arrow batch: whole texts are long, and the usual 10,000 of them would fill an executor's memory.
+ARROW_ROWS = 1000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lower the session's Arrow batch size to ``ARROW_ROWS`` unless the session has a value of its own."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(key) == "10000":
+        spark.conf.set(key, str(ARROW_ROWS))
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: this cuts the lineage,
     survives lost executors and lets several consumers share one computation."""
     spark = df.sparkSession
+    small_batches(spark)
     path = scratch_path(spark, name)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
 def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    small_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -185,7 +185,7 @@ def predict(docs: DataFrame, model: PpmModel | None, id_col: str = "doc_id", tex
         for batch in batches:
             texts = batch.column(1)
             lang, prob, rate = [], [], []
-            for lo, hi, data, offsets in text_chunks(texts, 1 << 20):
+            for lo, hi, data, offsets in text_chunks(texts, 1 << 18):
                 whole = texts.slice(lo, hi - lo).to_pylist()
                 bits = m.code_lengths(data, offsets) if m else None
                 for i, t in enumerate(whole):
@@ -219,7 +219,7 @@ def keep_identified(docs: DataFrame, text_col: str = "text") -> DataFrame:
         for batch in batches:
             keep = []
             texts = batch.column(at)
-            for lo, hi, data, offsets in text_chunks(texts, 1 << 20):
+            for lo, hi, data, offsets in text_chunks(texts, 1 << 18):
                 bits = m.code_lengths(data, offsets) if m else None
                 for i, t in enumerate(texts.slice(lo, hi - lo).to_pylist()):
                     keep.append(bool(m and t and _LETTER.search(t) and np.isfinite(bits[i].min())))

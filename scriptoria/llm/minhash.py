@@ -139,7 +139,7 @@ def agreeing(pairs: DataFrame, sigs: DataFrame, threshold: int) -> DataFrame:
 def shingle_table(docs: DataFrame, pairs: DataFrame, k: int, id_col: str, text_col: str) -> DataFrame:
     """(id, shingles) of the documents of some pairs (and perhaps of a few others): a fixed-size filter picks them."""
     ids = pairs.select(F.col("u").alias("id")).union(pairs.select("v"))
-    held = docs.sparkSession.sparkContext.broadcast(np.array(key_filter_words(ids, "id"), np.int64))
+    held = docs.sparkSession.sparkContext.broadcast(key_filter_words(ids, "id"))
     rows = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("t")).where("id is not null")
     rows = rows.withColumn("h", mixed(F.col("id")))
 
@@ -290,6 +290,7 @@ def near_duplicates(
     sigs = materialise(signatures(docs, id_col, text_col, shingle, coordinates), "signatures")
     filled = sigs.where("set_key is not null and id is not null")
     classes = filled.groupBy("set_key", "n_shingles").agg(F.min("id").alias("rep"))
+    classes = materialise(classes, "classes")  # plain exchanges on both sides: a hot class can be split
     members = filled.select("id", "set_key", "n_shingles").join(classes, ["set_key", "n_shingles"]).select("id", "rep")
     members = materialise(members.distinct(), "members")
     reps = materialise(filled.join(classes.select(F.col("rep").alias("id"), "set_key"), ["id", "set_key"], "left_semi").select("id", "sig").distinct(), "reps")
@@ -310,11 +311,13 @@ def near_duplicates(
     # members of one cluster in different components
     placed = cluster.join(comp, "id", "left").select("id", "cluster", F.coalesce("component", "id").alias("part"))
     open_ = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("cluster", "n")
+    open_ = materialise(open_, "open")  # as above: a hot cluster can be split
     joining = materialise(joining_links(placed.join(open_, "cluster"), sets, numerator), "joining")
     # members of one list in different clusters
     listed = posted.join(lists.drop("leader"), "pair").join(cluster, "id", "left").select("pair", "id", "n", F.coalesce("cluster", "id").alias("part"))
     listed = materialise(listed, "listed")
     several = listed.groupBy("pair").agg(F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("pair")
+    several = materialise(several, "several")  # both sides of the join are then plain exchanges that can be split
     rest = materialise(agreeing_in_lists(listed.join(several, "pair", "left_semi"), reps, threshold), "rest")
     more = confirm(rest, shingle_table(docs, rest, shingle, id_col, text_col), numerator) if not rest.isEmpty() else rest
 

@@ -19,8 +19,8 @@ from .common import estimated_bytes, shuffle_width
 BLOCK_SCHEMA = "bucket long, block binary"
 #: log2 of the number of bits of the repeat filter (16 MB).
 REPEAT_BITS = 27
-#: log2 of the number of one-byte cells of the frequency sketch (16 MB).
-COUNT_BITS = 24
+#: log2 of the number of one-byte cells of the frequency sketch (8 MB).
+COUNT_BITS = 23
 
 
 def bucket_bits(df: DataFrame, per_bucket: int = 4 << 20, most: int = 14) -> int:
@@ -93,7 +93,7 @@ def repeat_filter(df: DataFrame, columns: list[str], hashes: Callable) -> np.nda
                 many = np.minimum.reduceat(d, at) != np.maximum.reduceat(d, at) if len(at) else np.zeros(0, bool)
                 held.append((v[at], many))
                 n += len(at)
-                if n > 8_000_000:
+                if n > 2_000_000:
                     yield list(merged(held))
                     held, n = [], 0
         if held:
@@ -153,7 +153,7 @@ def count_sketch(df: DataFrame, columns: list[str], hashes: Callable) -> np.ndar
             for values in hashes(batch):
                 held.append(values)
                 n += len(values)
-                if n > 8_000_000:
+                if n > 2_000_000:
                     yield list(merged(held))
                     held, n = [], 0
         if held:
