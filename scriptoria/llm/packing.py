@@ -31,20 +31,23 @@ CAPACITY, END_ID = 2048, 0
 RANK_BLOCK = 20_000
 
 
-def byte_vocabulary(path: str) -> dict[bytes, int]:
-    """Byte strings and ids of a byte-level BPE file of the ``tokenizers`` library (special tokens left out)."""
+def byte_vocabulary(path: str) -> tuple[dict[bytes, int], dict[str, int]]:
+    """Of a byte-level BPE file of the ``tokenizers`` library: byte strings and their ids, added tokens and their ids."""
     # the public byte-level alphabet: printable bytes stand for themselves, the others for 256, 257, ...
     plain = [*range(33, 127), *range(161, 173), *range(174, 256)]
     letters = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(x for x in range(256) if x not in plain)}
     with open(path, encoding="utf-8") as file:
         spec = json.load(file)
-    special = {t["content"] for t in spec["added_tokens"]}
-    return {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in special}
+    added = {t["content"]: t["id"] for t in spec["added_tokens"]}
+    return {bytes(letters[c] for c in token): i for token, i in spec["model"]["vocab"].items() if token not in added}, added
 
 
 def encoder(path: str) -> tiktoken.Encoding:
-    """The same ids as the ``tokenizers`` library gives for the file (a test holds them against it), faster."""
-    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=byte_vocabulary(path), special_tokens={})
+    """The same ids as the ``tokenizers`` library gives for the file (a test holds them against it), faster.
+
+    Added tokens inside a text have their own ids, as in that library: encode with ``allowed_special="all"``."""
+    ranks, added = byte_vocabulary(path)
+    return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
 def cuts(n: int, capacity: int) -> list[int]:
@@ -61,7 +64,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "
         for batch in batches:
             doc, piece, start, length, crc = [], [], [], [], []
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array(enc.encode_ordinary(t.as_py() or ""), np.uint32)
+                ids = np.array(enc.encode(t.as_py() or "", allowed_special="all"), np.uint32)
                 ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 edges = cuts(len(ids), capacity)
                 for k, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)):

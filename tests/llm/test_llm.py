@@ -314,6 +314,21 @@ def test_packing(spark, odd):
         assert len(bins) <= -(-sum(r["length"] for r in got) // 2048) * 1.02 + 1
 
 
+def test_packing_added_tokens(spark):
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    tok = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    texts = ["see a<|endoftext|>b", "<|endoftext|>", "one \n <|endoftext|> <|endoftext|><|endoftext|>\n two", "<|endoftext|", "<|endof<|endoftext|>text|>", "word <|endoftext|> " * 900]
+    want = {}
+    for i, x in enumerate(tok.encode_batch(texts, add_special_tokens=False)):
+        ids = np.array([*x.ids, 0], "<u4")
+        edges = packing.cuts(len(ids), 2048)
+        want |= {(i, k): (a, b - a, zlib.crc32(ids[a:b].tobytes())) for k, (a, b) in enumerate(zip(edges[:-1], edges[1:], strict=True))}
+    got = packing.pack(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert {(r["doc_id"], r["piece"]): (r["start"], r["length"], r["ids_crc32"]) for r in got} == want and len(got) == len(want)
+
+
 def test_cuts():
     assert packing.cuts(5, 4) == [0, 1, 5] and packing.cuts(4, 4) == [0, 4] and packing.cuts(8, 4) == [0, 4, 8] and packing.cuts(1, 4) == [0, 1]
 
