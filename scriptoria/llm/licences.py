@@ -1,8 +1,10 @@
 """Licence scans by sentence-rule recognition.
 
-A text is cut into sentences (at line ends and after . ! ? before white space), each is normalised (lower case, only
-letters a-z and digits, single spaces) and mapped to the identifier of a known licence sentence, if it is one.  The sequence of
-identifiers of a document, unknown sentences left out, is matched against ordered rules: a rule is a run of
+A text is cut into pieces (at line ends and after . ! ? before white space), each is normalised (lower case, only
+letters a-z and digits, single spaces).  One piece, or a run of pieces without a blank one between them, that reads like a known
+licence sentence is mapped to its identifier: so a sentence wrapped over lines, or with an abbreviation's point inside, is found
+like one on a line.  The longest known sentence at a place wins, and a piece is used once.  The sequence of
+identifiers of a document, unknown pieces left out, is matched against ordered rules: a rule is a run of
 identifiers, earlier rules win, and an identifier is used once.  Everything is column expressions on one pass.
 
 Defined results: null and empty texts have no sentences and no licences; repeated rows are rows of their own.
@@ -74,17 +76,24 @@ def normalise(sentence: str) -> str:
 
 
 def known_sentences(sentences: dict[str, str]) -> dict[str, str]:
-    """Normalised text -> identifier; a known text of several sentences is known by each way of its being cut once whole."""
+    """Normalised text -> identifier."""
     return {normalise(t): k for k, t in sentences.items()}
 
 
+def sentence_pattern(known: dict[str, str]) -> str:
+    """A known sentence between two marks ``|`` of pieces' edges; any of its spaces may be such an edge."""
+    longest_first = sorted((t for t in known if t), key=lambda t: (-len(t), t))
+    return rf"\|({'|'.join(t.replace(' ', '[ |]') for t in longest_first)})(?=\|)"
+
+
 def scan(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[tuple[str, list[str]]] | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, n_sentences (recognised), sentence_ids, licences: lists in reading order (rules' order for licences), joined by ';'."""
     known, rules = known_sentences(sentences or SENTENCES), rules or RULES
     table = F.create_map(*[F.lit(x) for pair in known.items() for x in pair])
-    lines = F.split(F.regexp_replace(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"([.!?])[\t\f\r ]+", "$1\n"), "\n")
-    norm = F.transform(lines, lambda x: F.trim(F.regexp_replace(F.lower(x), "[^a-z0-9]+", " ")))
-    ids = F.filter(F.transform(norm, lambda x: table[x]), lambda x: x.isNotNull())
+    lines = F.regexp_replace(F.coalesce(F.col(text_col).cast("string"), F.lit("")), r"([.!?])[\t\f\r ]+", "$1\n")
+    norm = F.regexp_replace(F.regexp_replace(F.lower(lines), r"[^a-z0-9\n]+", " "), r" ?\n ?", "|")
+    found = F.regexp_extract_all(F.concat(F.lit("|"), F.trim(norm), F.lit("|")), F.lit(sentence_pattern(known)), F.lit(1))
+    ids = F.transform(found, lambda x: table[F.translate(x, "|", " ")])
     out = docs.select(F.col(id_col).cast("long").alias("id"), ids.alias("ids"))
     out = out.select("id", F.size("ids").cast("long").alias("n_sentences"), F.array_join("ids", ";").alias("sentence_ids"), F.concat_ws("", F.transform("ids", lambda x: F.concat(F.lit("<"), x, F.lit(">")))).alias("s"), F.array().cast("array<string>").alias("found"))
     empty = out.where("s = ''").select("id", "n_sentences", "sentence_ids", F.lit("").alias("licences"))

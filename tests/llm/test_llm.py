@@ -7,6 +7,7 @@ import hashlib
 import os
 import random
 import re
+import textwrap
 import zlib
 
 import duckdb
@@ -354,6 +355,24 @@ def test_licence_rules(spark):
     assert row[0]["licences"] == "Apache-2.0;MIT" and row[0]["n_sentences"] == 4 and row[1]["licences"] == row[2]["licences"] == ""
 
 
+def test_licence_wrapped_lines(spark):
+    s = licences.SENTENCES
+    fill = lambda *k, lead="", width=72: "\n".join(lead + x for x in textwrap.wrap(" ".join(s[x] for x in k), width))
+    mit = "\n\n".join([s["mit_name"], fill("mit_grant"), fill("mit_condition"), fill("mit_warranty")])
+    texts = {
+        "MIT": [mit, mit.replace("\n", "\r\n"), "A title\n" + fill("mit_grant", lead=" * ", width=40) + "\n *\n" + fill("mit_condition", lead=" * ", width=40) + "\n int main()"],
+        "Apache-2.0": [fill("apache_under", "apache_basis", "apache_see", lead="# ", width=60)],
+        "GPL-3.0-or-later": [fill("gpl_free", "gpl_hope", "gpl_details")],
+        "BSD-3-Clause": [fill("bsd_redistribution") + "\n\n" + fill("bsd_endorse")],
+        "MPL-2.0": [s["mpl_notice"], "Words. " + s["mpl_notice"] + " Words", fill("mpl_notice", width=30)],
+        "": ["\n\n".join(textwrap.wrap(s["isc_grant"], 72)), "words " + s["isc_grant"], fill("isc_grant")[:-30]],
+    }
+    rows = [(i, t, want) for i, (t, want) in enumerate((t, k) for k, v in texts.items() for t in v)]
+    got = {r["id"]: (r["licences"], r["sentence_ids"]) for r in licences.scan(spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")).collect()}
+    assert {i: x for i, (x, _) in got.items()} == {i: want for i, _, want in rows}
+    assert got[0][1] == got[1][1] == "mit_name;mit_grant;mit_condition;mit_warranty"
+
+
 # 10 MinHash near dedup
 
 
