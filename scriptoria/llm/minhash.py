@@ -244,11 +244,13 @@ def joining_links(clusters: DataFrame, sets: DataFrame, numerator: int, block: i
     set of links that joins all its rows that links join."""
 
     def compare(unit):
+        # an id that repeats may have an empty text besides the one that put it here
+        unit = [r for r in unit if r[6]]
+        if len(unit) < 2:
+            return
         b, ids, part = _unit_columns(unit)
         own = [np.frombuffer(r[6], np.uint64) for r in unit]
         size = np.array([len(x) for x in own])
-        if not size.all():
-            return
         vocabulary, flat = np.unique(np.concatenate(own), return_inverse=True)
         edge = np.cumsum(size) - size
         label = part.copy()

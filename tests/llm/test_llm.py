@@ -426,6 +426,14 @@ def test_near_dedup_repeated_ids(spark):
     assert got == [(-1, -1), (1, 1), (1, 1), (2, 1)]
 
 
+def test_joining_links_repeated_id_with_empty_text(spark):
+    some = np.arange(10, dtype=np.uint64).tobytes()
+    clusters = spark.createDataFrame([(1, i, i, 3) for i in (1, 2, 3)], "cluster long, id long, part long, n long")
+    sets = spark.createDataFrame([(1, some), (2, some), (3, some), (3, b"")], "id long, shingles binary")
+    got = minhash.components(minhash.joining_links(clusters, sets, 85)).collect()
+    assert sorted(map(tuple, got)) == [(1, 1), (2, 1), (3, 1)]
+
+
 # helpers and the pipeline
 
 
