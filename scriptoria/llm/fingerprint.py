@@ -6,9 +6,10 @@ adding or subtracting its vector (``combine``).  The vector has two parts:
 
 * 8 exact lanes of 32 bits, the words of the paragraph's SHA-256, summed modulo 2**32: equal multisets of
   paragraphs have equal lanes, different ones do not but by a chance of about 2**-256;
-* 126 likeness lanes of 21 bits, three to a long: for each three-word piece of the paragraph (or the whole
-  paragraph if shorter) every lane gets one bit of its hash, summed modulo 2**21.  A lane with c ones of n pieces
-  has the signed sum 2c - n, so the dot product of two documents' lanes estimates the pieces that they share.
+* 128 likeness lanes of 32 bits, two to a long: for each three-word piece of the paragraph (or the whole
+  paragraph if shorter) every lane gets one bit of its hash, summed modulo 2**32.  A text has fewer than 2**31
+  pieces (that is Spark's longest string), so its sums neither wrap nor carry into the next lane.  A lane with c ones
+  of n pieces has the signed sum 2c - n, so the dot product of two documents' lanes estimates the pieces that they share.
 
 Likeness is that dot product over the larger squared norm, within 0 and 1; the error is about 0.09.
 
@@ -24,8 +25,8 @@ from pyspark.sql import functions as F
 
 from .common import materialise, read_table, shuffle_width
 
-EXACT_LANES, LANE_BITS, PER_LONG = 8, 21, 3
-#: Hashes of 64 bits a piece; each gives 21 longs of three one-bit lanes.
+EXACT_LANES, LANE_BITS, PER_LONG = 8, 32, 2
+#: Hashes of 64 bits a piece; each gives 32 longs of two one-bit lanes.
 HASHES = 2
 LONGS = HASHES * LANE_BITS
 LANES = LONGS * PER_LONG

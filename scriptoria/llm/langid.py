@@ -8,8 +8,12 @@ depends on the ``order`` bytes before it alone, and is tabulated for every gram
 language; an unmet gram pays the escapes of its contexts, longest first.  A text's language is the one with
 the shortest code for the whole text.
 
-The classifier is fitted on a bounded sample: about ``rows_per_language`` labelled rows of each language, taken
-by a hash of the id, and at most ``max_grams`` grams (rarest dropped first).  Scoring reads every whole text.
+The classifier is fitted on a bounded sample of labelled rows: about ``rows_per_language`` rows of each language and
+``max_rows`` in all, but one at least of each, taken by a hash of the id.  Every gram of these rows counts.  Scoring reads every whole text.
+
+A code length is a sum over the grams that end at a byte.  With few languages it is tabulated for every gram and language
+(``PpmModel``); where that table would have more than ``DENSE_CELLS`` cells, the same sum is taken over the pairs of gram and
+language that training met (``SparsePpm``).
 
 Defined results: null text, a text without a letter, or no training rows at all: ``und`` with score 0 and no
 code length; ties go to the alphabetically first language; rows with a null label are scored like all others.
@@ -27,7 +31,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytescan import text_chunks
-from .common import read_table
+from .common import BROADCAST_IDS, materialise, read_table
 
 UNDETERMINED = "und"
 _LETTER = regex.compile(r"\p{L}")
@@ -142,41 +146,107 @@ class PpmModel:
         return total
 
 
-def training_rows(docs: DataFrame, learn: Column, rows_per_language: int, id_col: str = "doc_id") -> DataFrame:
-    """About ``rows_per_language`` labelled rows of each language, chosen by a hash of the id."""
-    labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull()).select(F.col(id_col).alias("id"), "text", "lang")
-    sizes = {r["lang"]: r["n"] for r in labelled.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).orderBy(F.desc("n"), "lang").limit(1000).collect()}
-    share = F.lit(0.0)
-    for name, n in sizes.items():
-        share = F.when(F.col("lang") == name, F.lit(min(1.0, rows_per_language / n))).otherwise(share)
-    return labelled.where(F.pmod(F.xxhash64("id"), F.lit(1 << 30)) < share * (1 << 30)).select("lang", "text")
+class SparsePpm:
+    """The same code lengths from the pairs of gram and language that training met: memory follows the training rows alone.
+
+    With own(g), the cost of a gram met, and esc(c), the escape of a context met, the bits of a byte are 8 plus, for each gram g
+    that ends at it, esc(context of g) where the context was met and own(g) - esc(context of g) - own(shorter g) where g was.
+    """
+
+    def __init__(self, languages: list[str], language: np.ndarray, grams: np.ndarray, counts: np.ndarray, order: int):
+        self.languages, self.order = languages, order
+        bits, low = np.uint64(24), np.uint64((1 << 24) - 1)
+        language = language.astype(np.uint64)
+        below_keys, below_own = None, None
+        #: by gram length: (table, edges, language, bits) of grams and of their contexts
+        self.levels: dict[int, tuple] = {}
+        for m in range(1, order + 2):
+            keys, index = np.unique(((grams & np.uint64((1 << (8 * m)) - 1)) << bits) | language, return_inverse=True)
+            count = np.bincount(index, counts, len(keys))
+            code, lang = keys >> bits, keys & low
+            ckeys, cindex = np.unique(((code >> np.uint64(8)) << bits) | lang, return_inverse=True)
+            n, d = np.bincount(cindex, count, len(ckeys)), np.bincount(cindex, minlength=len(ckeys))
+            own, escape = -np.log2(count / (n + d)[cindex]), -np.log2(d / (n + d))
+            if m == 1:
+                shorter = np.full(len(keys), 8.0)
+            else:
+                shorter = below_own[np.searchsorted(below_keys, ((code & np.uint64((1 << (8 * (m - 1))) - 1)) << bits) | lang)]
+            self.levels[m] = (self._rows(code, lang, own - escape[cindex] - shorter), self._rows(ckeys >> bits, ckeys & low, escape))
+            below_keys, below_own = keys, own
+
+    @staticmethod
+    def _rows(code: np.ndarray, lang: np.ndarray, bits: np.ndarray) -> tuple:
+        """Look-up of sorted codes; a code's entries are edges[i] to edges[i + 1]."""
+        first = np.flatnonzero(np.r_[True, code[1:] != code[:-1]]) if len(code) else np.zeros(0, np.int64)
+        table = GramTable(code[first])
+        start, end = first[table.order], np.append(first[1:], len(code))[table.order] if len(code) else first
+        return table, start, end, lang.astype(np.int64), bits
+
+    def code_lengths(self, data: np.ndarray, offsets: np.ndarray) -> np.ndarray:
+        """Bits of each document in each language."""
+        k = len(self.languages)
+        total = np.repeat((8.0 * np.diff(offsets))[:, None], k, axis=1)
+        if not len(data):
+            return total
+        codes = _gram_codes(data, offsets, self.order)
+        doc = np.repeat(np.arange(len(offsets) - 1), np.diff(offsets))
+        for m, parts in self.levels.items():
+            own = codes & np.uint64((1 << (8 * m)) - 1)
+            for (table, start, end, lang, bits), wanted in zip(parts, (own, own >> np.uint64(8)), strict=True):
+                row = table.find(wanted)
+                at = np.flatnonzero(row >= 0)
+                lo, n = start[row[at]], (end - start)[row[at]]
+                entry = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                total += np.bincount(np.repeat(doc[at], n) * k + lang[entry], bits[entry], total.size).reshape(total.shape)
+        return total
+
+
+#: Cells (grams times languages) up to which code lengths are tabulated (256 MB).
+DENSE_CELLS = 32_000_000
+
+
+def made_model(languages: list[str], language: np.ndarray, grams: np.ndarray, counts: np.ndarray, order: int) -> PpmModel | SparsePpm:
+    kind = PpmModel if len(np.unique(grams)) * len(languages) <= DENSE_CELLS else SparsePpm
+    return kind(languages, language, grams, counts, order)
 
 
-def fit(docs: DataFrame, learn: Column, rows_per_language: int = 1000, order: int = 4, max_grams: int = 2_000_000) -> PpmModel | None:
+def training_rows(docs: DataFrame, learn: Column, rows_per_language: int, max_rows: int, id_col: str = "doc_id") -> DataFrame:
+    """About ``rows_per_language`` labelled rows of each language, ``max_rows`` in all, one at least of each; by a hash of the id."""
+    labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
+    hashed = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30))
+    sizes = materialise(labelled.groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("n"), F.min(hashed).alias("least")), "languages")
+    known = sizes.count()
+    each = min(rows_per_language, max(1, max_rows // max(known, 1)))
+    sizes = F.broadcast(sizes) if known <= BROADCAST_IDS else sizes
+    rows = labelled.select(hashed.alias("h"), "text", "lang").join(sizes, F.col("lang") == F.col("l"))
+    return rows.where((F.col("h") < F.lit(each) / F.col("n") * (1 << 30)) | (F.col("h") == F.col("least"))).select("lang", "text")
+
+
+def fit(docs: DataFrame, learn: Column, rows_per_language: int = 1000, order: int = 4, max_rows: int = 20_000) -> PpmModel | SparsePpm | None:
     """Context trees of the training sample; None if it is empty."""
-    rows = training_rows(docs, learn, rows_per_language)
+    rows = training_rows(docs, learn, rows_per_language, max_rows)
 
     def count(batches):
         for batch in batches:
             lang = np.array(batch.column(0).to_pylist(), object)
             for lo, hi, data, offsets in text_chunks(batch.column(1)):
                 codes = _gram_codes(data, offsets, order)
-                of = np.repeat(lang[lo:hi], np.diff(offsets))
-                for name in set(lang[lo:hi]):
-                    gram, n = np.unique(codes[of == name], return_counts=True)
-                    yield pa.RecordBatch.from_arrays([pa.array([name] * len(gram), pa.string()), pa.array(gram.astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
+                names, own = np.unique(lang[lo:hi], return_inverse=True)
+                of = np.repeat(own, np.diff(offsets)).astype(np.uint64)
+                gram, n = np.unique((codes << np.uint64(24)) | of, return_counts=True)
+                yield pa.RecordBatch.from_arrays([pa.array(names[(gram & np.uint64((1 << 24) - 1)).astype(np.int64)], pa.string()), pa.array((gram >> np.uint64(24)).astype(np.int64)), pa.array(n.astype(np.int64))], names=["lang", "gram", "n"])
 
-    grams = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n"))
-    found = grams.orderBy(F.desc("n"), "lang", "gram").limit(max_grams).toArrow()
+    found = rows.mapInArrow(count, "lang string, gram long, n long").groupBy("lang", "gram").agg(F.sum("n").alias("n")).toArrow()
     if not found.num_rows:
         return None
-    names = sorted(set(found.column("lang").to_pylist()))
+    coded = found.column("lang").combine_chunks().dictionary_encode()
+    names = sorted(coded.dictionary.to_pylist())
     index = {x: i for i, x in enumerate(names)}
-    language = np.array([index[x] for x in found.column("lang").to_pylist()])
-    return PpmModel(names, language, found.column("gram").to_numpy().astype(np.uint64), found.column("n").to_numpy().astype(np.float64), order)
+    language = np.array([index[x] for x in coded.dictionary.to_pylist()])[coded.indices.to_numpy()]
+    return made_model(names, language, found.column("gram").to_numpy().astype(np.uint64), found.column("n").to_numpy().astype(np.float64), order)
 
 
-def predict(docs: DataFrame, model: PpmModel | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def predict(docs: DataFrame, model: PpmModel | SparsePpm | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, lang_pred, score (posterior of the winner under equal priors), bits_per_byte."""
     held = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
 
@@ -207,9 +277,18 @@ def held_out(id_col: str = "doc_id") -> Column:
     return F.pmod(F.crc32(F.col(id_col).cast("string")), F.lit(3)) == 1
 
 
-def keep_identified(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """Rows whose text has a language, with all their columns: what goes is null, empty or letterless texts (all
-    rows if nothing could be learned).  One pass over the rows, without a shuffle."""
+#: Bits a byte of raw text, and the bits by which a code must be longer than the raw text to say that no language fits.
+RAW_BITS, MARGIN = 8.0, 64.0
+
+
+def keep_identified(docs: DataFrame, text_col: str = "text", margin: float = MARGIN) -> DataFrame:
+    """Rows whose text is in a learned language, with all their columns.
+
+    A row goes if its text has no letter (null, empty, digits and signs), or if even the language with the shortest code
+    takes more than 8 bits a byte and ``margin`` bits: the model then knows its text worse than raw bytes, beyond chance, as with
+    scripts and encodings that no training row has.  If nothing could be learned, rows with letters stay.  One pass over
+    the rows, without a shuffle.
+    """
     model = fit(docs, F.coalesce(~held_out(), F.lit(False)))
     held = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(model))
     at = docs.columns.index(text_col)
@@ -220,9 +299,9 @@ def keep_identified(docs: DataFrame, text_col: str = "text") -> DataFrame:
             keep = []
             texts = batch.column(at)
             for lo, hi, data, offsets in text_chunks(texts, 1 << 18):
-                bits = m.code_lengths(data, offsets) if m else None
-                for i, t in enumerate(texts.slice(lo, hi - lo).to_pylist()):
-                    keep.append(bool(m and t and _LETTER.search(t) and np.isfinite(bits[i].min())))
+                bits = m.code_lengths(data, offsets).min(axis=1) if m else np.zeros(hi - lo)
+                short = bits <= RAW_BITS * np.diff(offsets) + margin
+                keep.extend(bool(t and _LETTER.search(t) and (m is None or short[i])) for i, t in enumerate(texts.slice(lo, hi - lo).to_pylist()))
             yield batch.filter(pa.array(keep, pa.bool_()))
 
     return docs.mapInArrow(identified, docs.schema)

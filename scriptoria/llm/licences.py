@@ -96,15 +96,12 @@ def scan(docs: DataFrame, sentences: dict[str, str] | None = None, rules: list[t
     ids = F.transform(found, lambda x: table[F.translate(x, "|", " ")])
     out = docs.select(F.col(id_col).cast("long").alias("id"), ids.alias("ids"))
     out = out.select("id", F.size("ids").cast("long").alias("n_sentences"), F.array_join("ids", ";").alias("sentence_ids"), F.concat_ws("", F.transform("ids", lambda x: F.concat(F.lit("<"), x, F.lit(">")))).alias("s"), F.array().cast("array<string>").alias("found"))
-    empty = out.where("s = ''").select("id", "n_sentences", "sentence_ids", F.lit("").alias("licences"))
-    some = out.where("s <> ''")
     for name, sequence in rules:
         pattern = "".join(f"<{x}>" for x in sequence)
         # a mark stays in the place, so that what stood on either side of a match does not become one run
-        some = some.select("id", "n_sentences", "sentence_ids", F.replace("s", F.lit(pattern), F.lit("#")).alias("s"),
-                           F.when(F.col("s").contains(pattern), F.array_append("found", name)).otherwise(F.col("found")).alias("found"))
-    some = some.select("id", "n_sentences", "sentence_ids", F.array_join(F.array_sort(F.array_distinct("found")), ";").alias("licences"))
-    return empty.unionByName(some)
+        out = out.select("id", "n_sentences", "sentence_ids", F.replace("s", F.lit(pattern), F.lit("#")).alias("s"),
+                         F.when(F.col("s").contains(pattern), F.array_append("found", name)).otherwise(F.col("found")).alias("found"))
+    return out.select("id", "n_sentences", "sentence_ids", F.array_join(F.array_sort(F.array_distinct("found")), ";").alias("licences"))
 
 
 def op9_licence_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
