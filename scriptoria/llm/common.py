@@ -20,11 +20,13 @@ FILTER_WORDS = 1 << 18
 def shared_dir(spark: SparkSession) -> str:
     """The folder that driver and executors share: ``spark.checkpoint.dir``.
 
-    Only where that setting is absent (tests on one machine) is a temporary folder made.
+    Only a local master may go without that setting (tests, one machine): it then gets a temporary folder.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None)
     if configured:
         return configured.rstrip("/")
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
     app = spark.sparkContext.applicationId
     if app not in _OWN_DIRS:
         _OWN_DIRS[app] = tempfile.mkdtemp(prefix="scriptoria-shared-")
@@ -92,6 +94,11 @@ def shuffle_width(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions", "200"))
 
 
+def data_width(df: DataFrame, per_task: int = 256 << 20) -> int:
+    """Tasks of an exchange whose volume follows that of ``df``: the session's width, or more for a large input."""
+    return max(shuffle_width(df.sparkSession), -(-estimated_bytes(df) // per_task))
+
+
 def mixed(key: Column) -> Column:
     """A well-mixed non-negative long of any key."""
     return F.xxhash64(key).bitwiseAND(F.lit((1 << 62) - 1))

@@ -14,7 +14,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import estimated_bytes, shuffle_width
+from .common import data_width, estimated_bytes
 
 BLOCK_SCHEMA = "bucket long, block binary"
 #: log2 of the number of bits of the repeat filter (16 MB).
@@ -23,7 +23,7 @@ REPEAT_BITS = 27
 COUNT_BITS = 23
 
 
-def bucket_bits(df: DataFrame, per_bucket: int = 4 << 20, most: int = 14) -> int:
+def bucket_bits(df: DataFrame, per_bucket: int = 4 << 20, most: int = 20) -> int:
     """Buckets follow the input's size, so a reducer's share stays about the same."""
     return min(most, max(6, (estimated_bytes(df) // per_bucket).bit_length()))
 
@@ -48,8 +48,6 @@ def _unblock(block: bytes, width: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _gather(df: DataFrame, columns: list[str], emit: Callable, reduce: Callable, bits: int) -> dict[int, bytes]:
-    spark = df.sparkSession
-
     def mapped(batches):
         for out in emit(batches):
             bucket, block = zip(*out, strict=True) if out else ((), ())
@@ -57,17 +55,25 @@ def _gather(df: DataFrame, columns: list[str], emit: Callable, reduce: Callable,
                 yield pa.RecordBatch.from_arrays([pa.array(bucket, pa.int64()), pa.array(block, pa.binary())], names=["bucket", "block"])
 
     def reduced(batches):
-        held: dict[int, list[bytes]] = {}
+        # the rows come sorted by bucket, so one bucket at a time is held
+        key, held = None, []
+
+        def done():
+            return pa.RecordBatch.from_arrays([pa.array([key], pa.int64()), pa.array([reduce(key, held)], pa.binary())], names=["bucket", "block"])
+
         for batch in batches:
-            for k, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                held.setdefault(k, []).append(b)
-        for k, blocks in held.items():
-            out = reduce(k, blocks)
-            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([out], pa.binary())], names=["bucket", "block"])
+            for k, b in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if k != key and held:
+                    yield done()
+                    held = []
+                key = k
+                held.append(b.as_py())
+        if held:
+            yield done()
 
     rows = (
         df.select(*columns).mapInArrow(mapped, BLOCK_SCHEMA)
-        .repartition(shuffle_width(spark), "bucket").mapInArrow(reduced, BLOCK_SCHEMA).toArrow()
+        .repartition(data_width(df), "bucket").sortWithinPartitions("bucket").mapInArrow(reduced, BLOCK_SCHEMA).toArrow()
     )
     return dict(zip(rows.column(0).to_pylist(), rows.column(1).to_pylist(), strict=True))
 

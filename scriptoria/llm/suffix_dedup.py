@@ -4,11 +4,11 @@ A first scan finds the text that can repeat at all: each ``length``-byte window
 short grams, equal windows have equal marks, and marks that occur in one document only (proven by a fixed-size
 filter) rule their windows out; whole copies of a smaller document need no search.  What is left are *pieces*:
 runs of windows with one mark, with their bytes.  Pieces are combined before they move, in compressed blocks, and
-go to tasks by mark, so equal windows meet.  There the suffixes at
-all window starts are sorted: multikey quicksort with 8-byte characters to a shallow depth, then blind tries for
-the groups that still agree - levels at which a whole group agrees are skipped, only branching groups are split -
-down to ``length`` bytes.  Suffixes that end in one group hold the same string; the smallest document of the
-group tells which occurrences go.  Spans are merged and the bytes removed.
+go to tasks by range of mark, so equal windows meet; a task holds one such range (bucket) at a time.  There the suffixes at
+all window starts are sorted: multikey quicksort (pivot and ternary split, 8-byte characters, all groups of a bucket advancing
+together) to a shallow depth, then a blind trie for each group that agrees so far and branches later, down to ``length``
+bytes.  Suffixes that end in one group hold the same string; the smallest document of the group tells which
+occurrences go.  Spans are merged and the bytes removed.
 
 Classes (pieces of one mark) beyond ``CLASS_LIMIT`` different pieces are spread over tasks by the windows' own bytes, a
 plain count that is combined before its shuffle, so no task holds an unbounded class.
@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .bytescan import BASE, gram_hashes, mix, prefix_hash, slice_hash, sliding_min, text_chunks
-from .common import BROADCAST_IDS, FILTER_WORDS, key_filter_words, materialise, read_table, shuffle_width
+from .common import BROADCAST_IDS, FILTER_WORDS, data_width, key_filter_words, materialise, read_table
 from .removal import apply_spans, with_row_key
 from .sieve import bucket_bits, marked, repeat_filter
 
@@ -72,44 +72,128 @@ def words_at(data: np.ndarray) -> np.ndarray:
     return w
 
 
-def sort_suffixes(data: np.ndarray, at: np.ndarray, length: int, shallow: int = SHALLOW) -> tuple[np.ndarray, np.ndarray]:
+def multikey_quicksort(character, order: np.ndarray, starts: np.ndarray, depth: int) -> tuple[np.ndarray, np.ndarray]:
+    """Sort the groups of ``order`` that begin at ``starts`` by their characters up to ``depth``: order and group starts.
+
+    Each round splits every open group at once into the smaller, equal and larger ones around its pivot (the median of three
+    characters); the equal part goes on at the next character.  ``character(suffixes, depths)`` gives 8-byte characters.
+    """
+    order, final = order.copy(), []
+    size = np.diff(np.append(starts, len(order)))
+    at = np.zeros(len(starts), np.int64)
+    while True:
+        closed = (size < 2) | (at >= depth)
+        final.append(starts[closed])
+        starts, size, at = starts[~closed], size[~closed], at[~closed]
+        if not len(starts):
+            return order, np.sort(np.concatenate(final))
+        edge = np.cumsum(size) - size
+        place = np.arange(size.sum()) + np.repeat(starts - edge, size)
+        own = order[place]
+        c = character(own, np.repeat(at, size))
+        low, mid, high = c[edge], c[edge + size // 2], c[edge + size - 1]
+        pivot = np.repeat(np.maximum(np.minimum(low, mid), np.minimum(np.maximum(low, mid), high)), size)
+        less, same = c < pivot, c == pivot
+        n_less, n_same = np.add.reduceat(less, edge, dtype=np.int64), np.add.reduceat(same, edge, dtype=np.int64)
+        # ternary split: a row's new place is its part's start and its rank in that part
+        base = np.where(less, 0, np.where(same, np.repeat(n_less, size), np.repeat(n_less + n_same, size)))
+        rank = np.empty(len(c), np.int64)
+        for part in (less, same, ~(less | same)):
+            before = np.cumsum(part) - part
+            rank[part] = (before - np.repeat(before[edge], size))[part]
+        order[np.repeat(starts, size) + base + rank] = own
+        parts = [(starts, n_less, at), (starts + n_less, n_same, at + 8), (starts + n_less + n_same, size - n_less - n_same, at)]
+        starts, size, at = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        starts, size, at = starts[size > 0], size[size > 0], at[size > 0]
+
+
+class _Branch:
+    """A node of a blind trie: the position at which its strings differ, and a child for each byte there."""
+
+    __slots__ = ("at", "children")
+
+    def __init__(self, at: int, children: dict):
+        self.at, self.children = at, children
+
+
+class BlindTrie:
+    """Strings of one length by their branching positions only; a leaf holds one string and all that are equal to it."""
+
+    def __init__(self):
+        self.root: _Branch | tuple | None = None
+
+    def insert(self, string: bytes, member: int) -> None:
+        if self.root is None:
+            self.root = (string, [member])
+            return
+        # blind search: bytes between branching positions are skipped; without a child any path down will do
+        node = self.root
+        while isinstance(node, _Branch):
+            node = node.children.get(string[node.at]) or next(iter(node.children.values()))
+        # verification against the leaf that was found
+        if node[0] == string:
+            node[1].append(member)
+            return
+        differ = int.from_bytes(string, "big") ^ int.from_bytes(node[0], "big")
+        at, other = len(string) - (differ.bit_length() + 7) // 8, node[0]
+        # insertion at the first byte that differs
+        parent, node = None, self.root
+        while isinstance(node, _Branch) and node.at < at:
+            parent, node = node, node.children[string[node.at]]
+        if isinstance(node, _Branch) and node.at == at:
+            node.children[string[at]] = (string, [member])
+            return
+        branch = _Branch(at, {string[at]: (string, [member]), other[at]: node})
+        if parent is None:
+            self.root = branch
+        else:
+            parent.children[string[parent.at]] = branch
+
+    def groups(self) -> list[list[int]]:
+        """Members of equal strings, in the strings' order."""
+        out, stack = [], [self.root] if self.root else []
+        while stack:
+            node = stack.pop()
+            if isinstance(node, _Branch):
+                stack.extend(node.children[b] for b in sorted(node.children, reverse=True))
+            else:
+                out.append(node[1])
+        return out
+
+
+def sort_suffixes(data: np.ndarray, at: np.ndarray, length: int, shallow: int = SHALLOW, starts: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Order of the suffixes at ``at`` by their first ``length`` bytes, and a group number each (equal strings share it).
 
-    The group numbers belong to the sorted order and do not fall.
+    The group numbers belong to the sorted order and do not fall.  With ``starts``, the runs of suffixes that begin there are sorted
+    on their own (equal strings must be in one run).
     """
     word = words_at(data)
 
-    def character(i: np.ndarray, depth: int) -> np.ndarray:
-        c = word[i + depth]
-        return c if depth + 8 <= length else c >> np.uint64(8 * (depth + 8 - length))
-
-    order = np.arange(len(at))
-    group = np.zeros(len(at), np.int64)
-    # shallow: multikey quicksort, one 8-byte character a level
-    depth = 0
-    while depth < min(shallow, length):
-        c = character(at[order], depth)
-        step = np.lexsort((c, group))
-        order, c, g = order[step], c[step], group[step]
-        new = np.ones(len(order), bool)
-        new[1:] = (c[1:] != c[:-1]) | (g[1:] != g[:-1])
-        group = np.cumsum(new) - 1
-        depth += 8
-    # deep: blind tries over the groups left, all advanced together; only groups that branch at a level move
-    while depth < length:
-        c = character(at[order], depth)
-        first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
-        branches = np.minimum.reduceat(c, first) != np.maximum.reduceat(c, first)
-        moving = np.flatnonzero(np.repeat(branches, np.diff(np.append(first, len(group)))))
-        if len(moving):
-            step = np.lexsort((c[moving], group[moving]))
-            order[moving] = order[moving][step]
-            c[moving] = c[moving][step]
-            new = np.ones(len(order), bool)
-            new[1:] = (c[1:] != c[:-1]) | (group[1:] != group[:-1])
-            group = np.cumsum(new) - 1
-        depth += 8
-    return order, group
+    def character(i: np.ndarray, depth) -> np.ndarray:
+        return word[at[i] + depth] >> (np.maximum(0, depth + 8 - length) * 8).astype(np.uint64)
+
+    if not len(at):
+        return np.zeros(0, np.int64), np.zeros(0, np.int64)
+    order, first = multikey_quicksort(character, np.arange(len(at)), np.zeros(1, np.int64) if starts is None else starts, min(shallow, length))
+    size = np.diff(np.append(first, len(order)))
+    new = np.zeros(len(order), bool)
+    new[first] = True
+    # deep: groups that agree on all that is left are done, the others go to blind tries
+    lead = order[np.repeat(first, size)]
+    agree = np.ones(len(order), bool)
+    for depth in range(min(shallow, length), length, 8):
+        agree &= character(order, np.int64(depth)) == character(lead, np.int64(depth))
+    raw = None
+    for k in np.flatnonzero(~np.logical_and.reduceat(agree, first)):
+        raw = data.tobytes() if raw is None else raw
+        trie, lo = BlindTrie(), first[k]
+        for i in order[lo : lo + size[k]].tolist():
+            trie.insert(raw[at[i] + shallow : at[i] + length], i)
+        for members in trie.groups():
+            order[lo : lo + len(members)] = members
+            new[lo] = True
+            lo += len(members)
+    return order, np.cumsum(new) - 1
 
 
 def resolve(data: np.ndarray, sizes: np.ndarray, low: np.ndarray, high: np.ndarray, length: int, gram: int, limit: int):
@@ -141,7 +225,8 @@ def resolve(data: np.ndarray, sizes: np.ndarray, low: np.ndarray, high: np.ndarr
     edge = np.cumsum(windows) - windows
     of = np.repeat(several, windows)
     place = start[of] + np.arange(windows.sum()) - np.repeat(edge, windows)
-    rank, group = sort_suffixes(data, place, length)
+    # equal windows have equal marks, so each class is sorted on its own
+    rank, group = sort_suffixes(data, place, length, starts=np.flatnonzero(np.r_[True, np.diff(klass[of]) != 0]))
     first = np.flatnonzero(np.r_[True, group[1:] != group[:-1]])
     least = np.minimum.reduceat(low[of[rank]], first)
     firsts = np.empty(len(of), np.int64)
@@ -205,7 +290,7 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
 
     held = spark.sparkContext.broadcast(repeat_filter(numbered, ["id", "t", "key"], marks))
 
-    bits = bucket_bits(numbered, 1 << 18)
+    bits = bucket_bits(numbered, 1 << 18, 20)
 
     def chosen(batch):
         """Runs that may repeat, with the hashes of their pieces."""
@@ -248,21 +333,36 @@ def repeated_spans(rows: DataFrame, length: int = LENGTH, gram: int = GRAM) -> D
         if size:
             yield flush()
 
+    def solve(own, out):
+        parts = [_unpack(b) for b in own]
+        sizes, low, high = (np.concatenate([p[k] for p in parts]) for k in range(3))
+        out.extend(resolve(np.frombuffer(b"".join(p[3] for p in parts), np.uint8), sizes, low, high, length, gram, CLASS_LIMIT))
+
     def sort(batches):
-        blocks: dict[int, list[bytes]] = {}
-        for batch in batches:
-            for k, b in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                blocks.setdefault(k, []).append(b)
+        """The rows come sorted by bucket, so one bucket at a time is held."""
         types = (pa.int64(), pa.int64(), pa.binary(), pa.int64(), pa.int64(), pa.binary())
-        for own in blocks.values():
-            parts = [_unpack(b) for b in own]
-            sizes, low, high = (np.concatenate([p[k] for p in parts]) for k in range(3))
-            out = list(resolve(np.frombuffer(b"".join(p[3] for p in parts), np.uint8), sizes, low, high, length, gram, CLASS_LIMIT))
-            if out:
-                columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
-                yield pa.RecordBatch.from_arrays(columns, names=["piece", "first", "firsts", "low", "high", "bytes"])
-
-    classes = numbered.mapInArrow(distinct, "bucket long, block binary").repartition(shuffle_width(spark), "bucket")
+
+        def made(out):
+            columns = [pa.array(c, t) for c, t in zip(zip(*out, strict=True), types, strict=True)]
+            return pa.RecordBatch.from_arrays(columns, names=["piece", "first", "firsts", "low", "high", "bytes"])
+
+        key, own, out = None, [], []
+        for batch in batches:
+            for k, b in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                if k != key and own:
+                    solve(own, out)
+                    own = []
+                    if len(out) > 10_000:
+                        yield made(out)
+                        out = []
+                key = k
+                own.append(b.as_py())
+        if own:
+            solve(own, out)
+        if out:
+            yield made(out)
+
+    classes = numbered.mapInArrow(distinct, "bucket long, block binary").repartition(data_width(numbered), "bucket").sortWithinPartitions("bucket")
     solved = materialise(classes.mapInArrow(sort, "piece long, first long, firsts binary, low long, high long, bytes binary"), "solved")
     firsts = solved.where("first is not null").select("piece", "first", "firsts")
     if not solved.where("first is null").isEmpty():
