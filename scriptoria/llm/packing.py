@@ -3,7 +3,7 @@
 Only the number of pieces of each length matters to a packing, so it is planned on that histogram (one entry a
 length, at most ``capacity`` of them): best-fit decreasing over groups of like bins, then a local search that moves
 a document, exchanges one for one or two for one between underfull bins whenever the sum of squared fills grows,
-until bins run empty.  The plan is a bounded list of bin patterns with multiplicities.  Pieces then find their place by
+until bins run empty, no exchange is left, or the least possible number of bins is reached.  The plan is a bounded list of bin patterns with multiplicities.  Pieces then find their place by
 their rank within their length, which is counted in blocks, so a hot length is never in one task.
 
 Defined results: null text is empty and still has its end id; rows that repeat an id are packed as rows of their
@@ -15,7 +15,7 @@ from __future__ import annotations
 import bisect
 import json
 import zlib
-from collections import Counter
+from collections import Counter, defaultdict
 
 import numpy as np
 import pyarrow as pa
@@ -129,55 +129,107 @@ def best_fit(histogram: dict[int, int], capacity: int) -> Counter[Pattern]:
     return done
 
 
-def local_search(bins: Counter[Pattern], capacity: int, steps: int = 2000) -> Counter[Pattern]:
-    """Exchange documents between underfull bins while the sum of squared fills grows; emptied bins go.
-
-    Stops at the least possible number of bins, when no exchange helps, or after ``steps`` exchanges of groups.
+class _Underfull:
+    """Bin patterns with multiplicities, and an index of the underfull ones by free space and by the items they hold."""
+
+    def __init__(self, bins: Counter[Pattern], capacity: int):
+        self.capacity, self.bins = capacity, Counter()
+        self.of: dict[tuple[int, int], dict[Pattern, None]] = defaultdict(dict)
+        #: [free space, item]: how many patterns; item 0 stands for any pattern
+        self.has = np.zeros((capacity + 1, capacity + 1), np.int32)
+        for pattern, n in bins.items():
+            self.add(pattern, n)
+
+    def add(self, pattern: Pattern, n: int) -> None:
+        pattern = tuple(sorted(pattern, reverse=True))
+        free = self.capacity - sum(pattern)
+        if pattern and free and pattern not in self.bins:
+            for y in {0, *pattern}:
+                self.of[free, y][pattern] = None
+                self.has[free, y] += 1
+        if pattern:
+            self.bins[pattern] += n
+
+    def take(self, pattern: Pattern, n: int) -> None:
+        self.bins[pattern] -= n
+        free = self.capacity - sum(pattern)
+        if not self.bins[pattern]:
+            del self.bins[pattern]
+            for y in {0, *pattern} if free else ():
+                del self.of[free, y][pattern]
+                self.has[free, y] -= 1
+
+    def emptiest_first(self):
+        for free in np.flatnonzero(self.has[:, 0])[::-1].tolist():
+            yield from list(self.of[free, 0])
+
+    def exchange(self, a: Pattern) -> tuple[Pattern, Pattern, Pattern] | None:
+        """(b, out, back): the move, one-for-one or two-for-one exchange that leaves least room in a bin b at least as full as a."""
+        free = self.capacity - sum(a)
+        pairs = {(x, y) for i, x in enumerate(a) for y in a[i + 1 :]}
+        outs = [(x,) for x in sorted(set(a), reverse=True)] + sorted(pairs, reverse=True)
+        # exchanges that fill b to a few tokens lie on diagonals of the index
+        for room in range(NEAR):
+            for out in outs:
+                size = sum(out)
+                f = np.arange(max(room + 1, size + room - self.capacity), min(free, size + room - len(out) + 1) + 1)
+                for k in np.flatnonzero(self.has[f, size - f + room]).tolist() if len(f) else ():
+                    if found := self._target(a, int(f[k]), size - int(f[k]) + room):
+                        return found[0], out, found[1]
+        best: tuple[int, tuple | None] = (self.capacity, None)
+        for out in outs:
+            size, least = sum(out), len(out) - 1
+            f, y = np.nonzero(self.has[1 : free + 1, least:size])
+            f, y = f + 1, y + least
+            room = f + y - size
+            fits = np.flatnonzero((room >= 0) & (room < best[0]))
+            for k in fits[np.argsort(room[fits], kind="stable")].tolist():
+                if found := self._target(a, int(f[k]), int(y[k])):
+                    best = int(room[k]), (found[0], out, found[1])
+                    break
+        return best[1]
+
+    def _target(self, a: Pattern, free: int, item: int) -> tuple[Pattern, Pattern] | None:
+        b = next((b for b in self.of[free, item] if b != a or self.bins[a] > 1), None)
+        return None if b is None else (b, (item,) if item else ())
+
+
+#: Tokens of room up to which an exchange counts as filling a bin, and is taken before others are compared.
+NEAR = 4
+
+
+def local_search(bins: Counter[Pattern], capacity: int) -> tuple[Counter[Pattern], int]:
+    """Exchange documents between underfull bins, from the emptiest one, while the sum of squared fills grows; emptied bins go.
+
+    Returns the bins and the number of exchanges (each of a group of like bins).  Ends at the least possible number of bins or when
+    no exchange is left: the sum of squares grows with every step, so it does end.
     """
-    bins = Counter(bins)
+    state, steps = _Underfull(bins, capacity), 0
+    count = sum(bins.values())
     least = -(-sum(sum(p) * n for p, n in bins.items()) // capacity)
-    tired: set[tuple[Pattern, Pattern]] = set()
-    for _ in range(steps):
-        if sum(bins.values()) <= least:
-            break
-        under = sorted((p for p in bins if sum(p) < capacity), key=lambda p: (sum(p), p))
-        found = next(((a, b, x) for a in under for b in reversed(under) if (a, b) not in tired and (a != b or bins[a] > 1) and sum(b) >= sum(a) and (x := _exchange(a, b, capacity, tired))), None)
-        if found is None:
-            break
-        a, b, (new_a, new_b) = found
-        n = bins[a] // 2 if a == b else min(bins[a], bins[b])
-        for p in (a, b):
-            bins[p] -= n
-            if not bins[p]:
-                del bins[p]
-        bins[new_b] += n
-        if new_a:
-            bins[new_a] += n
-    return bins
-
-
-def _exchange(a: Pattern, b: Pattern, capacity: int, tired: set) -> tuple[Pattern, Pattern] | None:
-    """The best move, one-for-one or two-for-one exchange that fills the fuller bin b from a."""
-    room = capacity - sum(b)
-    best: tuple[int, tuple[int, ...], tuple[int, ...]] = (0, (), ())
-    own = sorted(set(a), reverse=True)
-    pairs = {(x, y) for i, x in enumerate(a) for y in a[i + 1 :]}
-    for out in [(x,) for x in own] + sorted(pairs):
-        for back in [(), *((y,) for y in sorted(set(b)))]:
-            gain = sum(out) - sum(back)
-            if best[0] < gain <= room and (len(out) == 1 or back):
-                best = (gain, out, back)
-    if not best[0]:
-        tired.add((a, b))
-        return None
-    left, right = list(a), list(b)
-    for x in best[1]:
-        left.remove(x)
-        right.append(x)
-    for y in best[2]:
-        right.remove(y)
-        left.append(y)
-    return tuple(sorted(left, reverse=True)), tuple(sorted(right, reverse=True))
+    tired: set[Pattern] = set()
+    while count > least:
+        for a in state.emptiest_first():
+            if a not in tired and (found := state.exchange(a)):
+                break
+            tired.add(a)
+        else:
+            if all(state.exchange(a) is None for a in state.emptiest_first()):
+                break
+            tired.clear()
+            continue
+        b, out, back = found
+        n = state.bins[a] // 2 if a == b else min(state.bins[a], state.bins[b])
+        left, right = list((Counter(a) - Counter(out) + Counter(back)).elements()), list((Counter(b) - Counter(back) + Counter(out)).elements())
+        state.take(a, n)
+        state.take(b, n)
+        state.add(tuple(left), n)
+        state.add(tuple(right), n)
+        steps += 1
+        if not left:
+            count -= n
+            tired.clear()
+    return state.bins, steps
 
 
 def places(bins: Counter[Pattern]) -> np.ndarray:
@@ -199,7 +251,7 @@ def pack(docs: DataFrame, path: str | None = None, capacity: int = CAPACITY, id_
     path = path or public_tokenizers.path("byte_bpe_50k.json")
     cut = materialise(pieces(docs, path, capacity, id_col, text_col), "pieces")
     histogram = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count(F.lit(1)).alias("n")).collect()}
-    table = places(local_search(best_fit(histogram, capacity), capacity))
+    table = places(local_search(best_fit(histogram, capacity), capacity)[0])
     held = spark.sparkContext.broadcast(table)
     blocks = -(-max(histogram.values(), default=1) // RANK_BLOCK)
     dealt = cut.withColumn("block", F.pmod(F.xxhash64("doc_id", "piece"), F.lit(blocks)))

@@ -293,7 +293,6 @@ def test_packing(spark, odd):
     from tokenizers import Tokenizer
 
     tok = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    tok.encode_special_tokens = True
     for d in (odd, SF):
         rows = documents(spark, d)
         want = {}
@@ -336,13 +335,39 @@ def test_cuts():
 
 def test_local_search_never_worse():
     rng = random.Random(2)
+    emptied = 0
     for _ in range(30):
         lengths = collections.Counter(rng.randint(1, 60) for _ in range(200))
-        start = packing.best_fit(lengths, 64)
-        after = packing.local_search(start, 64)
         items = lambda bins: sum((collections.Counter({x: n * p.count(x) for x in set(p)}) for p, n in bins.items()), collections.Counter())
-        assert items(start) == items(after) == lengths and all(sum(p) <= 64 for p in after) and sum(after.values()) <= sum(start.values())
-    assert sum(packing.local_search(collections.Counter({(40,): 1, (30, 20): 1, (34, 4): 1}), 64).values()) <= 3
+        squares = lambda bins: sum(sum(p) ** 2 * n for p, n in bins.items())
+        alone = collections.Counter({(x,) * k: n // k for x, n in lengths.items() if (k := max(1, min(64 // x, n)))}) + collections.Counter((x,) * (n % k) for x, n in lengths.items() if (k := max(1, min(64 // x, n))) and n % k)
+        for start in (packing.best_fit(lengths, 64), alone):
+            after, steps = packing.local_search(start, 64)
+            assert items(start) == items(after) == lengths and all(sum(p) <= 64 for p in after) and sum(after.values()) <= sum(start.values())
+            assert squares(after) > squares(start) if steps else after == start
+            emptied += sum(start.values()) - sum(after.values())
+        # from bins of one length each the search alone comes close to best-fit decreasing
+        assert sum(after.values()) <= sum(packing.best_fit(lengths, 64).values()) * 1.05 + 1
+    assert emptied > 100
+
+
+def test_local_search_empties_a_bin_by_each_kind_of_exchange():
+    for bins in ([(60,), (4,), (5, 5)], [(40, 20), (30, 30), (8,)], [(33, 20, 10), (30, 28), (7,)]):
+        after, steps = packing.local_search(collections.Counter(bins), 64)
+        assert steps and sorted(x for p, n in after.items() for x in p * n) == sorted(x for p in bins for x in p)
+    # one for one: 40 goes for 30
+    assert packing.local_search(collections.Counter({(40,): 1, (30, 24): 1, (34,): 1}), 64)[0] == {(40, 24): 1, (34, 30): 1}
+
+
+def test_local_search_is_reached(spark):
+    """On the smallest documents best fit leaves bins above the lower bound, so exchanges are made."""
+    from public_tokenizers import path
+
+    cut = packing.pieces(spark.read.parquet(f"{SF}/documents.parquet"), path("byte_bpe_50k.json"))
+    lengths = {r["length"]: r["n"] for r in cut.groupBy("length").agg(F.count("*").alias("n")).collect()}
+    start = packing.best_fit(lengths, 2048)
+    after, steps = packing.local_search(start, 2048)
+    assert steps > 0 and sum(after.values()) <= sum(start.values())
 
 
 # 9 licences
