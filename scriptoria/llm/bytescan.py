@@ -16,6 +16,8 @@ import pyarrow.compute as pc
 
 BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
 BASE_WORDS = np.uint64(0xD6E8FEB86659FD93)
+#: A second pair of bases: with both, a hash has 128 bits.
+SECOND, SECOND_WORDS = np.uint64(0xA0761D6478BD642F), np.uint64(0xE7037ED1A0B428DB)
 
 
 def process_cache() -> dict:
@@ -119,19 +121,19 @@ def words(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return starts, ends, np.searchsorted(starts, offsets)
 
 
-def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> np.ndarray:
-    p = prefix_hash(data.astype(np.uint64) + np.uint64(1), BASE)
-    return slice_hash(p, starts, ends, BASE)
+def word_hashes(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, base: np.uint64 = BASE) -> np.ndarray:
+    p = prefix_hash(data.astype(np.uint64) + np.uint64(1), base)
+    return slice_hash(p, starts, ends, base)
 
 
-def gram_hashes(hashes: np.ndarray, k: int) -> np.ndarray:
+def gram_hashes(hashes: np.ndarray, k: int, base: np.uint64 = BASE_WORDS) -> np.ndarray:
     """Rabin-Karp hash of each k consecutive hashes (len - k + 1 of them; none if shorter)."""
     n = len(hashes) - k + 1
     if n <= 0:
         return np.zeros(0, np.uint64)
-    p = prefix_hash(hashes, BASE_WORDS)
+    p = prefix_hash(hashes, base)
     at = np.arange(n)
-    return slice_hash(p, at, at + k, BASE_WORDS)
+    return slice_hash(p, at, at + k, base)
 
 
 def sliding_min(values: np.ndarray, width: int) -> np.ndarray:

@@ -140,7 +140,7 @@ def _compare(texts: DataFrame, follows: DataFrame) -> DataFrame:
     paragraphs = rows.select(*group, F.explode(lines).alias("p"))
     pieces = paragraphs.select(*group, F.sha2(F.col("p").cast("binary"), 256).alias("d"), F.split("p", " ").alias("w"))
     exploded = pieces.select(*group, "d", F.posexplode_outer(F.expr(
-        "transform(sequence(0, greatest(size(w) - 3, 0)), i -> xxhash64(get(w, i), get(w, i + 1), get(w, i + 2)))")).alias("i", "x"))
+        "CASE WHEN w IS NOT NULL THEN transform(sequence(0, greatest(size(w) - 3, 0)), i -> xxhash64(get(w, i), get(w, i + 1), get(w, i + 2))) END")).alias("i", "x"))
     hashed = exploded.select(*group, "d", "i", *[F.when(F.col("x").isNotNull(), _lane_hash(F.col("x"), k)).alias(f"x{k}") for k in range(HASHES)])
     sums = hashed.groupBy(*group).agg(F.count("x0").alias("n"), *_exact_sums(), *_lane_sums())
     fp = F.when(F.col("n") > 0, F.struct("n", F.array(*[f"e{e}" for e in range(EXACT_LANES)]).alias("exact"), F.array(*[f"l{j}" for j in range(LONGS)]).alias("lanes")))

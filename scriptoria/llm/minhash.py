@@ -8,7 +8,7 @@ so values of common passages are hardly ever posted.
 Collisions in a posting list are first tried against the list's smallest document, a number of comparisons linear in
 the list: signatures that agree form *clusters*, and pairs confirmed on the full shingle sets form *components*.
 Two kinds of pairs remain, and both are compared in full, in blocks of bounded size: members of one list in
-different clusters, by counting equal coordinates (those at the threshold are confirmed); and members of one
+different clusters, by counting collisions with prefix and skip merging (pairs at the threshold are confirmed); and members of one
 cluster in different components, by their sets at once, where each unit only returns the links that join its
 components.  So no list is capped, and no group of copies is expanded into all pairs.
 
@@ -34,6 +34,8 @@ from .components import components
 from .sieve import cell_of, count_sketch
 
 COORDINATES, THRESHOLD, SHINGLE, BLOCK = 64, 40, 5, 512
+#: Bytes of shingle sets in a block, about.
+UNIT_BYTES = 8 << 20
 
 
 def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -177,10 +179,10 @@ def confirm(pairs: DataFrame, sets: DataFrame, numerator: int) -> DataFrame:
 
 
 def _units(rows: DataFrame, group: str, payload: str, block: int) -> DataFrame:
-    """Deal the rows of each group (with its size n) into blocks; a unit is a pair of blocks: (group, b1, b2), at most
-    2 * block rows.  Rows: unit's three keys, own block, id, part, payload, sorted by unit."""
+    """Deal the rows of each group (with its size n, perhaps its bytes) into blocks; a unit is a pair of blocks: (group, b1, b2), about
+    2 * block rows and 2 * UNIT_BYTES at most.  Rows: unit's three keys, own block, id, part, payload, sorted by unit."""
     dealt = (
-        rows.withColumn("nb", F.ceil(F.col("n") / block).cast("long")).withColumn("b", F.pmod(F.xxhash64("id"), F.col("nb")))
+        rows.withColumn("nb", F.greatest(F.ceil(F.col("n") / block), *([F.ceil(F.col("bytes") / UNIT_BYTES)] if "bytes" in rows.columns else [F.lit(1)])).cast("long")).withColumn("b", F.pmod(F.xxhash64("id"), F.col("nb")))
         .select(group, "id", "part", payload, "b", F.explode(F.sequence(F.lit(0).cast("long"), F.col("nb") - 1)).alias("c"))
         .select(group, F.least("b", "c").alias("b1"), F.greatest("b", "c").alias("b2"), "b", "id", "part", payload)
     )
@@ -220,6 +222,45 @@ def _unit_columns(unit):
     return (np.array([r[k] for r in unit], np.int64) for k in (3, 4, 5))
 
 
+def collisions(sig: np.ndarray, threshold: int, wanted):
+    """Pairs (i, j) of signatures that agree on ``threshold`` coordinates, j among the rows that ``wanted(i)`` marks.
+
+    Rows are posted under their coordinate-value pairs.  For row i the lists are taken by length: one of any
+    ``coordinates - threshold + 1`` lists holds a match, so collisions are counted over the shortest ones (the prefix); the long lists
+    are not merged but looked up for the rows met so far, and a row is skipped as soon as it cannot reach the threshold.
+    """
+    n, coordinates = sig.shape
+    prefix = coordinates - threshold + 1
+    order = np.argsort(sig, axis=0, kind="stable")
+    ranked = np.take_along_axis(sig, order, 0)
+    start, size = np.empty((n, coordinates), np.int64), np.empty((n, coordinates), np.int64)
+    for c in range(coordinates):
+        first = np.flatnonzero(np.r_[True, ranked[1:, c] != ranked[:-1, c]])
+        length = np.diff(np.append(first, n))
+        start[order[:, c], c], size[order[:, c], c] = np.repeat(first, length), np.repeat(length, length)
+    by_length = np.argsort(size, axis=1, kind="stable")
+    for i in range(n):
+        other = wanted(i)
+        if not other.any():
+            continue
+        count = np.zeros(n, np.int64)
+        for c in by_length[i, :prefix].tolist():
+            if size[i, c] > 1:
+                count[order[start[i, c] : start[i, c] + size[i, c], c]] += 1
+        at = np.flatnonzero((count > 0) & other)
+        have, left = count[at], threshold - 1
+        for lo in range(prefix, coordinates, 8):
+            if not len(at):
+                break
+            some = by_length[i, lo : lo + 8]
+            have = have + (sig[np.ix_(at, some)] == sig[i, some]).sum(axis=1)
+            left -= len(some)
+            may = have + left >= threshold
+            at, have = at[may], have[may]
+        for j in at[have >= threshold].tolist():
+            yield i, j
+
+
 def agreeing_in_lists(lists: DataFrame, sigs: DataFrame, threshold: int, block: int = BLOCK) -> DataFrame:
     """Pairs of different parts inside posting lists (pair, id, part, n) whose signatures agree on the threshold."""
 
@@ -227,14 +268,8 @@ def agreeing_in_lists(lists: DataFrame, sigs: DataFrame, threshold: int, block:
         b, ids, part = _unit_columns(unit)
         sig = np.frombuffer(b"".join(r[6] for r in unit), np.uint32).reshape(len(unit), -1)
         cross = unit[0][1] != unit[0][2]
-        for i in range(len(unit)):
-            other = (part != part[i]) & (ids > ids[i])
-            if cross:
-                other &= b != b[i]
-            at = np.flatnonzero(other)
-            if len(at):
-                for j in at[(sig[at] == sig[i]).sum(axis=1) >= threshold]:
-                    yield int(ids[i]), int(ids[j])
+        for i, j in collisions(sig, threshold, lambda i: (part != part[i]) & (ids > ids[i]) & ((b != b[i]) if cross else True)):
+            yield int(ids[i]), int(ids[j])
 
     return _units(lists.join(sigs.select("id", "sig"), "id"), "pair", "sig", block).mapInArrow(_by_unit(compare), "u long, v long").distinct()
 
@@ -295,7 +330,7 @@ def near_duplicates(
     classes = materialise(classes, "classes")  # plain exchanges on both sides: a hot class can be split
     members = filled.select("id", "set_key", "n_shingles").join(classes, ["set_key", "n_shingles"]).select("id", "rep")
     members = materialise(members.distinct(), "members")
-    reps = materialise(filled.join(classes.select(F.col("rep").alias("id"), "set_key"), ["id", "set_key"], "left_semi").select("id", "sig").distinct(), "reps")
+    reps = materialise(filled.join(classes.select(F.col("rep").alias("id"), "set_key"), ["id", "set_key"], "left_semi").select("id", "sig", "n_shingles").distinct(), "reps")
 
     every = materialise(postings(reps, coordinates, threshold), "every-posting")
     lists = every.groupBy("pair").agg(F.min("id").alias("leader"), F.count(F.lit(1)).alias("n")).where("n > 1")
@@ -312,7 +347,9 @@ def near_duplicates(
     cluster, comp = part(candidates, "cluster"), part(links, "component")
     # members of one cluster in different components
     placed = cluster.join(comp, "id", "left").select("id", "cluster", F.coalesce("component", "id").alias("part"))
-    open_ = placed.groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), F.min("part").alias("a"), F.max("part").alias("b")).where("a <> b").select("cluster", "n")
+    weights = reps.groupBy("id").agg(F.max("n_shingles").alias("n_shingles"))
+    open_ = placed.join(weights, "id").groupBy("cluster").agg(F.count(F.lit(1)).alias("n"), (8 * F.sum("n_shingles")).alias("bytes"), F.min("part").alias("a"), F.max("part").alias("b"))
+    open_ = open_.where("a <> b").select("cluster", "n", "bytes")
     open_ = materialise(open_, "open")  # as above: a hot cluster can be split
     joining = materialise(joining_links(placed.join(open_, "cluster"), sets, numerator), "joining")
     # members of one list in different clusters

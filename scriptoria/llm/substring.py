@@ -7,7 +7,8 @@ document of each; a window whose smallest document is another, smaller one is to
 removed windows merge into maximal intervals, and texts are rewritten.  Hot windows are combined before the
 shuffle when counted and split by the adaptive skew join when looked up.
 
-Window hashes have 64 bits: among n windows that pass the first scan a wrong match is expected n**2 / 2**65 times.
+Window hashes have 128 bits, two Rabin-Karp hashes over words hashed with bases of their own: among n windows that pass
+the first scan a wrong match is expected n**2 / 2**129 times (about 1e-13 for 1e13 windows).
 
 Defined results: null text has no words; rows with a null id have no place in the order: nothing is removed from
 them or on their account; rows that repeat an id are separate texts, none of which counts as smaller than another.
@@ -22,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .bytescan import gram_hashes, mix, sliding_min, text_chunks, word_hashes, words
+from .bytescan import SECOND, SECOND_WORDS, gram_hashes, mix, sliding_min, text_chunks, word_hashes, words
 from .common import materialise, read_table
 from .removal import apply_spans, with_row_key
 from .sieve import marked, repeat_filter
@@ -40,7 +41,7 @@ def _windows(data: np.ndarray, offsets: np.ndarray, window: int, gram: int):
     at = np.flatnonzero(doc[: len(doc) - window + 1] == doc[window - 1 :])
     mark = sliding_min(gram_hashes(hashes, gram), window - gram + 1)[at]
     # minima crowd at the low end: mixed again, they spread evenly over the filter
-    return hashes, at, doc[at], mix(mark), first
+    return hashes, at, doc[at], mix(mark), first, (starts, ends)
 
 
 def repeated_windows(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) -> DataFrame:
@@ -50,7 +51,7 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
         base = 0
         for lo, hi, data, offsets in text_chunks(batch.column(0)):
             if found := _windows(data, offsets, window, gram):
-                _, _, doc, mark, _ = found
+                _, _, doc, mark, _, _ = found
                 new = np.ones(len(mark), bool)
                 new[1:] = (mark[1:] != mark[:-1]) | (doc[1:] != doc[:-1])
                 yield mark[new], doc[new] + base
@@ -64,21 +65,24 @@ def repeated_windows(rows: DataFrame, window: int = WINDOW, gram: int = GRAM) ->
             ids, keys = batch.column(0).to_numpy(), batch.column(2).to_numpy()
             for lo, _, data, offsets in text_chunks(batch.column(1)):
                 if found := _windows(data, offsets, window, gram):
-                    hashes, at, doc, mark, first = found
+                    hashes, at, doc, mark, first, bounds = found
                     may = marked(held.value, mark)
                     at, doc = at[may], doc[may]
+                    if not len(at):
+                        continue
                     h = gram_hashes(hashes, window)[at]
+                    g = gram_hashes(word_hashes(data, *bounds, SECOND), window, SECOND_WORDS)[at]
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(h.astype(np.int64)), pa.array(ids[lo + doc]), pa.array(keys[lo + doc]), pa.array((at - first[doc]).astype(np.int32))],
-                        names=["h", "id", "key", "pos"])
+                        [pa.array(h.astype(np.int64)), pa.array(g.astype(np.int64)), pa.array(ids[lo + doc]), pa.array(keys[lo + doc]), pa.array((at - first[doc]).astype(np.int32))],
+                        names=["h", "g", "id", "key", "pos"])
 
-    found = numbered.select("id", "t", "key").mapInArrow(emit, "h long, id long, key long, pos int")
-    counted = found.select("h", "id").groupBy("h").agg(F.min("id").alias("first"), F.max("id").alias("last"))
+    found = numbered.select("id", "t", "key").mapInArrow(emit, "h long, g long, id long, key long, pos int")
+    counted = found.select("h", "g", "id").groupBy("h", "g").agg(F.min("id").alias("first"), F.max("id").alias("last"))
     # written: both sides of the look-up are then plain exchanges, and a hot window's rows can be split over tasks
-    first = materialise(counted.where("first < last").select("h", "first"), "repeated")
+    first = materialise(counted.where("first < last").select("h", "g", "first"), "repeated")
     same_key = rows.schema["key"].name == "key" and rows.select("key", "id").where("key <> id").isEmpty()
     slim = found.drop("key").withColumn("key", F.col("id")) if same_key else found
-    hits = slim.join(first, "h").where("id > first").groupBy("key").agg(F.collect_set("pos").alias("pos"))
+    hits = slim.join(first, ["h", "g"]).where("id > first").groupBy("key").agg(F.collect_set("pos").alias("pos"))
 
     def spans(batches):
         for batch in batches:

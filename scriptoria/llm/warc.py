@@ -6,7 +6,8 @@ writer's line separator, so any Hadoop file system and its commit protocol serve
 Reading parses records by their content length, recomputes the digests of stored payloads, and emits one
 capture run an archive, sorted by URL key and timestamp.  Runs are merged externally: a range exchange gives each
 task a slice of the key range from every run, and a loser tree merges the k sorted slices, so the whole result is
-globally ordered by (URL key, timestamp, page id).
+globally ordered by (URL key, timestamp, page id).  The number of slices follows the number of captures, and archives have a
+bounded size, so no task's memory grows with the input.
 
 Defined results: null html is an empty payload; a null url has the empty URL key and no target header; rows with a
 null page id are responses of their own; rows that repeat a page id are records of their own (several with the
@@ -19,21 +20,26 @@ import hashlib
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import materialise, read_table, scratch_path, shuffle_width
 
 LEAST_BYTES = 100
-#: Bytes of an archive, about.
+#: Bytes of an archive, about (a page larger than that has an archive of its own).
 ARCHIVE_BYTES = 32 << 20
+#: Largest payloads of the size classes of pages but the last.
+SIZE_CLASSES = (1 << 13, 1 << 17, 1 << 23)
+#: Captures in a slice of the merge, about.
+SLICE_ROWS = 100_000
 FIRST_DATE = 1704067200
 HTTP_HEAD = "HTTP/1.1 200 OK\r\nContent-Type: text/html; charset=utf-8\r\n\r\n"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
-def records(pages: DataFrame, id_col: str, url_col: str, html_col: str, least: int) -> DataFrame:
-    """(record): the text of each record, without the empty line that ends it."""
+def records(pages: DataFrame, id_col: str, url_col: str, html_col: str, least: int, chosen: Column | None = None) -> DataFrame:
+    """(record): the text of each (chosen) record, without the empty line that ends it; equal payloads have one size, so one class."""
+    pages = pages if chosen is None else pages.where(chosen)
     rows = pages.select(
         F.col(id_col).cast("long").alias("id"), F.regexp_replace(F.coalesce(F.col(url_col).cast("string"), F.lit("")), r"[\x00-\x20\x7F]", "%20").alias("url"),
         F.coalesce(F.col(html_col).cast("string"), F.lit("")).alias("html"),
@@ -58,9 +64,14 @@ def records(pages: DataFrame, id_col: str, url_col: str, html_col: str, least: i
 
 def write_archives(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST_BYTES) -> None:
     """Write all pages as WARC files below ``path``."""
-    size = pages.agg(F.avg(F.octet_length(F.col(html_col)))).first()[0] or 0
-    per_file = max(1, int(ARCHIVE_BYTES / (size + 700)))
-    records(pages, id_col, url_col, html_col, least).write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", per_file).text(path)
+    n = F.coalesce(F.octet_length(F.col(html_col).cast("string")), F.lit(0))
+    # pages are written by size class, so that an archive has a bounded number of bytes whatever pages follow one another
+    edges = [-1, *SIZE_CLASSES]
+    classes = [r[0] for r in pages.select(sum((n > e).cast("int") for e in SIZE_CLASSES).alias("c")).distinct().collect()]
+    for k in classes or [0]:
+        rows = records(pages, id_col, url_col, html_col, least, (n > edges[k]) & (n <= edges[k + 1]) if k + 1 < len(edges) else n > edges[k])
+        per_file = ARCHIVE_BYTES // (edges[k + 1] + 700) if k + 1 < len(edges) else 1
+        rows.write.option("lineSep", "\r\n\r\n").option("maxRecordsPerFile", per_file).text(f"{path}/class={k}")
 
 
 def url_key(url: str) -> str:
@@ -105,20 +116,16 @@ _FIELDS = {
 RUN_SCHEMA = ", ".join(f"{k} {'string' if t == pa.string() else 'long'}" for k, t in _FIELDS.items())
 
 
-def _order(row: dict) -> tuple:
-    return row["url_key"], row["timestamp"], -1 if row["page_id"] is None else row["page_id"], row["archive"], row["seq"]
-
-
 def capture_runs(spark: SparkSession, path: str) -> DataFrame:
     """One locally sorted run of captures an archive; ``seq`` is the place in the run."""
-    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").load(path).select("path", "content")
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "part-*").option("recursiveFileLookup", True).load(path).select("path", "content")
 
     def read(batches):
         for batch in batches:
             for name, content in zip(batch.column(0), batch.column(1), strict=True):
                 run = sorted(parse_archive(content.as_py()), key=lambda r: (r["url_key"], r["timestamp"], -1 if r["page_id"] is None else r["page_id"], r["offset"]))
                 for k, row in enumerate(run):
-                    row |= {"archive": name.as_py().rsplit("/", 1)[-1], "seq": k}
+                    row |= {"archive": "/".join(name.as_py().rsplit("/", 2)[-2:]), "seq": k}
                 if run:
                     yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in run], t) for k, t in _FIELDS.items()], names=list(_FIELDS))
 
@@ -160,27 +167,42 @@ def loser_tree_merge(runs: list[list], key) -> Iterator:
 
 
 def merge_runs(runs: DataFrame) -> DataFrame:
-    """All captures in global order of (URL key, timestamp, page id): ranges in order, each merged by a loser tree."""
-    n = max(1, shuffle_width(runs.sparkSession))
-    dealt = runs.repartitionByRange(n, "url_key", "timestamp", F.coalesce("page_id", F.lit(-1)))
+    """All captures in global order of (URL key, timestamp, page id): ranges in order, each merged by a loser tree.
+
+    A slice has about ``SLICE_ROWS`` captures, so memory does not follow the input; ties are cut by archive and place.
+    """
+    n = max(1, shuffle_width(runs.sparkSession), -(-runs.count() // SLICE_ROWS))
+    key = ["url_key", "timestamp", F.coalesce("page_id", F.lit(-1)), "archive", "seq"]
+    # each run's part of a slice comes in its own order
+    dealt = runs.repartitionByRange(n, *key).sortWithinPartitions("archive", "seq")
+    at = [list(_FIELDS).index(k) for k in ("url_key", "timestamp", "page_id", "archive", "seq")]
+
+    def order(row):
+        key, stamp, page, archive, seq = (row[k] for k in at)
+        return key, stamp, -1 if page is None else page, archive, seq
+
+    def batch_of(rows):
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), _FIELDS.values(), strict=True)], names=list(_FIELDS))
 
     def merge(batches):
-        slices: dict[str, list[dict]] = {}
+        slices: list[list[tuple]] = []
+        last = None
         for batch in batches:
-            for row in batch.to_pylist():
-                slices.setdefault(row["archive"], []).append(row)
-        for part in slices.values():
-            part.sort(key=lambda r: r["seq"])  # exchanges need not keep the order of a run's slice
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if row[at[3]] != last:
+                    slices.append([])
+                    last = row[at[3]]
+                slices[-1].append(row)
         out = []
-        for row in loser_tree_merge(list(slices.values()), _order) if slices else ():
+        for row in loser_tree_merge(slices, order) if slices else ():
             out.append(row)
             if len(out) == 10_000:
-                yield pa.RecordBatch.from_pylist(out, schema=pa.schema(list(_FIELDS.items())))
+                yield batch_of(out)
                 out = []
         if out:
-            yield pa.RecordBatch.from_pylist(out, schema=pa.schema(list(_FIELDS.items())))
+            yield batch_of(out)
 
-    return dealt.mapInArrow(merge, RUN_SCHEMA)
+    return dealt.select(*_FIELDS).mapInArrow(merge, RUN_SCHEMA)
 
 
 def archive_history(pages: DataFrame, path: str | None = None, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least: int = LEAST_BYTES) -> DataFrame:
