@@ -83,7 +83,8 @@ def load_tables(spark: SparkSession, s: Settings) -> DataFrame:
 
 
 def tables(spark: SparkSession, s: Settings) -> tuple[DataFrame, DataFrame]:
-    return spark.read.parquet(f"{s.tables}/containers"), spark.read.parquet(f"{s.tables}/documents")
+    now = load.current(spark, s.tables)
+    return spark.read.parquet(f"{now}/containers"), spark.read.parquet(f"{now}/documents")
 
 
 def export_issues(spark: SparkSession, s: Settings, year: int | None = None, slug: str | None = None) -> DataFrame:

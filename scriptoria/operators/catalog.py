@@ -7,6 +7,7 @@ Filters are built on the driver; each query is one lazy plan.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterable
 from dataclasses import dataclass
 from functools import reduce
@@ -34,7 +35,7 @@ def positive_integer(value: str | None) -> int | None:
         number = float(int(t, 0)) if t[:2].lower() in ("0x", "0o", "0b") else float(t.replace("_", "x"))
     except ValueError:
         return None
-    return int(number) if number > 0 and number == int(number) and number != float("inf") else None
+    return int(number) if math.isfinite(number) and number > 0 and number == int(number) else None
 
 
 def first_value(value: str | Iterable[str] | None) -> str | None:
@@ -94,6 +95,13 @@ def with_children(containers: DataFrame, documents: DataFrame, key: str = "slug"
     return containers.join(nested, key, how)
 
 
+def children_of(documents: DataFrame, chosen: DataFrame, filters: Filters) -> DataFrame:
+    """Where a filter chooses containers, their documents alone: others are neither shuffled nor nested."""
+    if filters.siteYear is None:
+        return documents
+    return documents.join(chosen.select("slug"), "slug", "left_semi")
+
+
 def catalog(containers: DataFrame, documents: DataFrame, filters: Filters, matched: DataFrame | None = None) -> DataFrame:
     """Online listing: containers with a matching document, holding only their matching documents, oldest first.
 
@@ -103,7 +111,7 @@ def catalog(containers: DataFrame, documents: DataFrame, filters: Filters, match
     if matched is not None:
         found = found.join(matched.select("slug", "position").distinct(), ["slug", "position"], "left_semi")
     chosen = where(containers, filters.container_predicate())
-    return with_children(chosen, found).orderBy("siteSortDate", "slug")
+    return with_children(chosen, children_of(found, chosen, filters)).orderBy("siteSortDate", "slug")
 
 
 def offline_catalog(containers: DataFrame, documents: DataFrame, filters: Filters) -> DataFrame:
@@ -112,7 +120,7 @@ def offline_catalog(containers: DataFrame, documents: DataFrame, filters: Filter
     wanted = filters.document_predicate()
     if wanted is not None:
         chosen = chosen.join(documents.where(wanted).select("slug").distinct(), "slug", "left_semi")
-    return with_children(chosen, documents, how="left").orderBy(F.desc("siteSortDate"), F.desc("slug"))
+    return with_children(chosen, children_of(documents, chosen, filters), how="left").orderBy(F.desc("siteSortDate"), F.desc("slug"))
 
 
 def detail(containers: DataFrame, documents: DataFrame, site_year: int, slug: str) -> DataFrame:
@@ -152,8 +160,9 @@ def contained_documents(documents: DataFrame, filters: Filters) -> DataFrame:
 
 def catalog_items(containers: DataFrame, documents: DataFrame, filters: Filters) -> DataFrame:
     """Listing items: path, labels, description, contained documents and export links."""
-    shown = where(documents, filters.document_predicate())
-    rows = with_children(where(containers, filters.container_predicate()), contained_documents(shown, filters))
+    chosen = where(containers, filters.container_predicate())
+    shown = children_of(where(documents, filters.document_predicate()), chosen, filters)
+    rows = with_children(chosen, contained_documents(shown, filters))
     year = F.col("siteYear").cast("string")
     label = site_label(F.col("siteLabel"), F.col("siteYear"), F.col("siteMonth"))
     exports = F.struct(*[F.concat(F.lit("/downloads/"), year, F.lit("/"), "slug", F.lit(f".{k}")).alias(k) for k in fixed.EXPORT_FORMATS])

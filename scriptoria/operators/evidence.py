@@ -5,27 +5,42 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Whole words that a claim must have between its first and last word to be found by an equi-join.
-INNER = 3
+#: Inner words of a claim that are joined at most, and characters of a short claim's longest word.
+INNER, GRAM = 3, 3
 
 
 def _words(c: str):
     return F.filter(F.split(c, r"[\s]+"), lambda w: F.length(w) > 0)
 
 
+def _grams(words, k: int):
+    """Distinct hashes of each ``k`` consecutive words."""
+    at = F.transform(F.sequence(F.lit(1), F.size(words) - (k - 1)), lambda i: F.xxhash64(F.slice(words, i, F.lit(k))))
+    return F.array_distinct(F.when(F.size(words) >= k, at).otherwise(F.array().cast("array<bigint>")))
+
+
 def claims_in_texts(claims: DataFrame, texts: DataFrame, claim_key: str, claim: str, text_key: str, text: str) -> DataFrame:
-    """(claim_key, text_key) of all texts that contain a claim as a substring.
+    """(claim_key, text_key) of all texts that contain a claim as a substring; a blank claim is none.
 
-    A claim's inner words are whole words of any text that holds it, so the first three of them meet the texts' word
-    trigrams in an equi-join, and only those pairs are compared.  Claims of fewer words (a small rest) are compared with all.
+    A claim's inner words are whole words of any text that holds it, so one to three of them meet the texts' words or word runs in an
+    equi-join.  The longest word of a claim without inner words lies within a word of the text, so it meets the vocabulary of all
+    texts by its first characters.  Only the pairs found this way are compared.
     """
-    c = claims.select(F.col(claim_key).alias("_ck"), F.col(claim).alias("_c"), F.slice(_words(claim), 2, INNER).alias("_w"), F.size(_words(claim)).alias("_n")).where(F.length("_c") > 0)
-    long = c.where(F.col("_n") >= INNER + 2).select("_ck", "_c", F.xxhash64("_w").alias("_h"))
+    c = claims.select(F.col(claim_key).alias("_ck"), F.col(claim).alias("_c"), _words(claim).alias("_w")).withColumn("_n", F.size("_w")).where("_n > 0")
     w = texts.select(F.col(text_key).alias("_tk"), F.col(text).alias("_t"), _words(text).alias("_w")).where("_t is not null")
-    grams = F.array_distinct(F.when(F.size("_w") >= INNER, F.transform(F.sequence(F.lit(1), F.size("_w") - (INNER - 1)), lambda i: F.xxhash64(F.slice("_w", i, F.lit(INNER))))).otherwise(F.array().cast("array<bigint>")))
-    pairs = w.select("_tk", F.explode(grams).alias("_h")).join(long, "_h").select("_tk", "_ck", "_c")
-    found = pairs.join(w.select("_tk", "_t"), "_tk").where(F.col("_t").contains(F.col("_c"))).select("_ck", "_tk")
-    short = c.where(F.col("_n") < INNER + 2).select("_ck", "_c")
-    if not short.isEmpty():
-        found = found.union(short.join(w.select("_tk", "_t"), F.col("_t").contains(F.col("_c"))).select("_ck", "_tk"))
-    return found.distinct().toDF(claim_key, text_key)
+    lengths = F.when(F.col("_n") >= INNER + 2, INNER).otherwise(F.greatest(F.col("_n") - 2, F.lit(0)))
+    c = c.withColumn("_k", lengths)
+    found = None
+    for k in range(1, INNER + 1):
+        own = c.where(F.col("_k") == k).select("_ck", F.xxhash64(F.slice("_w", 2, k)).alias("_h"))
+        pairs = w.select("_tk", F.explode(_grams(F.col("_w"), k)).alias("_h")).join(own, "_h").select("_tk", "_ck")
+        found = pairs if found is None else found.union(pairs)
+    longest = F.array_max(F.transform("_w", lambda x: F.struct(F.length(x).alias("n"), x.alias("x"))))["x"]
+    short = c.where("_k = 0").select("_ck", longest.alias("_x"))
+    placed = w.select("_tk", F.explode(F.array_distinct("_w")).alias("_v"))
+    starts = F.array_distinct(F.flatten(F.transform(F.sequence(F.lit(1), F.length("_v")), lambda i: F.transform(F.sequence(F.lit(1), F.lit(GRAM)), lambda n: F.substring("_v", i, n)))))
+    vocabulary = placed.select("_v").distinct().select("_v", F.explode(starts).alias("_g"))
+    words = vocabulary.join(short.withColumn("_g", F.substring("_x", 1, GRAM)), "_g").where(F.col("_v").contains(F.col("_x"))).select("_v", "_ck").distinct()
+    found = found.union(placed.join(words, "_v").select("_tk", "_ck")).distinct()
+    both = found.join(c.select("_ck", "_c"), "_ck").join(w.select("_tk", "_t"), "_tk")
+    return both.where(F.col("_t").contains(F.col("_c"))).select("_ck", "_tk").distinct().toDF(claim_key, text_key)

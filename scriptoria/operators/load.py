@@ -48,15 +48,40 @@ def problems(cont: DataFrame, docs: DataFrame) -> DataFrame:
     return out
 
 
-def rebuild(issues: DataFrame, path: str, default_year: int, strict: bool = True) -> None:
-    """Replace both tables below ``path`` (containers by year); unsound input is an error before anything is written."""
+def _file_system(spark, path: str):
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p, p.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
+def current(spark, path: str) -> str:
+    """Folder of the generation that a load finished last."""
+    p, fs = _file_system(spark, f"{path}/generations")
+    done = [s.getPath().getName() for s in fs.listStatus(p) if fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_LOADED"))] if fs.exists(p) else []
+    if not done:
+        raise LookupError(f"nothing is loaded below {path}")
+    return f"{path}/generations/{max(done)}"
+
+
+def rebuild(issues: DataFrame, path: str, default_year: int, strict: bool = True, keep: int = 2) -> None:
+    """Write both tables (containers by year) as a new generation below ``path``; unsound input is an error before anything is written.
+
+    A generation counts once both tables are there, so readers never see one table without the other and a failure leaves the
+    last one in place.  The last ``keep`` generations stay.
+    """
     cont, docs = containers(issues, default_year), documents(issues)
     if strict:
         bad = [r for r in problems(cont, docs).collect() if r["n"]]
         if bad:
             raise ValueError("unsound input: " + ", ".join(f"{r['check']} ({r['n']})" for r in bad))
-    cont.write.mode("overwrite").partitionBy("siteYear").parquet(f"{path}/containers")
-    docs.write.mode("overwrite").parquet(f"{path}/documents")
+    spark = issues.sparkSession
+    root, fs = _file_system(spark, f"{path}/generations")
+    names = sorted(s.getPath().getName() for s in fs.listStatus(root)) if fs.exists(root) else []
+    new = f"{path}/generations/{int(names[-1]) + 1 if names else 1:012d}"
+    cont.write.partitionBy("siteYear").parquet(f"{new}/containers")
+    docs.write.parquet(f"{new}/documents")
+    fs.create(_file_system(spark, f"{new}/_LOADED")[0]).close()
+    for name in names[: max(0, len(names) + 1 - keep)]:
+        fs.delete(_file_system(spark, f"{path}/generations/{name}")[0], True)
 
 
 def changed_only(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:

@@ -15,40 +15,94 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scriptoria.functions.stemming import stem
+from scriptoria.operators import catalog
 
 # Weights of the classes A to D.
 WEIGHTS = {"A": 1.0, "B": 0.4, "C": 0.2, "D": 0.1}
-WORD = r"[\p{L}\p{N}_]+"
+OTHER = r"[^\p{L}\p{N}_]+"
+
+
+@dataclass(frozen=True)
+class Config:
+    """How words become terms; one object serves the token table and its queries."""
+
+    stemmed: bool = False
+    stop: tuple[str, ...] = ()
+
+    @staticmethod
+    def russian(spark) -> Config:
+        """Stems, without the stop words of Russian and (for Latin words) English."""
+        return Config(True, tuple(russian_stop_words(spark)) + tuple(english_stop_words(spark)))
+
+    def term(self, word: str) -> str | None:
+        """Term of a query's word, None for a stop word."""
+        w = word.lower()
+        return None if w in self.stop else stem(w) if self.stemmed else w
+
+
+PLAIN = Config()
 
 
 def tokens(text: Column) -> Column:
     """Lower-case words in order."""
-    return F.regexp_extract_all(F.lower(F.coalesce(text, F.lit(""))), F.lit(f"({WORD})"), F.lit(1))
+    return F.filter(F.split(F.lower(F.coalesce(text, F.lit(""))), OTHER), lambda w: w != "")
 
 
 @F.pandas_udf(T.ArrayType(T.StringType()))
 def stems(words: pd.Series) -> pd.Series:
     """Russian stems of Cyrillic words, English stems of Latin ones (cached by word within a batch)."""
     known: dict[str, str] = {}
-    return words.map(lambda ws: None if ws is None else [known.setdefault(w, stem(w)) for w in ws])
+    return words.map(lambda ws: None if ws is None else [None if w is None else known.get(w) or known.setdefault(w, stem(w)) for w in ws])
 
 
 def _placed(terms: Column, offset: Column, weight: str) -> Column:
     return F.transform(terms, lambda t, k: F.struct(t.alias("term"), (k + 1 + offset).alias("pos"), F.lit(weight).alias("weight")))
 
 
-def token_table(docs: DataFrame, key: list[str], fields: list[tuple[str, str]], stemmed: bool = False, stop: list[str] | None = None) -> DataFrame:
+def token_table(docs: DataFrame, key: list[str], fields: list[tuple[str, str]], config: Config = PLAIN) -> DataFrame:
     """(key, term, pos, weight) of all fields, given as (column, weight class) in the order of their positions."""
     prepared = docs.select(*key, *[tokens(F.col(c)).alias(f"_f{i}") for i, (c, _) in enumerate(fields)])
-    for i in range(len(fields)):
-        prepared = prepared.withColumn(f"_s{i}", stems(F.col(f"_f{i}")) if stemmed else F.col(f"_f{i}"))
     offset = F.lit(0)
     parts = []
     for i, (_, weight) in enumerate(fields):
+        words = F.col(f"_f{i}")
+        if config.stop:  # stop words keep their positions, and have no term
+            words = F.transform(words, lambda w: F.when(~w.isin(*config.stop), w))
+        prepared = prepared.withColumn(f"_s{i}", stems(words) if config.stemmed else words)
         parts.append(_placed(F.col(f"_s{i}"), offset, weight))
         offset = offset + F.size(f"_f{i}")
     flat = prepared.select(*key, F.explode(F.concat(*parts)).alias("t")).select(*key, "t.term", "t.pos", "t.weight")
-    return flat.where(~F.col("term").isin(*stop)) if stop else flat
+    return flat.where("term is not null") if config.stop else flat
+
+
+#: Folders of a written token table.
+BUCKETS = 64
+
+
+def _bucket(term: Column) -> Column:
+    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
+
+
+def write_tokens(table: DataFrame, path: str) -> None:
+    """Write a token table by term: a query reads the folders of its terms, and in them the row groups that hold these."""
+    placed = table.withColumn("bucket", _bucket(F.col("term")))
+    # a hot bucket is dealt over several tasks by its keys; files are sorted by term
+    keys = [c for c in table.columns if c not in ("term", "pos", "weight")]
+    dealt = placed.repartition("bucket", F.pmod(F.xxhash64(*keys), F.lit(8))).sortWithinPartitions("bucket", "term")
+    dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
+
+
+def rows_of(table: DataFrame, terms: list[str]) -> DataFrame:
+    """Rows of some terms; of a written table only their folders are read."""
+    found = table.where(F.col("term").isin(*terms))
+    if "bucket" in table.columns:
+        found = found.where(F.col("bucket").isin(*[r[0] for r in _buckets(table, terms)]))
+    return found
+
+
+def _buckets(table: DataFrame, terms: list[str]) -> list:
+    """The buckets of a query's terms (a handful of words)."""
+    return table.sparkSession.createDataFrame([(t,) for t in terms], "term string").select(_bucket(F.col("term"))).distinct().collect()
 
 
 def russian_stop_words(spark) -> list[str]:
@@ -58,6 +112,13 @@ def russian_stop_words(spark) -> list[str]:
     return list(StopWordsRemover.loadDefaultStopWords("russian"))
 
 
+def english_stop_words(spark) -> list[str]:
+    """The stop words that Spark itself ships for English."""
+    from pyspark.ml.feature import StopWordsRemover
+
+    return list(StopWordsRemover.loadDefaultStopWords("english"))
+
+
 @dataclass(frozen=True)
 class Clause:
     """A word or phrase, perhaps negated."""
@@ -80,59 +141,78 @@ def parse(query: str) -> list[list[Clause]]:
     return [a for a in alternatives if a]
 
 
-def matching(table: DataFrame, key: list[str], query: str, universe: DataFrame | None = None) -> DataFrame:
-    """Keys that match a query.  Words and phrases become bits of one grouped pass over the rows of the query's terms;
-    a query that only excludes needs the ``universe`` of keys."""
-    alternatives = parse(query)
-    if not alternatives:
-        return table.select(*key).where("false")
-    out = None
-    for clauses in alternatives:
-        found = _all_of(table, key, clauses, universe)
-        out = found if out is None else out.union(found)
-    return out.distinct()
-
+def _terms(clause: Clause, config: Config) -> list[tuple[int, str]]:
+    """(place, term) of a clause's words; stop words keep their place and have no term."""
+    return [(i, t) for i, w in enumerate(clause.words) if (t := config.term(w)) is not None]
 
-def _phrase(table: DataFrame, key: list[str], words: tuple[str, ...]) -> DataFrame:
-    """Keys in which the words stand side by side: positions minus places agree."""
-    rows = None
-    for i, w in enumerate(words):
-        part = table.where(F.col("term") == w).select(*key, (F.col("pos") - i).alias("_at"), F.lit(i).alias("_i"))
-        rows = part if rows is None else rows.union(part)
-    return rows.groupBy(*key, "_at").agg(F.count_distinct("_i").alias("_n")).where(F.col("_n") == len(words)).select(*key).distinct()
 
+def matching(table: DataFrame, key: list[str], query: str, universe: DataFrame | None = None, config: Config = PLAIN) -> DataFrame:
+    """Keys that match a query, whose words become terms as the table's did (``config``).
 
-def _all_of(table: DataFrame, key: list[str], clauses: list[Clause], universe: DataFrame | None) -> DataFrame:
-    wanted = [c for c in clauses if not c.negated]
-    single = sorted({c.words[0] for c in wanted if len(c.words) == 1})
+    Words and phrases become bits of grouped passes over the rows of the query's terms; a query that only excludes needs the
+    ``universe`` of keys.  Clauses of stop words alone are left out; a query of nothing else matches nothing.
+    """
+    out = None
+    for clauses in parse(query):
+        kept = [(t, c.negated) for c in clauses if (t := _terms(c, config))]
+        if kept:
+            found = _all_of(table, key, kept, universe)
+            out = found if out is None else out.union(found)
+    return table.select(*key).where("false") if out is None else out.distinct()
+
+
+def _phrase(table: DataFrame, key: list[str], terms: list[tuple[int, str]]) -> DataFrame:
+    """Keys in which the terms stand at their places: positions minus places agree.  One pass over the rows of the terms."""
+    places: dict[str, list[int]] = {}
+    for place, term in terms:
+        places.setdefault(term, []).append(place)
+    at = F.lit(None).cast("array<int>")
+    for term, own in places.items():
+        at = F.when(F.col("term") == term, F.array(*[F.lit(p) for p in own])).otherwise(at)
+    rows = rows_of(table, list(places)).select(*key, "pos", F.explode(at).alias("_i"))
+    return rows.groupBy(*key, (F.col("pos") - F.col("_i")).alias("_at")).agg(F.count_distinct("_i").alias("_n")).where(F.col("_n") == len(terms)).select(*key).distinct()
+
+
+def _all_of(table: DataFrame, key: list[str], clauses: list[tuple[list[tuple[int, str]], bool]], universe: DataFrame | None) -> DataFrame:
+    single = sorted({t[0][1] for t, negated in clauses if not negated and len(t) == 1})
     found = None
     if single:
-        found = table.where(F.col("term").isin(*single)).groupBy(*key).agg(F.count_distinct("term").alias("_n")).where(F.col("_n") == len(single)).select(*key)
-    for c in wanted:
-        if len(c.words) > 1:
-            part = _phrase(table, key, c.words)
+        found = rows_of(table, single).groupBy(*key).agg(F.count_distinct("term").alias("_n")).where(F.col("_n") == len(single)).select(*key)
+    for terms, negated in clauses:
+        if not negated and len(terms) > 1:
+            part = _phrase(table, key, terms)
             found = part if found is None else found.join(part, key, "left_semi")
     if found is None:
         found = (universe if universe is not None else table).select(*key).distinct()
-    for c in clauses:
-        if c.negated:
-            hit = table.where(F.col("term") == c.words[0]).select(*key).distinct() if len(c.words) == 1 else _phrase(table, key, c.words)
+    for terms, negated in clauses:
+        if negated:
+            hit = rows_of(table, [terms[0][1]]).select(*key).distinct() if len(terms) == 1 else _phrase(table, key, terms)
             found = found.join(hit, key, "left_anti")
     return found
 
 
-def scores(table: DataFrame, key: list[str], query: str) -> DataFrame:
+def scores(table: DataFrame, key: list[str], query: str, config: Config = PLAIN) -> DataFrame:
     """Weighted count of the query's terms in each document (order only; it never decides what matches)."""
-    words = sorted({w for a in parse(query) for c in a if not c.negated for w in c.words})
+    words = sorted({t for a in parse(query) for c in a if not c.negated for _, t in _terms(c, config)})
     weight = F.create_map(*[F.lit(x) for p in WEIGHTS.items() for x in p])[F.col("weight")]
-    return table.where(F.col("term").isin(*words)).groupBy(*key).agg(F.sum(weight).alias("score"))
+    return rows_of(table, words).groupBy(*key).agg(F.sum(weight).alias("score"))
+
+
+def found_catalog(containers: DataFrame, documents: DataFrame, table: DataFrame, filters, config: Config) -> DataFrame:
+    """The catalog under all filters, the text query among them: documents that match it, in the listing's order, each with its score."""
+    key = ["slug", "position"]
+    if not filters.q:
+        return catalog.catalog(containers, documents, filters)
+    hits = matching(table, key, filters.q, documents, config)
+    scored = documents.join(hits, key, "left_semi").join(scores(table, key, filters.q, config), key, "left")
+    return catalog.catalog(containers, scored, filters)
 
 
 #: Fields of a document in the catalog's search, with their weights.
 CATALOG_FIELDS = [("_author", "A"), ("_title", "A"), ("creationRaw", "B"), ("content", "C")]
 
 
-def catalog_tokens(documents: DataFrame, stemmed: bool = True, stop: list[str] | None = None) -> DataFrame:
+def catalog_tokens(documents: DataFrame, config: Config) -> DataFrame:
     blank = lambda c: F.coalesce(F.col(c), F.lit(""))
     ready = documents.withColumns({"_author": F.concat_ws(" ", blank("authorName"), blank("authorRaw")), "_title": F.concat_ws(" ", blank("documentTitle"), blank("description"))})
-    return token_table(ready, ["slug", "position"], CATALOG_FIELDS, stemmed, stop)
+    return token_table(ready, ["slug", "position"], CATALOG_FIELDS, config)

@@ -145,10 +145,10 @@ def export_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"""WITH {CONTAINERS}, {DOCUMENTS}
 SELECT c.slug, md5(c.slug || chr(10) || chr(10) || siteYear || chr(10) || chr(10) || '' || chr(10) || chr(10) || string_agg(documentType || chr(10) || chr(10) || 'h' || position || chr(10) || chr(10) || '' || chr(10) || chr(10) || status || chr(10) || chr(10) || '' || chr(10) || chr(10) || 'f' || chr(10) || chr(10) || '', chr(10) || chr(10) ORDER BY position) || chr(10) || chr(10) || '') AS digest
-FROM c JOIN d ON c.slug = d.slug WHERE siteYear = 1996 GROUP BY c.slug, siteYear""")
+FROM c JOIN d ON c.slug = d.slug GROUP BY c.slug, siteYear""")
 def export_txt(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir).select("slug", "position", F.col("documentType").alias("documentTitle"), F.array(F.concat(F.lit("h"), F.col("position").cast("string"))).alias("header"), F.array("status").alias("body"), F.array(F.lit("f")).alias("footer"))
-    issues = catalog.with_children(containers(spark, sf_dir).where("siteYear = 1996"), docs, fields=["documentTitle", "header", "body", "footer"])
+    issues = catalog.with_children(containers(spark, sf_dir), docs, fields=["documentTitle", "header", "body", "footer"])
     issues = issues.select("slug", F.col("siteYear").alias("year"), F.col("slug").cast("string").alias("title"), F.col("siteYear").cast("string").alias("siteLabel"), "documents")
     return exports.text_export(issues).select("slug", F.md5("text").alias("digest"))
 

@@ -9,8 +9,12 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A fresh path in ``spark.checkpoint.dir``; a local temporary folder only where that is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="scriptoria-")
+    """A fresh path in ``spark.checkpoint.dir``; only a local master may go without it, and gets a temporary folder."""
+    base = spark.conf.get("spark.checkpoint.dir", None)
+    if not base:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        base = tempfile.mkdtemp(prefix="scriptoria-")
     return f"{base.rstrip('/')}/scriptoria/{name}-{uuid.uuid4().hex}"
 
 

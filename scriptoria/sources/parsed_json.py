@@ -43,8 +43,8 @@ def issues_of(spark: SparkSession, path: str, year: int | None = None, slug: str
 
 
 def write_issues(issues: DataFrame, path: str) -> None:
-    """One JSON line an issue, by year."""
-    issues.withColumn("year", F.coalesce("sitePublication.year", F.lit(0))).write.mode("overwrite").partitionBy("year").json(path)
+    """One JSON line an issue, in a folder of its own: only the issues given are replaced, all others below ``path`` stay."""
+    issues.withColumn("issue", F.col("slug")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("issue").json(path)
 
 
 def pretty(issues: DataFrame) -> DataFrame:

@@ -50,6 +50,23 @@ def test_chain(spark, settings):
     assert all(jobs.smoke(spark, settings).values())
 
 
+def test_refresh_leaves_other_issues_alone(spark, tmp_path):
+    for slug in ("2019Q1-1", "2020Q1-1", "2020Q1-2"):
+        d = tmp_path / "sources" / slug[:4] / "Q1" / "word"
+        d.mkdir(parents=True, exist_ok=True)
+        (d / f"{slug}.docx").write_bytes(package([x.replace("2020", slug[:4]) for x in LINES]))
+    s = Settings.below(str(tmp_path))
+    every = ["2019Q1-1", "2020Q1-1", "2020Q1-2"]
+    slugs = lambda df: sorted(r["slug"] for r in df.select("slug").distinct().collect())
+    jobs.chain(spark, s)
+    for chosen in ({"slug": "2020Q1-1"}, {"year": 2019}, {"year": 2020}):
+        jobs.chain(spark, s, **chosen)
+        assert slugs(jobs.parsed_issues(spark, s)) == every and jobs.parsed_issues(spark, s).count() == 3
+        cont, docs = jobs.tables(spark, s)
+        assert slugs(cont) == slugs(docs) == every
+    assert len(list((tmp_path / "tables" / "generations").iterdir())) == 2
+
+
 def test_catalog_of_loaded_tables(spark, settings):
     cont, docs = jobs.tables(spark, settings)
     items = catalog.catalog_items(cont, docs, catalog.Filters.of(authorSlug="mark-l-profet")).collect()
@@ -57,9 +74,16 @@ def test_catalog_of_loaded_tables(spark, settings):
     assert items[0]["documents"][0]["authorHref"] == "/?authorSlug=mark-l-profet" and items[0]["siteMonthLabel"] == "Январь 2020"
     offline = catalog.offline_items(cont, docs, catalog.Filters(authorSlug="mark-l-profet")).collect()
     assert [o["slug"] for o in offline] == ["2020Q1-2", "2020Q1-1"] and all(o["documentsCount"] == 2 and o["singleDocument"] is None for o in offline)
-    tokens = search.catalog_tokens(docs, stop=search.russian_stop_words(spark))
-    stem = search.matching(tokens, ["slug", "position"], "мудрост")
-    assert {(r["slug"], r["position"]) for r in stem.collect()} == {("2020Q1-1", 1), ("2020Q1-2", 1)}
+    config = search.Config.russian(spark)
+    search.write_tokens(search.catalog_tokens(docs, config), f"{settings.tables}/tokens")
+    tokens = spark.read.parquet(f"{settings.tables}/tokens")
+    for q in ("мудрость", "мудрости", "мудростью", "о мудрости", '"о мудрости"', '"мудрости и о свете"'):
+        stem = search.matching(tokens, ["slug", "position"], q, config=config)
+        assert {(r["slug"], r["position"]) for r in stem.collect()} == {("2020Q1-1", 1), ("2020Q1-2", 1)}, q
+    for q in ("о", '"свете мудрости"', "мудрость -свет", "молитва"):
+        assert search.matching(tokens, ["slug", "position"], q, docs, config).isEmpty(), q
+    listed = search.found_catalog(cont, docs, tokens, catalog.Filters.of(q="мудрости", siteYear="2020"), config).collect()
+    assert [r["slug"] for r in listed] == ["2020Q1-1", "2020Q1-2"] and all(r["documents"][0]["score"] > 0 for r in listed)
     assert catalog.catalog(cont, docs, catalog.Filters(), stem.where("slug = '2020Q1-1'")).count() == 1
 
 

@@ -49,5 +49,25 @@ def test_entry(spark):
 
 
 def test_plan_prunes_and_pushes(spark):
-    plan = entry.entry(spark)._jdf.queryExecution().executedPlan().toString()
-    assert "o_totalprice" not in plan and "PushedFilters: [IsNotNull(l_returnflag), EqualTo(l_returnflag,R)" in plan or "l_comment" not in plan
+    plan = entry.queries()["catalog_filtered_children"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    scans = [x for x in plan.split("\n") if "FileScan" in x]
+    orders, lines = ([x for x in scans if f"{t}.parquet" in x] for t in ("orders", "lineitem"))
+    assert orders and lines and all("o_totalprice" not in x for x in orders) and all("l_comment" not in x for x in lines)
+    # the year is taken from a date column, so its filter stands on the scan; the chosen containers' keys reach the lines before they are nested
+    assert plan.index("LeftSemi") > plan.index("collect_list")
+
+
+def test_no_cartesian_in_evidence(spark):
+    plan = entry.queries()["evidence_contains"](spark, SF)._jdf.queryExecution().executedPlan().toString()
+    assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+
+
+def test_evidence_of_short_and_long_claims(spark):
+    from scriptoria.operators.evidence import claims_in_texts
+
+    texts = ["the quick brown fox jumps over it", "quickly now", "a b  c", "foxes and the quick", "", None, "x the  quick", "jumps over"]
+    claims = ["quick", "the quick", "quick brown fox", "e quick brown fox jumps ov", "quick brown fox jumps over it", "fox", "b  c", "a b", " ", "", None, "q", "ow", "the  q", "k br", "brown fox j", "over it.", "zzz"]
+    c = spark.createDataFrame([(i, x) for i, x in enumerate(claims)], "ck int, c string")
+    t = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "tk int, t string")
+    got = {(r["ck"], r["tk"]) for r in claims_in_texts(c, t, "ck", "c", "tk", "t").collect()}
+    assert got == {(i, j) for i, x in enumerate(claims) for j, y in enumerate(texts) if x and x.strip() and y and x in y}
