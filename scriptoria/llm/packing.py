@@ -177,10 +177,12 @@ class _Underfull:
                     if found := self._target(a, int(f[k]), size - int(f[k]) + room):
                         return found[0], out, found[1]
         best: tuple[int, tuple | None] = (self.capacity, None)
+        frees = np.flatnonzero(self.has[1 : free + 1, 0]) + 1
+        held = self.has[frees] > 0
         for out in outs:
             size, least = sum(out), len(out) - 1
-            f, y = np.nonzero(self.has[1 : free + 1, least:size])
-            f, y = f + 1, y + least
+            f, y = np.nonzero(held[:, least:size])
+            f, y = frees[f], y + least
             room = f + y - size
             fits = np.flatnonzero((room >= 0) & (room < best[0]))
             for k in fits[np.argsort(room[fits], kind="stable")].tolist():
