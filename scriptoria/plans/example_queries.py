@@ -37,61 +37,28 @@ def _register(name: str, make: Callable[[], Column], kind: str, pairs: list[tupl
 
 
 X = lambda: F.col("x")
-_register("fn_text_or_null", lambda: text_or_null(X()), "string", [("  a   b ", "a b"), ("   ", None), (None, None)])
-_register("fn_tight_punctuation", lambda: text.tight_punctuation(X()), "string", [("a , b !", "a, b!"), ("x", "x")])
-_register("fn_year_spaces", lambda: text.year_spaces_closed(X()), "string", [("Май 202 6", "Май 2026"), ("1 9 9 8 год", "1998 год"), ("год2011год", "год2011год")])
 _register("fn_without_author", lambda: normalize.without_author(X(), F.lit("Марк Л. Профет")), "string", [("Проповедь Марка Л. Профета о свете", "Проповедь о свете"), ("Лекция Э. К. Профет (Часть II )", "Лекция (Часть II)"), ("Проповедь в праздник Пасхи", "Проповедь праздник Пасхи")])
-_register("fn_ratio", lambda: text.rounded_ratio(X()), "double", [(0.12345, 0.123), (0.9995, 1.0), (0.0, 0.0)], "double")
 _register("fn_ascii_slug", lambda: text.ascii_slug(X()), "string", [("Брошюра № 5", "broshyura-5"), ("--x--", "x"), ("ж" * 40, "zh" * 24)])
-_register("fn_path_key", lambda: text.path_key(X()), "string", [("Третий/Файл.DOC", "третий/файл.doc"), ("a", "a")])
-_register("fn_path_parts", lambda: F.concat_ws("|", text.dirname(X()), text.basename(X()), text.stem(X()), text.extension(X())), "string", [("a/b/c.tar.GZ", "a/b|c.tar.GZ|c.tar|.gz"), ("x", "|x|x|"), ("d/.hid", "d|.hid|.hid|")])
-_register("fn_swapped_doc", lambda: text.swapped_doc(X()), "string", [("a.doc", "a.docx"), ("a.docx", "a.doc"), ("a.pdf", None)])
-_register("fn_short_digest", lambda: text.short_digest(X()), "string", [("a", "86f7e437faa5"), ("", "da39a3ee5e6b")])
-_register("fn_page_description", lambda: F.length(text.page_description(F.array(X(), X()))), "int", [("a" * 100, 160), ("ab", 5)])
-_register("fn_month_in_text", lambda: dates.month_in_text(X()), "int", [("Июль 2017", 7), ("в мае", None), ("мая", 5), ("майский", None), ("МАРТА", 3)])
-_register("fn_month_english_folder", lambda: dates.month_of_english_folder(F.split(X(), "/")), "int", [("2017/03_March/x", 3), ("2017/12 december/x", 12), ("2017/March/x", None)])
-_register("fn_month_of_slug", lambda: dates.month_of_slug(X()), "int", [("2020Q3-2", 8), ("x_2020q1-1_y", 1), ("2020Q5-1", None)])
-_register("fn_month_of_number", lambda: dates.month_of_number(X(), F.lit(2)), "int", [("2_x", 5), ("05-x", 5), ("9_x", None), ("x", None)])
-_register("fn_month_of_index", lambda: dates.month_of_index(X(), F.lit(3)), "int", [("ЖМ 1_кв. 2_a", 8), ("кв.3", 9), ("кв. 4", None)])
-_register("fn_quarter_segment", lambda: dates.quarter_of_segment(X()), "int", [("Q2", 2), ("q4", 4), ("3-й квартал", 3), ("за 1 квартал года", 1), ("Q5", None)])
 _register("fn_year_in_text", lambda: dates.year_in_text(X()), "int", [("в 1998 году", 1998), ("202 6", 2026), ("12345", None)])
-_register("fn_year_in_path", lambda: dates.year_in_path(X()), "int", [("a/2011/b", 2011), ("2011/b", 2011), ("x2011/b", None), ("a/1899", None)])
 _register("fn_iso_date", lambda: dates.iso_date(X()), "string", [(" 1980-01-01 ", "1980-01-01"), ("1980-02-30", None), ("1880-01-01", None), (None, None)])
-_register("fn_year_guard", lambda: dates.plausible_year(X()), "int", [(999, None), (1000, 1000), (2999, 2999), (3000, None), (None, None)], "int")
-_register("fn_positive_guard", lambda: dates.positive(X()), "int", [(0, None), (-1, None), (5, 5), (None, None)], "int")
-_register("fn_numeric_date", lambda: dates.numeric_date(X()), "string", [("1.2.2011", "01.02.2011"), ("11.12.2013", "11.12.2013")])
-_register("fn_site_label", lambda: dates.site_label(F.lit(None).cast("string"), F.lit(2020), X()), "string", [(1, "Январь 2020"), (12, "Декабрь 2020"), (None, "2020"), (0, "2020")], "int")
-_register("fn_month_label", lambda: dates.month_only_label(X(), F.lit(2020), F.lit(1)), "string", [("Январь 2020", "Январь"), ("2020", "2020")])
 _register("fn_clean_author", lambda: authors.clean_author(X()), "string", [("Лекция Э. К. Профет", "Элизабет Клэр Профет"), ("Диктовка Эль Мории", "Эль Мория"), ("Том 21 № 32 – Архангела Михаила – 6 августа 1978 г.", "Архангел Михаил"), ("«»", None), ("x" * 101, None)])
 _register("fn_normal_author", lambda: authors.normal_author(X()), "string", [("Марка Л. Профета", "Марк Л. Профет"), ("э. к. профет", "Элизабет Клэр Профет"), ("Эль Мории", None), ("возлюбленного Архангела Михаила", "возлюбленного Архангела Михаила".replace("возлюбленного Архангела Михаила", "Архангел Михаил")), ("Господа Майтрейи", "Господь Майтрейя"), ("Кто-то.", None), (None, None)])
 _register("fn_author_of_publication", lambda: authors.author_of_publication(X()), "string", [("Том 5 № 10 – Сурия – 1 января 1980 г.", "Сурия"), ("Том 5 № 10 – Э. К. Профет – 1980", None), ("Текст – Имя", None)])
 _register("fn_display_author", lambda: authors.display_author(X()), "string", [("Господа Майтрейи", "Господь Майтрейя"), ("возлюбленного Гелиоса", "Возлюбленный Гелиос"), ("возлюбленный Ланто", "Возлюбленный Ланто"), ("  ", None)])
-_register("fn_part_line", lambda: F.coalesce(text.part_line(X()), F.lit("-")), "string", [("(часть iv)", "Часть IV"), ("Часть 1 0", "Часть 10"), ("часть", "-")])
-_register("fn_part_line_roman", lambda: text.part_line(X(), True), "string", [("(часть 4)", "Часть IV"), ("Часть 11", "Часть 11"), ("x", None)])
 _register("fn_is_heading", lambda: lines.is_heading(X()), "boolean", [("Лекция «Приливы»", True), ("Лекционный зал", False), (" КУРС  лекций ", True), ("", False)])
 _register("fn_is_specific_heading", lambda: lines.is_specific_heading(X()), "boolean", [("Воскресная проповедь", False), ("Лекция Э.К. Профет", False), ("Лекция о свете", True)])
 _register("fn_is_attribution", lambda: lines.is_attribution(X()), "boolean", [("Проповедь Марка «Бог» была прочитана 1 февраля", True), ("Диктовка Эль Мории через Посланника", True), ("Диктовка Эль Мории", False)])
 _register("fn_is_publication", lambda: lines.is_publication(X()), "boolean", [("Том 21 № 32 – Иисус", True), ("том. 5, №1", True), ("Том № 3", False)])
-_register("fn_is_cover", lambda: lines.is_cover(X()), "boolean", [("Жемчужины Мудрости", True), ("Январь 2020", True), ("Январь 202 0", True), ("Далекий Бог", False)])
 _register("fn_is_title_candidate", lambda: lines.is_title_candidate(X()), "boolean", [("Далекий Бог", True), ("через Посланника", False), ("ПРИЗЫВ", False), ("***", False), ("конец,", False), ("слово " * 19 + "конец.", False), ("ретрит 1998", False)])
 _register("fn_is_weak_title", lambda: normalize.is_weak_title(X()), "boolean", [("Сегодня утром", True), ("Сегодняшний день", False), ("(часть 2)", True), ("x" * 151, True), ("О свете", False)])
 _register("fn_document_title", lambda: normalize.normal_title(X(), F.lit(None).cast("string")), "string", [("«Жизнь после смерти»", "Жизнь после смерти"), ("(часть 1)", None), ("Молитва", None), ("Лекция «Приливы» (часть 1)", "Лекция «Приливы» (Часть I)"), (None, None)])
 _register("fn_is_trusted", lambda: normalize.is_trusted(X(), F.lit("шапка\nТом 5 № 10 – Кто-то\nконец")), "boolean", [("Том 5 № 10 – Кто-то", True), ("Том 6 № 1", False), ("Том 5 № 10...", False), (None, False)])
 _register("fn_looks_weak", lambda: normalize.looks_weak(X()), "boolean", [("Январь 2020", True), ("ПРИЗЫВ", True), (None, True), ("О трех царях", False)])
-_register("fn_creation_label", lambda: labels.creation_label(X(), F.lit("1970-02-01"), F.lit(1970)), "string", [("raw", "raw"), ("", "1970-02-01"), (None, "1970-02-01")])
-_register("fn_display_title", lambda: labels.display_title(X(), F.lit("header")), "string", [("T", "«T»"), (None, "header")])
 _register("fn_shown_header", lambda: F.array_join(labels.shown_header(F.array(X(), F.lit("Жемчужины Мудрости. Май"), F.lit("x")), F.lit("T")), "|"), "string", [("T", "x"), ("a", "a|x")])
 _register("fn_issue_parts", lambda: F.concat_ws("|", labels.issue_parts(X())["slug"], labels.issue_parts(X())["year"].cast("string"), labels.issue_parts(X())["quarter"].cast("string")), "string", [(" 2011Q4-1 ", "2011Q4-1|2011|4"), ("1999Q1-3", "1999Q1-3|1999|1")])
 _register("fn_material_matches", lambda: labels.material_matches(F.array(F.struct(F.lit("Title").alias("title"), X().alias("master"), F.lit("t").alias("type"), F.lit("d").alias("date"), F.lit("2011").alias("year")), F.struct(F.lit("Other").alias("title"), F.lit("M2").alias("master"), F.lit("t").alias("type"), F.lit("d").alias("date"), F.lit("2012").alias("year"))), "title", "M2"), "boolean", [("M1", False), ("M2", True)])
 _register("fn_document_type", lambda: publication.document_type(X()), "string", [("Лекция\nПроповедь", "sermon"), ("о трех учениях", "material"), ("мои учения здесь", "teaching"), ("x\nОткрывающий  призыв \ny", "prayer"), ("открывающий призыв души", "material")])
 _register("fn_publication_issue", lambda: publication.publication_line(F.array(X()))["issue"], "string", [("Том 1 № 49, 50 – А – 2 мая 1960 г.", "49, 50"), ("Том 1 №3", "3"), ("нет", None)])
-_register("fn_issue_title", lambda: publication.issue_title(X()), "string", [("Май 2020", "Жемчужины Мудрости. Май 2020"), (None, "Жемчужины Мудрости")])
 _register("fn_body_start", lambda: segment.body_start(F.transform(F.split(X(), r"\|"), lambda t: F.struct(t.alias("text")))), "int", [("a|Лекция Х|b|c|d", 3), ("Январь 2020|" + "длинный текст " * 5, 1), ("a|b|c|d|e|f", 4), ("a|b", 2)])
-_register("fn_page_count", lambda: segment.page_count(F.split(X(), r"\|")), "int", [("a|12|7", 12), ("a|b", 0), (" 3 ", 3)])
-_register("fn_detect_format", lambda: archive.detect_format(X(), text.extension(X())), "string", [("a/word/x.pdf", "word"), ("a/Архив/x.doc", "originals"), ("a/Печать/x.pdf", "pdf-print"), ("a/x.pdf", "pdf-mailing"), ("a/x.docx", "word"), ("a/x.txt", "originals")])
-_register("fn_is_canonical", lambda: archive.is_canonical(X()), "boolean", [("a/2018Q1-1.doc", True), ("2018Q1-1", True), ("2018Q5-1.doc", False), ("2018Q1-1 new.doc", False)])
 _register("fn_magic", lambda: archive.has_magic(F.unhex(X()), F.lit(".doc")), "boolean", [("D0CF11E0A1B1", True), ("504B0304", False), ("D0CF", False), (None, False)])
-_register("fn_issue_prefix", lambda: exports.issue_prefix(X(), F.lit("2019Q2-3")), "string", [("2019Q2-3 new", "2019Q2-3"), ("ЖМ 1_кв. 2_Апрель_x", "ЖМ 1_кв. 2_Апрель"), ("other", "ЖМ 3_кв. 2_")])
-_register("fn_brochure_number", lambda: exports.brochure_number(X()), "int", [("2019Q2-3", 6), ("2019Q4-1", 10), ("x", None)])
 _register("fn_inner_title", lambda: exports.inner_title(X(), F.array().cast("array<string>")), "string", [("T", "T"), (None, "Материал")])
-_register("fn_skipped", lambda: archive.is_skipped(X()), "boolean", [("a/.git/x", True), ("README.md", True), ("a/readme.md", False)])

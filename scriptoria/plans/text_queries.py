@@ -41,11 +41,6 @@ def capitalize_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", text.capitalised(F.lower("p_name")).alias("name"))
 
 
-@query("""SELECT * FROM (VALUES ('была прочитана 1 февраля 1970 года', '1970-02-01'), ('31 февраля 1970 года', NULL), ('нет даты', NULL), ('2 1 мая 202 6 г.', '2026-05-21'), ('3, 4 июля 1999', '1999-07-03')) v(x, day)""")
-def russian_dates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    values = ["была прочитана 1 февраля 1970 года", "31 февраля 1970 года", "нет даты", "2 1 мая 202 6 г.", "3, 4 июля 1999"]
-    return _rows(spark, "x string", *[(v,) for v in values]).select("x", dates.russian_date(F.col("x")).alias("day"))
-
 
 @query("""SELECT l_orderkey, l_linenumber, x, CASE WHEN regexp_full_match(x, '(19|20)[0-9]{2}-[0-9]{2}-[0-9]{2}') AND try_strptime(x, '%Y-%m-%d') IS NOT NULL THEN x END AS day
 FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber % 3 = 0 THEN strftime(l_shipdate, '%Y-%m-31') ELSE strftime(l_shipdate, '%Y-%m-%d') END AS x FROM lineitem)""")
@@ -114,9 +109,3 @@ def long_date_label(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT page_id, replace(replace(replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&apos;') AS escaped FROM pages")
 def xml_escape(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", text.xml_escaped(F.col("url")).alias("escaped"))
-
-
-@query("""SELECT * FROM (VALUES ('src/2020/Q1/word/2020Q1-1.doc', 2020, 1, 1, 'январь 2020'), ('src/2018/2-й квартал/Брошюры/ЖМ 2_кв. 3_x.doc', 2018, 2, 6, 'июнь 2018'), ('src/2017/Q3/word/Июль 2017.docx', 2017, 3, 7, 'июль 2017'), ('x/readme.doc', NULL, NULL, NULL, NULL)) v(path, year, quarter, month, raw)""")
-def source_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    paths = ["src/2020/Q1/word/2020Q1-1.doc", "src/2018/2-й квартал/Брошюры/ЖМ 2_кв. 3_x.doc", "src/2017/Q3/word/Июль 2017.docx", "x/readme.doc"]
-    return _rows(spark, "path string", *[(p,) for p in paths]).select("path", dates.source_publication(F.col("path")).alias("p")).select("path", "p.year", "p.quarter", "p.month", F.col("p.rawLabel").alias("raw"))
