@@ -63,3 +63,28 @@ def test_stream_equals_batch(spark, tmp_path):
     second.write.mode("append").parquet(source)
     arrivals.run_available(stream(), table, f"{tmp_path}/checkpoint", ["k"], ["v"])
     assert sorted(map(tuple, arrivals.current(spark, table).collect())) == [(1, 2, "c"), (2, 1, "b"), (3, 1, "d")]
+
+
+def test_book_files_read_back():
+    import io
+    import xml.etree.ElementTree as ET
+    import zipfile
+
+    from scriptoria.operators import bookfiles
+    from scriptoria.sources import docx
+
+    issue = {"slug": "2020Q1-1", "year": "2020", "title": "A & <B>\x01", "subtitle": ["Май 2020"], "documents": [{"title": "Первый", "header": ["h"], "body": [" two  spaces ", "x"], "footer": None}, {"title": "Второй", "header": [], "body": ["y"], "footer": ["f"]}]}
+    words = [p["text"] for p in docx.parse_package(bookfiles.docx(issue))["body"]]
+    assert [" ".join(w.split()) for w in words] == ["A & <B>", "Май 2020", "Первый", "h", "two spaces", "x", "Второй", "y", "f"]
+    made = bookfiles.epub(issue, "2020-01-01T00:00:00Z")
+    assert made == bookfiles.epub(issue, "2020-01-01T00:00:00Z")
+    with zipfile.ZipFile(io.BytesIO(made)) as z:
+        assert z.namelist()[0] == "mimetype" and z.read("mimetype") == b"application/epub+zip" and z.infolist()[0].compress_type == zipfile.ZIP_STORED
+        parts = {n: ET.fromstring(z.read(n)) for n in z.namelist()[1:]}
+    opf, nav, text = (parts[f"OEBPS/{n}"] for n in ("content.opf", "nav.xhtml", "text.xhtml"))
+    ids = {x.get("id") for x in text.iter() if x.get("id")}
+    links = [x.get("href") for x in nav.iter(f"{{{bookfiles.XHTML}}}a")]
+    assert links == ["text.xhtml#d1", "text.xhtml#d2"] and ids == {"d1", "d2"}
+    assert opf.get("unique-identifier") == "issue" and [x.text for x in opf.iter(f"{{{bookfiles.DC}}}identifier")] == ["urn:x-issue:2020:2020Q1-1"]
+    assert {x.get("href") for x in opf.iter(f"{{{bookfiles.OPF}}}item")} == {"text.xhtml", "nav.xhtml"}
+    assert [x.text for x in text.iter(f"{{{bookfiles.XHTML}}}p")] == ["Май 2020", "h", " two  spaces ", "x", "y", "f"]
