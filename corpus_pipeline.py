@@ -1,6 +1,6 @@
 """From raw documents to packed sequences: five stages, each the next one's input as a written table.
 
-1. language ID: documents without a language (null, empty, letterless) go;
+1. language ID: documents without a letter (null, empty, signs) go, and those that no learned language's model codes better than raw bytes;
 2. exact dedup: of equal texts the largest id stays;
 3. near dedup: of documents linked at similarity 0.8 on five-word shingles, the smallest id stays;
 4. mixing: small sources are repeated towards even weights, at most twice, and every document stays;
