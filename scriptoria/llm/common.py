@@ -50,13 +50,23 @@ def small_batches(spark: SparkSession) -> None:
         spark.conf.set(key, str(ARROW_ROWS))
 
 
+#: With this, the exchanges of a write are deleted on all executors when it ends, not when the driver next collects garbage.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialise(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as a Parquet table in the shared folder and read it back: this cuts the lineage,
-    survives lost executors and lets several consumers share one computation."""
+    survives lost executors and lets several consumers share one computation.  Nothing reads the exchanges
+    behind the table again, so they are freed with the write."""
     spark = df.sparkSession
     small_batches(spark)
     path = scratch_path(spark, name)
-    df.write.parquet(path)
+    before = spark.conf.get(CLEANUP)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 
