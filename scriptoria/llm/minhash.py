@@ -36,6 +36,8 @@ from .sieve import cell_of, count_sketch
 COORDINATES, THRESHOLD, SHINGLE, BLOCK = 64, 40, 5, 512
 #: Bytes of shingle sets in a block, about.
 UNIT_BYTES = 8 << 20
+#: Rows up to which collisions of all wanted pairs are counted at once: setting up posting lists would cost more than they save.
+FEW_ROWS = 64
 
 
 def _seeds(n: int) -> tuple[np.ndarray, np.ndarray]:
@@ -228,8 +230,14 @@ def collisions(sig: np.ndarray, threshold: int, wanted):
     Rows are posted under their coordinate-value pairs.  For row i the lists are taken by length: one of any
     ``coordinates - threshold + 1`` lists holds a match, so collisions are counted over the shortest ones (the prefix); the long lists
     are not merged but looked up for the rows met so far, and a row is skipped as soon as it cannot reach the threshold.
+    Up to ``FEW_ROWS`` rows need no lists.  ``wanted`` also takes a column of rows and then marks a matrix.
     """
     n, coordinates = sig.shape
+    if n <= FEW_ROWS:
+        i, j = np.nonzero(wanted(np.arange(n)[:, None]))
+        same = (sig[i] == sig[j]).sum(axis=1) >= threshold
+        yield from zip(i[same].tolist(), j[same].tolist(), strict=True)
+        return
     prefix = coordinates - threshold + 1
     order = np.argsort(sig, axis=0, kind="stable")
     ranked = np.take_along_axis(sig, order, 0)

@@ -611,7 +611,7 @@ def test_near_dedup(spark, odd, monkeypatch, block):
 
 def test_collisions_by_prefix_and_skips():
     rng = np.random.default_rng(7)
-    for n, coordinates, threshold in ((1, 8, 5), (40, 16, 10), (120, 64, 40), (60, 8, 8), (60, 8, 1)):
+    for n, coordinates, threshold in ((1, 8, 5), (40, 16, 10), (120, 64, 40), (60, 8, 8), (60, 8, 1), (65, 16, 10), (64, 16, 10), (90, 8, 8), (90, 8, 1)):
         sig = rng.integers(0, 3, (n, coordinates)).astype(np.uint32)
         sig[n // 2 :] = np.where(rng.random((n - n // 2, coordinates)) < 0.3, sig[n // 2 :], sig[: n - n // 2])
         want = {(i, j) for i in range(n) for j in range(i + 1, n) if (sig[i] == sig[j]).sum() >= threshold}
