@@ -1,4 +1,4 @@
-"""Operators of a training-data pipeline: ten corpus operators, each with a thin registered query.
+"""Operators of a training-data pipeline: thirteen corpus operators, each with a thin registered query.
 
 Nothing outside this subpackage imports it.
 """

@@ -1,4 +1,4 @@
-"""Registered queries of the ten corpus operators and of the pipeline, with their DuckDB SQL where it exists."""
+"""Registered queries of the corpus operators and of the pipeline, with their DuckDB SQL where it exists."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 
 import corpus_pipeline
 
-from . import exact_dedup, fingerprint, langid, licences, minhash, mixing, packing, substring, suffix_dedup, warc
+from . import embedding_dedup, exact_dedup, filter_audit, fingerprint, hard_negatives, langid, licences, minhash, mixing, packing, substring, suffix_dedup, warc
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -23,6 +23,9 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_best_fit_packing": packing.op8_best_fit_packing,
         "op9_licence_scan": licences.op9_licence_scan,
         "op10_minhash_near_dedup": minhash.op10_minhash_near_dedup,
+        "op11_embedding_near_dedup": embedding_dedup.op11_embedding_near_dedup,
+        "op12_filter_audit": filter_audit.op12_filter_audit,
+        "op13_hard_negatives": hard_negatives.op13_hard_negatives,
         "pipeline": corpus_pipeline.run,
     }
 
@@ -34,4 +37,7 @@ def oracle_sql() -> dict[str, str]:
         "op4_temperature_mixing": mixing.OP4_SQL,
         "op5_warc_index_merge": warc.OP5_SQL,
         "op9_licence_scan": licences.OP9_SQL,
+        "op11_embedding_near_dedup": embedding_dedup.OP11_SQL,
+        "op12_filter_audit": filter_audit.OP12_SQL,
+        "op13_hard_negatives": hard_negatives.OP13_SQL,
     }
