@@ -161,6 +161,11 @@ def _by_unit(search: Callable[[_Rows, _Rows], Iterator[pa.RecordBatch]]):
     return scan
 
 
+def hundredths(value: np.ndarray, share: int) -> np.ndarray:
+    """floor(value * share / 100) without a product that overflows."""
+    return value // 100 * share + value % 100 * share // 100
+
+
 def positives(anchors: DataFrame, rows: DataFrame, count: int) -> DataFrame:
     """(anchor_id, positive_id, positive_score): the best ``count`` rows of each anchor's own label."""
 
@@ -195,8 +200,7 @@ def negatives(anchors: DataFrame, rows: DataFrame, count: int, low_share: int, h
             n = len(own.ids[lo : lo + STRIP])
             wanted = [(k, s["positive_score"], s["positive_id"]) for k in range(n) for s in own.extra[lo + k]]
             who, want, pid = (np.array([w[c] for w in wanted], np.int64) for c in range(3))
-            # bands in whole scores: ceil and floor of the shares
-            least, most = -((-low_share * want) // 100), (high_share * want) // 100
+            least, most = -hundredths(-want, low_share), hundredths(want, high_share)  # the band in whole scores: ceil and floor
             some = least <= most
             who, want, pid, least, most = who[some], want[some], pid[some], least[some], most[some]
             if not len(who):
