@@ -14,6 +14,7 @@ from __future__ import annotations
 
 import bisect
 import json
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -50,6 +51,27 @@ def encoder(path: str) -> tiktoken.Encoding:
     return tiktoken.Encoding("bytes", pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
 
 
+#: White space of the pattern (Unicode's White_Space) in runs that are too long for a backtracking regular expression.
+LONG_BLANKS = re.compile("[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{65536,}")
+
+
+def token_ids(enc: tiktoken.Encoding, text: str) -> list[int]:
+    """Ids of a text of any kind.
+
+    The pattern takes a run of white space as one piece, without its last character if a text goes on behind it.  Long runs are
+    taken out here by that rule, as the regular expression would run out of its stack."""
+    out: list[int] = []
+    at = 0
+    for run in LONG_BLANKS.finditer(text):
+        end = run.end()
+        if end < len(text) and not text.startswith(tuple(enc.special_tokens_set), end):
+            end -= 1
+        out += enc.encode(text[at : run.start()], allowed_special="all")
+        out += enc._encode_single_piece(text[run.start() : end])
+        at = end
+    return out + enc.encode(text[at:], allowed_special="all")
+
+
 def cuts(n: int, capacity: int) -> list[int]:
     """Edges of the pieces of a document of n ids: all are full but the first, which may be shorter."""
     head = n % capacity
@@ -64,7 +86,7 @@ def pieces(docs: DataFrame, path: str, capacity: int = CAPACITY, id_col: str = "
         for batch in batches:
             doc, piece, start, length, crc = [], [], [], [], []
             for d, t in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                ids = np.array(enc.encode(t.as_py() or "", allowed_special="all"), np.uint32)
+                ids = np.array(token_ids(enc, t.as_py() or ""), np.uint32)
                 ids = np.append(ids, np.uint32(END_ID)).astype("<u4")
                 edges = cuts(len(ids), capacity)
                 for k, (lo, hi) in enumerate(zip(edges[:-1], edges[1:], strict=True)):

@@ -282,3 +282,49 @@ def test_empty_tables(spark, tmp_path, name):
     for t, schema in (("embeddings", VECTORS), ("documents", "doc_id long, text string, source string"), ("labels", "doc_id long, quality int, toxic int")):
         spark.createDataFrame([], schema).write.parquet(f"{tmp_path}/{t}.parquet")
     assert found(entry.queries()[name](spark, str(tmp_path))) == []
+
+
+# very long texts
+
+
+def test_ids_of_long_blanks():
+    import public_tokenizers
+    import tokenizers
+
+    from scriptoria.llm import packing
+
+    path = public_tokenizers.path("byte_bpe_50k.json")
+    enc, whole = packing.encoder(path), tokenizers.Tokenizer.from_file(path)
+    n = 70_000
+    for t in (" " * 1_200_000, "\n" * 1_200_000 + " x", "a" + "\t" * n + "b", "it's" + " \n" * n + "'s", "a\xa0" + " " * n + "\x1c", "a" + " " * n + "<|endoftext|>" + " " * n + "z", "x" * 1_000_000):
+        assert packing.token_ids(enc, t) == whole.encode(t, add_special_tokens=False).ids
+
+
+LONG_TEXTS = ["x" * 5_000_000, " " * 5_000_000, "ab " * 1_600_000, "\n" * 1_200_000 + "end"]
+
+
+@pytest.fixture(scope="module")
+def long_texts(spark, tmp_path_factory):
+    d = str(tmp_path_factory.mktemp("long"))
+    rows = [(i, t, "en", "s", len(t)) for i, t in enumerate([*LONG_TEXTS, *LONG_TEXTS[:2], "a b c"], 1)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long").repartition(4).write.parquet(f"{d}/documents.parquet")
+    spark.createDataFrame([(1, 1, 0)], "doc_id long, quality int, toxic int").write.parquet(f"{d}/labels.parquet")
+    return d
+
+
+@pytest.mark.parametrize("name", [n for n in entry.queries() if n.startswith("op") and n.split("_")[0] not in ("op5", "op6", "op11", "op12", "op13")])
+def test_long_texts(spark, long_texts, name):
+    rows = entry.queries()[name](spark, long_texts).collect()
+    if name.startswith("op8"):
+        tokens = {1: 625_000, 2: 5_000_000, 5: 625_000, 6: 5_000_000}
+        got: dict[int, int] = {}
+        for r in rows:
+            got[r["doc_id"]] = got.get(r["doc_id"], 0) + r["length"]
+        assert {i: got[i] - 1 for i in tokens} == tokens
+    elif name.startswith("op9"):
+        assert not any(getattr(r, "doc_id", None) not in range(1, 8) for r in rows)
+    else:
+        assert len(rows) >= 7
+    if "kept" in (rows[0].asDict() if rows else {}):
+        gone = {r["doc_id"] for r in rows if not r["kept"]}
+        assert gone == ({1, 2} if name.startswith("op2") else {5}), gone
