@@ -25,6 +25,8 @@ from .exact_dedup import UPPER, hit_filter, may_hit
 LETTERS = "ABCDE"
 #: Code points of the first block, and how much longer each next one is.
 FIRST_BLOCK, GROWTH = 256, 8
+#: Candidates up to this number (about 8 MB) are broadcast to where the texts are read; beyond it they are joined by shuffle.
+BROADCAST_CANDIDATES = 250_000
 BLANKS = " \t\n\x0b\x0c\r"
 
 
@@ -63,12 +65,16 @@ def _all_blocks() -> Column:
     return F.xxhash64("len", "h")
 
 
-def same_texts(texts: DataFrame, left: DataFrame) -> DataFrame:
-    """(id, len, c, first): members of classes (id, len, c) with the smallest id of their text, by comparing the full ``texts`` (id, len, c, t)."""
+def same_texts(texts: DataFrame, left: DataFrame, edges: list[tuple[int, int]]) -> DataFrame:
+    """(id, len, c, first): members of classes (id, len, c) with the smallest id of their text, by comparing the full ``texts`` (id, t).
+
+    Only texts of candidates move: a filter of fixed size rules the others out where they are read."""
     left = materialise(left.distinct(), "candidates")
-    may = hit_filter(left.select(F.col("id").alias("digest")))
-    own = may_hit(texts.withColumn("digest", F.col("id")), may).drop("digest").join(left, ["id", "len", "c"], "left_semi")
-    own = materialise(own, "class-texts")
+    small = left.limit(BROADCAST_CANDIDATES + 1).count() <= BROADCAST_CANDIDATES
+    may = may_hit(texts.withColumn("digest", F.col("id")), hit_filter(left.select(F.col("id").alias("digest")))).drop("digest")
+    keyed = may.withColumn("len", F.length("t")).withColumn("h", block_hashes(F.col("t"), edges)).select("id", "len", _all_blocks().alias("c"), "t")
+    # an inner join: a semi-join would be pushed below the filter
+    own = materialise(keyed.join(F.broadcast(left) if small else left, ["id", "len", "c"]), "class-texts")
     out = None
     while True:
         firsts = materialise(own.groupBy("len", "c").agg(F.min("id").alias("first")), "firsts")
@@ -102,8 +108,7 @@ def masks(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", part_
     scanned = read.select("id", "part", "len", failed(F.col("t"), F.col("w"), F.col("len")).alias("mask"), block_hashes(F.col("t"), edges).alias("h"))
     scanned = materialise(scanned, "scanned")
     left = refined(scanned.where("id is not null").select("id", "len", "h"), len(edges))
-    keyed = plain.where("id is not null").withColumn("len", F.length("t")).withColumn("h", block_hashes(F.col("t"), edges)).withColumn("c", _all_blocks()).select("id", "len", "c", "t")
-    copies = same_texts(keyed, left).where("id > first").select("id", "len", "c", F.lit(16).alias("e"))
+    copies = same_texts(plain.where("id is not null").select("id", "t"), left, edges).where("id > first").select("id", "len", "c", F.lit(16).alias("e"))
     rows = scanned.withColumn("c", _all_blocks()).join(copies, ["id", "len", "c"], "left")
     return rows.select("id", "part", (F.col("mask") + F.coalesce("e", F.lit(0))).cast("int").alias("mask"))
 
@@ -143,7 +148,8 @@ def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 OP12_SQL = r"""
 WITH d AS (SELECT doc_id, coalesce(source, '') AS part, coalesce(text, '') AS t FROM documents),
-w AS (SELECT *, regexp_extract_all(t, '[^ 	-]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
+w AS (SELECT *, regexp_extract_all(t, '[^ 	-
+]+') AS words, min(doc_id) OVER (PARTITION BY t) AS first FROM d),
 f AS (SELECT doc_id, part, len(words) < 50 AS A, 100 * len(list_distinct(words)) < 65 * len(words) AS B, 100 * length(regexp_replace(t, '[^A-Z]', '', 'g')) > 5 * length(t) AS C,
   regexp_matches(t, '[#$%&*|]') AS D, coalesce(doc_id > first, false) AS E FROM w),
 l AS (SELECT doc_id, max((quality = 1)::INT) AS good, max((toxic = 1)::INT) AS toxic FROM labels GROUP BY doc_id),
