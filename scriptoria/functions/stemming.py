@@ -1,4 +1,4 @@
-"""Snowball stemming of Russian words, after the published description of the algorithm."""
+"""Snowball stemming of Russian and English words, after the published descriptions of the algorithms."""
 
 from __future__ import annotations
 
@@ -72,13 +72,98 @@ def russian(word: str) -> str:
     return w[:-1] if w.endswith("ь") and len(w) > rv else w
 
 
+# The published English algorithm (Porter2): special words, endings and what replaces them.
+ENGLISH_WORDS = {
+    "skis": "ski", "skies": "sky", "dying": "die", "lying": "lie", "tying": "tie", "idly": "idl", "gently": "gentl", "ugly": "ugli", "early": "earli", "only": "onli", "singly": "singl",
+    "sky": "sky", "news": "news", "howe": "howe", "atlas": "atlas", "cosmos": "cosmos", "bias": "bias", "andes": "andes",
+}
+ENGLISH_UNCHANGED = ("inning", "outing", "canning", "herring", "earring", "proceed", "exceed", "succeed")
+ENGLISH_REGIONS = ("gener", "commun", "arsen")
+DOUBLES = ("bb", "dd", "ff", "gg", "mm", "nn", "pp", "rr", "tt")
+STEP_2 = {
+    "ational": "ate", "tional": "tion", "enci": "ence", "anci": "ance", "abli": "able", "entli": "ent", "izer": "ize", "ization": "ize", "ation": "ate", "ator": "ate", "alism": "al", "aliti": "al",
+    "alli": "al", "fulness": "ful", "ousli": "ous", "ousness": "ous", "iveness": "ive", "iviti": "ive", "biliti": "ble", "bli": "ble", "ogi": "og", "fulli": "ful", "lessli": "less", "li": "",
+}
+STEP_3 = {"ational": "ate", "tional": "tion", "alize": "al", "icate": "ic", "iciti": "ic", "ical": "ic", "ful": "", "ness": "", "ative": ""}
+STEP_4 = ("al", "ance", "ence", "er", "ic", "able", "ible", "ant", "ement", "ment", "ent", "ism", "ate", "iti", "ous", "ive", "ize", "ion")
+
+
+def _ending(word: str, endings) -> str | None:
+    """The longest of the endings that the word has."""
+    return max((e for e in endings if word.endswith(e)), key=len, default=None)
+
+
+def _english_regions(word: str) -> tuple[int, int]:
+    def after(start: int) -> int:
+        found = re.compile("[aeiouy][^aeiouy]").search(word, start)
+        return found.end() if found else len(word)
+
+    known = next((len(p) for p in ENGLISH_REGIONS if word.startswith(p)), None)
+    one = after(0) if known is None else known
+    return one, after(one)
+
+
+def _short(word: str) -> bool:
+    """Whether a word ends in a short syllable."""
+    return re.search("^[aeiouy][^aeiouy]$|[^aeiouy][aeiouy][^aeiouywxY]$", word) is not None
+
+
+def _without_ed_ing(word: str, one: int) -> str:
+    ending = _ending(word, ("eed", "eedly", "ed", "edly", "ing", "ingly"))
+    if ending is None:
+        return word
+    kept = word[: len(word) - len(ending)]
+    if ending.startswith("eed"):
+        return kept + "ee" if len(kept) >= one else word
+    if not re.search("[aeiouy]", kept):
+        return word
+    if kept.endswith(("at", "bl", "iz")):
+        return kept + "e"
+    if kept.endswith(DOUBLES):
+        return kept[:-1]
+    return kept + "e" if one >= len(kept) and _short(kept) else kept
+
+
 def english(word: str) -> str:
-    """Light English stem: plural and the commonest verb endings (the reference language of the text is Russian)."""
-    w = word.lower()
-    for ending, by, least in (("sses", "ss", 5), ("ies", "i", 5), ("ing", "", 6), ("ed", "", 5), ("s", "", 4)):
-        if w.endswith(ending) and len(w) >= least and not (ending == "s" and w.endswith("ss")):
-            return w[: len(w) - len(ending)] + by
-    return w
+    """Stem by the published algorithm."""
+    w = word.lower().replace("’", "'")
+    if len(w) <= 2:
+        return w
+    w = w.removeprefix("'")
+    if w in ENGLISH_WORDS:
+        return ENGLISH_WORDS[w]
+    w = re.sub("^y|(?<=[aeiouy])y", "Y", w)
+    one, two = _english_regions(w)
+    apostrophe = _ending(w, ("'", "'s", "'s'"))
+    w = w[: len(w) - len(apostrophe)] if apostrophe else w
+    plural = _ending(w, ("sses", "ied", "ies", "us", "ss", "s"))
+    if plural == "sses":
+        w = w[:-2]
+    elif plural in ("ied", "ies"):
+        w = w[:-2] if len(w) > 4 else w[:-1]
+    elif plural == "s" and re.search("[aeiouy]", w[:-2]):
+        w = w[:-1]
+    if w in ENGLISH_UNCHANGED:
+        return w
+    w = _without_ed_ing(w, one)
+    if len(w) > 2 and w[-1] in "yY" and w[-2] not in "aeiouy":
+        w = w[:-1] + "i"
+    found = _ending(w, STEP_2)
+    if found and len(w) - len(found) >= one:
+        before = w[: len(w) - len(found)]
+        if not (found == "ogi" and not before.endswith("l")) and not (found == "li" and before[-1:] not in tuple("cdeghkmnrt")):
+            w = before + STEP_2[found]
+    found = _ending(w, STEP_3)
+    if found and len(w) - len(found) >= (two if found == "ative" else one):
+        w = w[: len(w) - len(found)] + STEP_3[found]
+    found = _ending(w, STEP_4)
+    if found and len(w) - len(found) >= two and not (found == "ion" and w[-4:-3] not in ("s", "t")):
+        w = w[: len(w) - len(found)]
+    if w.endswith("e") and (len(w) - 1 >= two or len(w) - 1 >= one and not _short(w[:-1])):
+        w = w[:-1]
+    elif w.endswith("ll") and len(w) - 1 >= two:
+        w = w[:-1]
+    return w.replace("Y", "y")
 
 
 def stem(word: str) -> str:

@@ -220,6 +220,28 @@ def facet_rollup(containers: DataFrame, documents: DataFrame) -> DataFrame:
     return joined.rollup("siteYear", "documentType").agg(F.count(F.lit(1)).alias("n"), F.grouping_id().cast("int").alias("level"))
 
 
+def facet_cube(containers: DataFrame, documents: DataFrame, facets: list[str]) -> DataFrame:
+    """Extension: numbers of documents by every combination of facets; ``level`` has a bit for each facet that is summed over."""
+    joined = documents.join(containers.select("slug", "siteYear"), "slug")
+    return joined.cube(*facets).agg(F.count(F.lit(1)).alias("n"), F.grouping_id().cast("int").alias("level"))
+
+
+def facet_sketches(containers: DataFrame, documents: DataFrame, facets: list[str], column: str, size: int = 14) -> DataFrame:
+    """Extension: a sketch of the different values of ``column`` for each combination of facets: to be stored, and merged by ``merged_sketches``."""
+    joined = documents.join(containers.select("slug", "siteYear"), "slug")
+    return joined.groupBy(*facets).agg(F.hll_sketch_agg(column, size).alias("sketch"))
+
+
+def merged_sketches(sketches: DataFrame, facets: list[str]) -> DataFrame:
+    """About how many different values there are by fewer facets, from stored sketches alone (standard error 0.8 % at size 14)."""
+    return sketches.groupBy(*facets).agg(F.hll_sketch_estimate(F.hll_union_agg("sketch")).alias("about"))
+
+
+def russian_order(text: Column) -> Column:
+    """Sort key of a Russian text: by the alphabet, ``ё`` with ``е`` (behind it where nothing else differs), case last."""
+    return F.collate(text, "ru")
+
+
 def ranked(df: DataFrame, keys: list[str], order: list) -> DataFrame:
     """Preference: the first row of each group in the given order."""
     return df.withColumn("_r", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where("_r = 1").drop("_r")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from scriptoria.functions.publication import load_publication
 from scriptoria.functions.text import description
+from scriptoria.operators import postings, search
 
 
 def containers(issues: DataFrame, default_year: int) -> DataFrame:
@@ -62,10 +63,10 @@ def current(spark, path: str) -> str:
     return f"{path}/generations/{max(done)}"
 
 
-def rebuild(issues: DataFrame, path: str, default_year: int, strict: bool = True, keep: int = 2) -> None:
-    """Write both tables (containers by year) as a new generation below ``path``; unsound input is an error before anything is written.
+def rebuild(issues: DataFrame, path: str, default_year: int, strict: bool = True, keep: int = 2, config: search.Config | None = None) -> None:
+    """Write both tables (containers by year) and the search index of the inner documents as a new generation below ``path``; unsound input is an error before anything is written.
 
-    A generation counts once both tables are there, so readers never see one table without the other and a failure leaves the
+    A generation counts once all is there, so readers never see one table without the other and a failure leaves the
     last one in place.  The last ``keep`` generations stay.
     """
     cont, docs = containers(issues, default_year), documents(issues)
@@ -79,11 +80,18 @@ def rebuild(issues: DataFrame, path: str, default_year: int, strict: bool = True
     new = f"{path}/generations/{int(names[-1]) + 1 if names else 1:012d}"
     cont.write.partitionBy("siteYear").parquet(f"{new}/containers")
     docs.write.parquet(f"{new}/documents")
+    written = spark.read.parquet(f"{new}/documents").join(spark.read.parquet(f"{new}/containers").select("slug", "siteYear"), "slug", "left")
+    postings.catalog_index(written, f"{new}/index", config or search.Config.russian(spark), F.col("siteYear"))
     fs.create(_file_system(spark, f"{new}/_LOADED")[0]).close()
     for name in names[: max(0, len(names) + 1 - keep)]:
         fs.delete(_file_system(spark, f"{path}/generations/{name}")[0], True)
 
 
+def index(spark, path: str, config: search.Config | None = None) -> postings.Index:
+    """The search index of the generation that a load finished last; ``config`` as the load had it."""
+    return postings.Index(f"{current(spark, path)}/index", postings.CATALOG_KEY, config or search.Config.russian(spark), postings.CATALOG_BUCKETS)
+
+
 def changed_only(old: DataFrame, new: DataFrame, key: list[str]) -> DataFrame:
     """Rows of ``new`` that are absent from ``old`` or differ there (nulls compared as values)."""
     fields = [c for c in new.columns if c not in key]

@@ -1,7 +1,6 @@
-"""Full-text search over a token table: tokens with positions and weights, boolean and phrase queries, a score.
+"""Full-text search: tokens with positions and weights, and the syntax of queries (``postings`` has the written index that queries read).
 
-The token table is made once (one row a token, written bucketed or partitioned by term hash); a query reads the rows
-of its terms only.  Positions count stop words, and fields are laid one after another.
+Positions count stop words, and fields are laid one after another.
 """
 
 from __future__ import annotations
@@ -15,7 +14,6 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from scriptoria.functions.stemming import stem
-from scriptoria.operators import catalog
 
 # Weights of the classes A to D.
 WEIGHTS = {"A": 1.0, "B": 0.4, "C": 0.2, "D": 0.1}
@@ -75,36 +73,6 @@ def token_table(docs: DataFrame, key: list[str], fields: list[tuple[str, str]],
     return flat.where("term is not null") if config.stop else flat
 
 
-#: Folders of a written token table.
-BUCKETS = 64
-
-
-def _bucket(term: Column) -> Column:
-    return F.pmod(F.xxhash64(term), F.lit(BUCKETS)).cast("int")
-
-
-def write_tokens(table: DataFrame, path: str) -> None:
-    """Write a token table by term: a query reads the folders of its terms, and in them the row groups that hold these."""
-    placed = table.withColumn("bucket", _bucket(F.col("term")))
-    # a hot bucket is dealt over several tasks by its keys; files are sorted by term
-    keys = [c for c in table.columns if c not in ("term", "pos", "weight")]
-    dealt = placed.repartition("bucket", F.pmod(F.xxhash64(*keys), F.lit(8))).sortWithinPartitions("bucket", "term")
-    dealt.write.mode("overwrite").partitionBy("bucket").parquet(path)
-
-
-def rows_of(table: DataFrame, terms: list[str]) -> DataFrame:
-    """Rows of some terms; of a written table only their folders are read."""
-    found = table.where(F.col("term").isin(*terms))
-    if "bucket" in table.columns:
-        found = found.where(F.col("bucket").isin(*[r[0] for r in _buckets(table, terms)]))
-    return found
-
-
-def _buckets(table: DataFrame, terms: list[str]) -> list:
-    """The buckets of a query's terms (a handful of words)."""
-    return table.sparkSession.createDataFrame([(t,) for t in terms], "term string").select(_bucket(F.col("term"))).distinct().collect()
-
-
 def russian_stop_words(spark) -> list[str]:
     """The stop words that Spark itself ships for Russian."""
     from pyspark.ml.feature import StopWordsRemover
@@ -146,73 +114,8 @@ def _terms(clause: Clause, config: Config) -> list[tuple[int, str]]:
     return [(i, t) for i, w in enumerate(clause.words) if (t := config.term(w)) is not None]
 
 
-def matching(table: DataFrame, key: list[str], query: str, universe: DataFrame | None = None, config: Config = PLAIN) -> DataFrame:
-    """Keys that match a query, whose words become terms as the table's did (``config``).
-
-    Words and phrases become bits of grouped passes over the rows of the query's terms; a query that only excludes needs the
-    ``universe`` of keys.  Clauses of stop words alone are left out; a query of nothing else matches nothing.
-    """
-    out = None
-    for clauses in parse(query):
-        kept = [(t, c.negated) for c in clauses if (t := _terms(c, config))]
-        if kept:
-            found = _all_of(table, key, kept, universe)
-            out = found if out is None else out.union(found)
-    return table.select(*key).where("false") if out is None else out.distinct()
-
-
-def _phrase(table: DataFrame, key: list[str], terms: list[tuple[int, str]]) -> DataFrame:
-    """Keys in which the terms stand at their places: positions minus places agree.  One pass over the rows of the terms."""
-    places: dict[str, list[int]] = {}
-    for place, term in terms:
-        places.setdefault(term, []).append(place)
-    at = F.lit(None).cast("array<int>")
-    for term, own in places.items():
-        at = F.when(F.col("term") == term, F.array(*[F.lit(p) for p in own])).otherwise(at)
-    rows = rows_of(table, list(places)).select(*key, "pos", F.explode(at).alias("_i"))
-    return rows.groupBy(*key, (F.col("pos") - F.col("_i")).alias("_at")).agg(F.count_distinct("_i").alias("_n")).where(F.col("_n") == len(terms)).select(*key).distinct()
-
-
-def _all_of(table: DataFrame, key: list[str], clauses: list[tuple[list[tuple[int, str]], bool]], universe: DataFrame | None) -> DataFrame:
-    single = sorted({t[0][1] for t, negated in clauses if not negated and len(t) == 1})
-    found = None
-    if single:
-        found = rows_of(table, single).groupBy(*key).agg(F.count_distinct("term").alias("_n")).where(F.col("_n") == len(single)).select(*key)
-    for terms, negated in clauses:
-        if not negated and len(terms) > 1:
-            part = _phrase(table, key, terms)
-            found = part if found is None else found.join(part, key, "left_semi")
-    if found is None:
-        found = (universe if universe is not None else table).select(*key).distinct()
-    for terms, negated in clauses:
-        if negated:
-            hit = rows_of(table, [terms[0][1]]).select(*key).distinct() if len(terms) == 1 else _phrase(table, key, terms)
-            found = found.join(hit, key, "left_anti")
-    return found
-
-
 def scores(table: DataFrame, key: list[str], query: str, config: Config = PLAIN) -> DataFrame:
     """Weighted count of the query's terms in each document (order only; it never decides what matches)."""
     words = sorted({t for a in parse(query) for c in a if not c.negated for _, t in _terms(c, config)})
     weight = F.create_map(*[F.lit(x) for p in WEIGHTS.items() for x in p])[F.col("weight")]
-    return rows_of(table, words).groupBy(*key).agg(F.sum(weight).alias("score"))
-
-
-def found_catalog(containers: DataFrame, documents: DataFrame, table: DataFrame, filters, config: Config) -> DataFrame:
-    """The catalog under all filters, the text query among them: documents that match it, in the listing's order, each with its score."""
-    key = ["slug", "position"]
-    if not filters.q:
-        return catalog.catalog(containers, documents, filters)
-    hits = matching(table, key, filters.q, documents, config)
-    scored = documents.join(hits, key, "left_semi").join(scores(table, key, filters.q, config), key, "left")
-    return catalog.catalog(containers, scored, filters)
-
-
-#: Fields of a document in the catalog's search, with their weights.
-CATALOG_FIELDS = [("_author", "A"), ("_title", "A"), ("creationRaw", "B"), ("content", "C")]
-
-
-def catalog_tokens(documents: DataFrame, config: Config) -> DataFrame:
-    blank = lambda c: F.coalesce(F.col(c), F.lit(""))
-    ready = documents.withColumns({"_author": F.concat_ws(" ", blank("authorName"), blank("authorRaw")), "_title": F.concat_ws(" ", blank("documentTitle"), blank("description"))})
-    return token_table(ready, ["slug", "position"], CATALOG_FIELDS, config)
+    return table.where(F.col("term").isin(*words)).groupBy(*key).agg(F.sum(weight).alias("score"))

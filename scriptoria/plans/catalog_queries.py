@@ -8,7 +8,6 @@ from pyspark.sql import functions as F
 from scriptoria.functions import labels
 from scriptoria.functions.dates import month_name, site_label
 from scriptoria.operators import catalog as C
-from scriptoria.operators import search as S
 
 from .registering import query
 from .roles import CONTAINERS, DOCUMENTS, containers, documents, table
@@ -123,49 +122,6 @@ def quarter_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("o_orderkey", month_name(F.col("m")).alias("month"), issue_slug(F.col("path"), F.col("pub")).alias("slug"))
 
 
-# Full-text search: the token table of documents, ASCII words, no stemming.
-_TOKENS = r"w AS (SELECT doc_id, regexp_extract_all(lower(text), '[\p{L}\p{N}_]+') AS ws FROM documents), t AS (SELECT doc_id, unnest(ws) AS term, unnest(range(1, len(ws) + 1)) AS pos FROM w)"
-
-
-def _table(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.token_table(table(spark, sf_dir, "documents"), ["doc_id"], [("text", "C")])
-
-
-@query(f"WITH {_TOKENS} SELECT doc_id FROM t WHERE term IN ('tion', 'with', 'ering') GROUP BY 1 HAVING count(DISTINCT term) = 3")
-def fts_and(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.matching(_table(spark, sf_dir), ["doc_id"], "tion with ering")
-
-
-@query(f"WITH {_TOKENS} SELECT DISTINCT a.doc_id FROM t a JOIN t b ON a.doc_id = b.doc_id AND b.pos = a.pos + 1 JOIN t c ON a.doc_id = c.doc_id AND c.pos = a.pos + 2 WHERE a.term = 'of' AND b.term = 'the' AND c.term = 'and'")
-def fts_phrase(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.matching(_table(spark, sf_dir), ["doc_id"], '"of the and"')
-
-
-@query(f"WITH {_TOKENS} SELECT doc_id FROM t WHERE term = 'the' GROUP BY 1 EXCEPT SELECT doc_id FROM t WHERE term = 'with'")
-def fts_not(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.matching(_table(spark, sf_dir), ["doc_id"], "the -with")
-
-
-@query(f"WITH {_TOKENS} SELECT DISTINCT doc_id FROM t WHERE term IN ('ering', 'und')")
-def fts_or(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return S.matching(_table(spark, sf_dir), ["doc_id"], "ering or und")
-
-
-@query(r"""WITH f AS (SELECT doc_id, source AS x, 1.0::DOUBLE AS w FROM documents UNION ALL SELECT doc_id, text, 0.2::DOUBLE FROM documents), t AS (SELECT doc_id, unnest(regexp_extract_all(lower(x), '[\p{L}\p{N}_]+')) AS term, w FROM f)
-SELECT doc_id, round(sum(w), 6) AS score FROM t WHERE term IN ('src1', 'the', 'of') GROUP BY 1""")
-def fts_weighted_score(spark: SparkSession, sf_dir: str) -> DataFrame:
-    tokens = S.token_table(table(spark, sf_dir, "documents"), ["doc_id"], [("source", "A"), ("text", "C")])
-    return S.scores(tokens, ["doc_id"], "src1 the of").select("doc_id", F.round("score", 6).alias("score"))
-
-
-@query()
-def fts_stemmed_ru(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [("a", 1, "лекция о мудрости", "учения мудрецов"), ("b", 1, "Молитвы и призывы", "свет и любовь"), ("b", 2, "Диктовка", "мудрость веков")]
-    docs = spark.createDataFrame(rows, "slug string, position int, title string, content string")
-    tokens = S.token_table(docs, ["slug", "position"], [("title", "A"), ("content", "C")], config=(config := S.Config.russian(spark)))
-    return S.matching(tokens, ["slug", "position"], "мудростью", config=config)
-
-
 @query("""WITH t AS (SELECT c_custkey, c_mktsegment, c_nationkey FROM customer)
 SELECT c_custkey FROM t WHERE c_mktsegment IN ('BUILDING', 'MACHINERY') AND c_nationkey IN (1, 3, 5, 7)""")
 def composite_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

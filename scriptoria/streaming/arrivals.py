@@ -2,47 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
+from scriptoria.operators import merged
+from scriptoria.operators.merged import newest
 
-def newest(rows: DataFrame, key: list[str], version: list[str]) -> DataFrame:
-    """One row a key: the one with the highest version."""
-    w = Window.partitionBy(*key).orderBy(*[F.desc(c) for c in version])
-    return rows.withColumn("_r", F.row_number().over(w)).where("_r = 1").drop("_r")
+__all__ = ["current", "newest", "run_available", "upsert"]
 
 
-def upsert(spark: SparkSession, path: str, key: list[str], version: list[str]):
-    """foreachBatch function: merge a batch into the table's newest generation and write the next one.
+def upsert(path: str, key: list[str], version: list[str], buckets: int = 16):
+    """foreachBatch function: merge a batch into the table's touched buckets; a batch that is replayed after a failure changes nothing."""
 
-    Generations are numbered by batch, so a batch that is replayed after a failure overwrites its own output.
-    """
+    def one(batch: DataFrame, number: int) -> None:
+        merged.merge(batch, path, key, version, number, buckets)
 
-    def merge(batch: DataFrame, number: int) -> None:
-        before = current(spark, path, below=number)
-        rows = batch if before is None else before.unionByName(batch)
-        newest(rows, key, version).write.mode("overwrite").parquet(f"{path}/generation={number}")
+    return one
 
-    return merge
 
-
-def current(spark: SparkSession, path: str, below: int | None = None) -> DataFrame | None:
-    """The newest generation (below a number), None before the first."""
-    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
-    fs = hadoop.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(hadoop):
-        return None
-    numbers = [int(s.getPath().getName().split("=")[1]) for s in fs.listStatus(hadoop) if s.getPath().getName().startswith("generation=") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(s.getPath(), "_SUCCESS"))]
-    numbers = [n for n in numbers if below is None or n < below]
-    return spark.read.parquet(f"{path}/generation={max(numbers)}") if numbers else None
+def current(spark: SparkSession, path: str) -> DataFrame | None:
+    """The table as the last batch left it, None before the first."""
+    return merged.read(spark, path)
 
 
 def run_available(source: DataFrame, path: str, checkpoint: str, key: list[str], version: list[str]) -> None:
     """Process everything that has arrived, then stop."""
-    query = source.writeStream.foreachBatch(upsert(source.sparkSession, path, key, version)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = source.writeStream.foreachBatch(upsert(path, key, version)).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
     query.awaitTermination()
-
-
-def windowed_counts(events: DataFrame, time: str, size: str, delay: str, by: str) -> DataFrame:
-    """Extension: counts by tumbling window and key with a watermark; late rows beyond it are dropped."""
-    return events.withWatermark(time, delay).groupBy(F.window(time, size), by).agg(F.count(F.lit(1)).alias("n"))

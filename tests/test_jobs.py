@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from scriptoria import jobs
-from scriptoria.operators import archive, catalog, convert, enrich, load, search
+from scriptoria.operators import archive, catalog, convert, enrich, load, postings
 from scriptoria.settings import Settings
 from scriptoria.sources import archive_files, docx, parsed_json
 
@@ -74,16 +74,18 @@ def test_catalog_of_loaded_tables(spark, settings):
     assert items[0]["documents"][0]["authorHref"] == "/?authorSlug=mark-l-profet" and items[0]["siteMonthLabel"] == "Январь 2020"
     offline = catalog.offline_items(cont, docs, catalog.Filters(authorSlug="mark-l-profet")).collect()
     assert [o["slug"] for o in offline] == ["2020Q1-2", "2020Q1-1"] and all(o["documentsCount"] == 2 and o["singleDocument"] is None for o in offline)
-    config = search.Config.russian(spark)
-    search.write_tokens(search.catalog_tokens(docs, config), f"{settings.tables}/tokens")
-    tokens = spark.read.parquet(f"{settings.tables}/tokens")
+    index = load.index(spark, settings.tables)
     for q in ("мудрость", "мудрости", "мудростью", "о мудрости", '"о мудрости"', '"мудрости и о свете"'):
-        stem = search.matching(tokens, ["slug", "position"], q, config=config)
+        stem = postings.matching(index, spark, q)
         assert {(r["slug"], r["position"]) for r in stem.collect()} == {("2020Q1-1", 1), ("2020Q1-2", 1)}, q
     for q in ("о", '"свете мудрости"', "мудрость -свет", "молитва"):
-        assert search.matching(tokens, ["slug", "position"], q, docs, config).isEmpty(), q
-    listed = search.found_catalog(cont, docs, tokens, catalog.Filters.of(q="мудрости", siteYear="2020"), config).collect()
+        assert postings.matching(index, spark, q, docs).isEmpty(), q
+    listed = postings.found_catalog(cont, docs, index, catalog.Filters.of(q="мудрости", siteYear="2020")).collect()
     assert [r["slug"] for r in listed] == ["2020Q1-1", "2020Q1-2"] and all(r["documents"][0]["score"] > 0 for r in listed)
+    assert postings.found_catalog(cont, docs, index, catalog.Filters.of(q="мудрости", siteYear="1999")).isEmpty()
+    best = postings.ranked_documents(cont, docs, index, catalog.Filters.of(q="Профета or мудрости")).collect()
+    assert [(r["slug"], r["position"]) for r in best] == [("2020Q1-1", 1), ("2020Q1-2", 1), ("2020Q1-1", 2), ("2020Q1-2", 2)]
+    assert best[0]["score"] == best[1]["score"] > best[2]["score"] == best[3]["score"]
     assert catalog.catalog(cont, docs, catalog.Filters(), stem.where("slug = '2020Q1-1'")).count() == 1
 
 
