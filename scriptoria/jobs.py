@@ -1,7 +1,8 @@
 """Jobs of an archive, also as commands: ``python -m scriptoria.jobs <command> --root DIR [--slug S] [--year Y] ...``.
 
-prepare, parse-word, parse-pdf, audit, map, plan-moves, load, export, verify, enrich, smoke; ``year`` and ``refresh``
-run the chain parse, load, export, verify for a year or an issue.  Each job is a function of a session and settings.
+prepare, parse-word, parse-pdf, audit, map, plan-moves, load, search, changes, update, export, verify, enrich, smoke; ``year`` and ``refresh``
+run the chain parse, load, export, verify for a year or an issue.  Each job is a function of a session and settings.  audit, map, plan-moves and
+enrich write their result as JSON lines with ``--write``, below ``reports`` of the root.
 """
 
 from __future__ import annotations
@@ -14,13 +15,16 @@ from pyspark.sql import functions as F
 from scriptoria.functions.dates import year_in_path
 from scriptoria.functions.labels import parsed_path
 from scriptoria.functions.text import stem
-from scriptoria.operators import archive, catalog, enrich, exports, layout, load, segment
+from scriptoria.operators import archive, catalog, enrich, exports, freshness, layout, load, merged, postings, segment
+from scriptoria.scratch import materialise
 from scriptoria.settings import Settings
 from scriptoria.sources import archive_files, docx, parsed_json
 
 
-def _chosen(df: DataFrame, path: str, year: int | None, slug: str | None) -> DataFrame:
+def _chosen(df: DataFrame, path: str, year: int | None, slug: str | None, quarter: int | None = None, file: str | None = None) -> DataFrame:
     out = df if year is None else df.where(year_in_path(F.col(path)) == year)
+    out = out if quarter is None else out.where(F.col(path).rlike(rf"(?i)(^|/)Q{quarter}(/|$)|(^|/)\d{{4}}Q{quarter}-|(^|/){quarter}-й квартал(/|$)"))
+    out = out if file is None else out.where((F.col(path) == file) | F.endswith(path, F.lit(f"/{file}")))
     return out if slug is None else out.where(stem(F.col(path)) == slug)
 
 
@@ -31,9 +35,9 @@ def prepare(spark: SparkSession, s: Settings, year: int | None = None, slug: str
     return archive.prepare_outcome(_chosen(sources, "relativePath", year, slug), outputs, dry_run, force)
 
 
-def parse_word(spark: SparkSession, s: Settings, year: int | None = None, slug: str | None = None, overrides: DataFrame | None = None) -> DataFrame:
-    """Parsed issues of all DOCX packages; written below the parsed root."""
-    packages = _chosen(docx.read_docx(spark, s.sources, strict=True), "path", year, slug)
+def parse_word(spark: SparkSession, s: Settings, year: int | None = None, slug: str | None = None, overrides: DataFrame | None = None, quarter: int | None = None, file: str | None = None) -> DataFrame:
+    """Parsed issues of all DOCX packages, or of those that a year, quarter, file or slug names; written below the parsed root."""
+    packages = _chosen(docx.read_docx(spark, s.sources, strict=True), "path", year, slug, quarter, file)
     return _write_parsed(segment.build_issues(docx.issues_from_docx(packages), overrides), s)
 
 
@@ -45,6 +49,53 @@ def parse_pdf(spark: SparkSession, s: Settings, items: DataFrame) -> DataFrame:
     return _write_parsed(segment.build_issues(docx.issues_from_lines(lines, layout.document_layout(pages))), s)
 
 
+def parse_pdf_items(spark: SparkSession, s: Settings, items: str) -> DataFrame:
+    """``parse_pdf`` of positioned items in a Parquet table (no library here decodes PDF files)."""
+    return parse_pdf(spark, s, spark.read.parquet(items))
+
+
+def search_catalog(spark: SparkSession, s: Settings, q: str, year: str | None = None, author: str | None = None, kind: str | None = None) -> DataFrame:
+    """Documents that match a text query under the catalog's facets, best first, from the index that the last load wrote."""
+    cont, docs = tables(spark, s)
+    filters = catalog.Filters.of(siteYear=year, authorSlug=author, documentType=kind, q=q)
+    found = postings.ranked_documents(cont, docs, load.index(spark, s.tables), filters)
+    return found.join(docs.select("slug", "position", "documentTitle", "authorName"), ["slug", "position"]).orderBy(F.desc("score"), "slug", "position")
+
+
+def _snapshot(s: Settings) -> str:
+    return f"{s.tables}/snapshot"
+
+
+def changes(spark: SparkSession, s: Settings) -> DataFrame:
+    """What has changed among the sources since the last ``update`` (everything is added before the first)."""
+    now = archive_files.read_listing(spark, s.sources).select("relativePath", "sha256", "mtime")
+    was = merged.read(spark, _snapshot(s))
+    return freshness.listing_changes(now.limit(0) if was is None else was.where("present").select(*now.columns), now)
+
+
+def update(spark: SparkSession, s: Settings) -> DataFrame:
+    """Parse the packages that were added, changed or moved since the last update, load and export these; returns the changes."""
+    found = materialise(changes(spark, s), "changes")
+    paths = [r[0] for r in freshness.to_process(found).where("lower(newPath) like '%.docx'").collect()]  # names of the arrived files
+    if paths:
+        packages = docx.read_docx(spark, s.sources, strict=True)
+        arrived = spark.createDataFrame([(p,) for p in paths], "_new string")
+        packages = packages.join(F.broadcast(arrived), F.endswith("path", F.concat(F.lit("/"), "_new")) | (F.col("path") == F.col("_new")), "left_semi")
+        parsed = segment.build_issues(docx.issues_from_docx(packages))
+        slugs = [r[0] for r in parsed.select("slug").distinct().collect()]
+        _write_parsed(parsed, s)
+        load_tables(spark, s)
+        for slug in slugs:
+            export_issues(spark, s, slug=slug).write.format("noop").mode("overwrite").save()
+    now = archive_files.read_listing(spark, s.sources).select("relativePath", "sha256", "mtime", F.lit(True).alias("present"))
+    was = merged.read(spark, _snapshot(s))
+    if was is not None:  # files that are gone stay as rows without a digest
+        gone = was.join(now.select("relativePath"), "relativePath", "left_anti").withColumn("present", F.lit(False))
+        now = now.unionByName(gone.select(*now.columns))
+    merged.merge(materialise(now, "listing"), _snapshot(s), ["relativePath"])
+    return found
+
+
 def _write_parsed(issues: DataFrame, s: Settings) -> DataFrame:
     paragraph = F.transform
     inner = paragraph("documents", lambda d: F.struct(
@@ -140,8 +191,15 @@ def _exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
+def write_report(df: DataFrame, s: Settings, name: str) -> str:
+    """Write a job's result as JSON lines below the root's reports; returns the folder."""
+    path = f"{s.exports}/reports/{name}"
+    df.write.mode("overwrite").option("ignoreNullFields", False).json(path)
+    return path
+
+
 COMMANDS = {
-    "prepare": prepare, "parse-word": parse_word, "audit": audit, "map": map_sources, "plan-moves": plan_moves, "load": load_tables, "export": export_issues, "verify": verify, "enrich": enrich_issues, "year": chain, "refresh": chain,
+    "prepare": prepare, "parse-word": parse_word, "parse-pdf": parse_pdf_items, "search": search_catalog, "changes": changes, "update": update, "audit": audit, "map": map_sources, "plan-moves": plan_moves, "load": load_tables, "export": export_issues, "verify": verify, "enrich": enrich_issues, "year": chain, "refresh": chain,
 }
 
 
@@ -154,10 +212,17 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--slug")
     p.add_argument("--limit", type=int)
     p.add_argument("--force", action="store_true")
-    p.add_argument("--write", action="store_true", help="prepare: name the actions of a run that writes")
+    p.add_argument("--write", action="store_true", help="prepare: name the actions of a run that writes; audit, map, plan-moves, enrich: write the result as JSON")
+    p.add_argument("--quarter", type=int, choices=[1, 2, 3, 4])
+    p.add_argument("--file", help="parse-word: one source file; parse-pdf: the table of positioned items")
+    p.add_argument("--query", help="search: the text query")
+    p.add_argument("--author")
+    p.add_argument("--type", dest="kind")
     a = p.parse_args(argv)
     if a.command == "year" and a.year is None or a.command == "refresh" and a.slug is None:
         p.error("year needs --year, refresh needs --slug")
+    if a.command == "search" and a.query is None or a.command == "parse-pdf" and a.file is None:
+        p.error("search needs --query, parse-pdf needs --file")
     spark = SparkSession.builder.appName(f"scriptoria {a.command}").config("spark.sql.session.timeZone", "UTC").getOrCreate()
     s = Settings.below(a.root, a.sources)
     if a.command == "smoke":
@@ -165,8 +230,16 @@ def main(argv: list[str] | None = None) -> int:
         print(found)
         return int(not all(found.values()))
     known = {"prepare": {"year": a.year, "slug": a.slug, "dry_run": not a.write, "force": a.force}, "enrich": {"limit": a.limit, "force": a.force}}
-    picked = {"year": a.year, "slug": a.slug} if a.command in ("parse-word", "export", "year", "refresh") else {}
-    COMMANDS[a.command](spark, s, **known.get(a.command, picked)).show(50, truncate=False)
+    known |= {
+        "parse-word": {"year": a.year, "slug": a.slug, "quarter": a.quarter, "file": a.file}, "parse-pdf": {"items": a.file},
+        "search": {"q": a.query, "year": None if a.year is None else str(a.year), "author": a.author, "kind": a.kind},
+    }
+    picked = {"year": a.year, "slug": a.slug} if a.command in ("export", "year", "refresh") else {}
+    found = COMMANDS[a.command](spark, s, **known.get(a.command, picked))
+    if a.write and a.command in ("audit", "map", "plan-moves", "enrich"):
+        print(write_report(found, s, a.command))
+    else:
+        found.show(50, truncate=False)
     return 0
 
 

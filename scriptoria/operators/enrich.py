@@ -6,6 +6,8 @@ default one looks records up in a table, so nothing here needs a network.
 
 from __future__ import annotations
 
+import re
+import time
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, Window
@@ -70,6 +72,70 @@ def null_provider(asked: DataFrame) -> DataFrame:
     return asked.select("slug", "position", nothing.alias("record"), F.lit(404).alias("status"), F.lit("no record").alias("error"))
 
 
+class ProviderError(Exception):
+    """A call's failure with its status."""
+
+    def __init__(self, status: int, message: str):
+        super().__init__(message)
+        self.status = status
+
+
+class Unavailable(RuntimeError):
+    """The provider refuses every call: the run ends."""
+
+
+def partition_provider(call: Callable[[list[str]], list[str | None]], size: int = 20, retries: int = 2, pause: float = 0.5, characters: int | None = None, width: int | None = None) -> Callable[[DataFrame], DataFrame]:
+    """Provider that calls ``call(candidates) -> records`` with up to ``size`` candidates of a partition at a time.
+
+    A call that fails with 429 or 5xx is repeated up to ``retries`` times, after a pause that doubles; another failure, or the last, is the error of that
+    call's rows, and the next call is made.  ``characters`` bounds the text that one partition sends: rows beyond it get status 402 without a call.  A refusal
+    (``is_refusal``) raises, so that Spark stops the job's other tasks; no later call of the partition is made.  ``width`` is the number of partitions, that is of calls at one time.
+    Rows stay in order within a partition, and each row gets one answer."""
+
+    def answers(frames):
+        sent = 0
+        for frame in frames:
+            for lo in range(0, len(frame), size):
+                part = frame.iloc[lo : lo + size]
+                keys = part[["slug", "position"]]
+                asked = part["candidate"].tolist()
+                sent += sum(map(len, asked))
+                if characters is not None and sent > characters:
+                    sent = characters + 1  # the budget is spent: nothing smaller slips through later
+                    yield keys.assign(record=None, status=402, error="the partition's budget is spent")
+                    continue
+                records, status, error = _called(call, asked, retries, pause)
+                yield keys.assign(record=records, status=status, error=error)
+
+    def ask(candidates: DataFrame) -> DataFrame:
+        types = dict(candidates.dtypes)
+        dealt = candidates if width is None else candidates.repartitionByRange(width, "slug", "position")
+        return dealt.sortWithinPartitions("slug", "position").mapInPandas(answers, f"slug {types['slug']}, position {types['position']}, record string, status int, error string")
+
+    return ask
+
+
+def is_refusal(status: int, message: str) -> bool:
+    return status == 403 or re.search(UNAVAILABLE, message) is not None
+
+
+def _called(call, asked: list[str], retries: int, pause: float) -> tuple[list[str | None], list[int], list[str | None]]:
+    for attempt in range(retries + 1):
+        try:
+            records = call(asked)
+            if len(records) != len(asked):
+                raise ProviderError(502, f"{len(records)} records for {len(asked)} candidates")
+            return records, [404 if r is None else 200 for r in records], ["no record" if r is None else None for r in records]
+        except ProviderError as e:
+            if is_refusal(e.status, str(e)):
+                raise Unavailable(f"the provider is not available: {e}") from e
+            if attempt == retries or e.status != 429 and e.status < 500:
+                n = len(asked)
+                return [None] * n, [e.status] * n, [str(e)] * n
+            time.sleep(pause * 2**attempt)
+    raise AssertionError("unreachable")
+
+
 def is_unavailable(status: Column, error: Column) -> Column:
     """Errors that stop a run; others are reported and passed over."""
     return (status == 403) | F.coalesce(F.rlike(error, F.lit(UNAVAILABLE)), F.lit(False))

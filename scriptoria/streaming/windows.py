@@ -1,6 +1,6 @@
 """Extension: event-time windows, sessions and state by key as streams whose outcome equals a batch's.
 
-A row is late when its time lies before the watermark (the latest time of earlier batches less the delay) and its window is closed; late rows are left out.
+The watermark of a batch is the latest time of earlier batches less the delay.  A row is late, and left out, when its window or session (alone) ends before the watermark of the batch before its own.
 Windows and sessions are written once, when the watermark passes their end; those still open at the end of the input are not written.
 """
 

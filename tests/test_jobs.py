@@ -89,6 +89,30 @@ def test_catalog_of_loaded_tables(spark, settings):
     assert catalog.catalog(cont, docs, catalog.Filters(), stem.where("slug = '2020Q1-1'")).count() == 1
 
 
+def test_search_job(spark, settings):
+    best = jobs.search_catalog(spark, settings, "мудростью -царях", year="2020", author="mark-l-profet").collect()
+    assert [(r["slug"], r["position"], r["documentTitle"]) for r in best] == [("2020Q1-1", 1, "Далекий Бог"), ("2020Q1-2", 1, "Далекий Бог")] and best[0]["score"] > 0
+    assert jobs.search_catalog(spark, settings, "мудростью", kind="lecture").isEmpty()
+
+
+def test_update_parses_what_has_changed(spark, tmp_path):
+    d = tmp_path / "sources" / "2020" / "Q1" / "word"
+    d.mkdir(parents=True)
+    (d / "2020Q1-1.docx").write_bytes(package(LINES))
+    s = Settings.below(str(tmp_path))
+    assert [r["state"] for r in jobs.update(spark, s).collect()] == ["added"]
+    assert [r["state"] for r in jobs.changes(spark, s).collect()] == ["same"]
+    stamp = (tmp_path / "downloads/2020/2020Q1-1.txt").stat().st_mtime_ns
+    (d / "2020Q1-2.docx").write_bytes(package(LINES))
+    assert sorted((r["state"], r["newPath"]) for r in jobs.update(spark, s).collect()) == [("added", "2020/Q1/word/2020Q1-2.docx"), ("same", "2020/Q1/word/2020Q1-1.docx")]
+    assert jobs.tables(spark, s)[0].count() == 2 and (tmp_path / "downloads/2020/2020Q1-2.txt").exists()
+    assert (tmp_path / "downloads/2020/2020Q1-1.txt").stat().st_mtime_ns == stamp
+    (d / "2020Q1-2.docx").unlink()
+    assert sorted(r["state"] for r in jobs.update(spark, s).collect()) == ["gone", "same"] and [r["state"] for r in jobs.changes(spark, s).collect()] == ["same"]
+    found = jobs.write_report(jobs.audit(spark, s), s, "audit")
+    assert spark.read.json(found).first()["filesCount"] == 1
+
+
 def test_exports(spark, settings, tmp_path):
     import pathlib
 
