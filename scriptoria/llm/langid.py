@@ -9,7 +9,8 @@ language; an unmet gram pays the escapes of its contexts, longest first.  A text
 the shortest code for the whole text.
 
 The classifier is fitted on a bounded sample of labelled rows: about ``rows_per_language`` rows of each language and
-``max_rows`` in all, but one at least of each, taken by a hash of the id.  Every gram of these rows counts.  Scoring reads every whole text.
+``max_rows`` in all, of about ``max_bytes`` of text (shared evenly by the languages), but one row at least of each, taken by a hash of the id: so
+the model's size, which follows its text, is bounded too.  Every gram of these rows counts.  Scoring reads every whole text.
 
 A code length is a sum over the grams that end at a byte.  With few languages it is tabulated for every gram and language
 (``PpmModel``); where that table would have more than ``DENSE_CELLS`` cells, the same sum is taken over the pairs of gram and
@@ -210,21 +211,26 @@ def made_model(languages: list[str], language: np.ndarray, grams: np.ndarray, co
     return kind(languages, language, grams, counts, order)
 
 
-def training_rows(docs: DataFrame, learn: Column, rows_per_language: int, max_rows: int, id_col: str = "doc_id") -> DataFrame:
-    """About ``rows_per_language`` labelled rows of each language, ``max_rows`` in all, one at least of each; by a hash of the id."""
+#: Bytes of text that a model is fitted on, about.
+MAX_BYTES = 64 << 20
+
+
+def training_rows(docs: DataFrame, learn: Column, rows_per_language: int, max_rows: int, id_col: str = "doc_id", max_bytes: int = MAX_BYTES) -> DataFrame:
+    """About ``rows_per_language`` labelled rows of each language, ``max_rows`` and ``max_bytes`` of text in all, one row at least of each; by a hash of the id."""
     labelled = docs.where(learn & F.col("lang").isNotNull() & F.col("text").isNotNull())
     hashed = F.pmod(F.xxhash64(F.col(id_col)), F.lit(1 << 30))
-    sizes = materialise(labelled.groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("n"), F.min(hashed).alias("least")), "languages")
+    sizes = materialise(labelled.groupBy(F.col("lang").alias("l")).agg(F.count(F.lit(1)).alias("n"), F.min(hashed).alias("least"), F.sum(F.octet_length("text").cast("long")).alias("bytes")), "languages")
     known = sizes.count()
     each = min(rows_per_language, max(1, max_rows // max(known, 1)))
     sizes = F.broadcast(sizes) if known <= BROADCAST_IDS else sizes
     rows = labelled.select(hashed.alias("h"), "text", "lang").join(sizes, F.col("lang") == F.col("l"))
-    return rows.where((F.col("h") < F.lit(each) / F.col("n") * (1 << 30)) | (F.col("h") == F.col("least"))).select("lang", "text")
+    share = F.least(F.lit(each) / F.col("n"), F.lit(max_bytes / max(known, 1)) / F.greatest("bytes", F.lit(1)))
+    return rows.where((F.col("h") < share * (1 << 30)) | (F.col("h") == F.col("least"))).select("lang", "text")
 
 
-def fit(docs: DataFrame, learn: Column, rows_per_language: int = 1000, order: int = 4, max_rows: int = 20_000) -> PpmModel | SparsePpm | None:
+def fit(docs: DataFrame, learn: Column, rows_per_language: int = 1000, order: int = 4, max_rows: int = 20_000, max_bytes: int = MAX_BYTES) -> PpmModel | SparsePpm | None:
     """Context trees of the training sample; None if it is empty."""
-    rows = training_rows(docs, learn, rows_per_language, max_rows)
+    rows = training_rows(docs, learn, rows_per_language, max_rows, max_bytes=max_bytes)
 
     def count(batches):
         for batch in batches:

@@ -300,6 +300,16 @@ def test_ids_of_long_blanks():
         assert packing.token_ids(enc, t) == whole.encode(t, add_special_tokens=False).ids
 
 
+def test_language_sample_is_bounded_in_bytes(spark):
+    from scriptoria.llm import langid
+
+    docs = spark.createDataFrame([(i, "ab" * 500, ["en", "de"][i % 2]) for i in range(400)] + [(1000, "x" * 50_000, "fr")], "doc_id long, text string, lang string")
+    every = langid.training_rows(docs, F.lit(True), 1000, 20_000)
+    assert every.count() == 401
+    some = langid.training_rows(docs, F.lit(True), 1000, 20_000, max_bytes=150_000).groupBy("lang").agg(F.sum(F.length("text")).alias("b")).collect()
+    assert {r["lang"] for r in some} == {"en", "de", "fr"} and all(0 < r["b"] < 90_000 for r in some if r["lang"] != "fr")
+
+
 LONG_TEXTS = ["x" * 5_000_000, " " * 5_000_000, "ab " * 1_600_000, "\n" * 1_200_000 + "end"]
 
 
