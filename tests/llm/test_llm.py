@@ -21,6 +21,7 @@ import corpus_pipeline
 from scriptoria.llm import common, exact_dedup, fingerprint, langid, licences, minhash, mixing, packing, sieve, suffix_dedup, warc
 
 SF = "/root/testdata/sf0.001"
+VECTORS, LABELS = "vec_id long, embedding array<float>, label int", "doc_id long, quality int, toxic int"
 SCHEMA = "doc_id long, text string, lang string, source string, n_chars long, id long, key string, part int, __gone int, h double"
 
 
@@ -50,6 +51,9 @@ def odd(spark, tmp_path_factory):
     spark.createDataFrame(rows, SCHEMA).repartition(3).write.parquet(f"{d}/documents.parquet")
     pages = [(1, "http://a.example/x?q=1#f", "<p>" + "z" * 200), (2, None, "<p>" + "z" * 200), (3, "https://www.a.example/x y\r\nInjected: 1", "short"), (4, "HTTP://u@B.example:80", "short"), (5, "x", None), (6, "x", "WARC/1.1\r\n\r\n" + "é" * 60), (None, "x", "<p>" + "z" * 200), (2, "y", "<p>" + "z" * 200)]
     spark.createDataFrame(pages, "page_id long, url string, html string").repartition(2).write.parquet(f"{d}/pages.parquet")
+    vectors = [(i, [float((i * k) % 7 - 3) for k in range(1, 9)], i % 4) for i in range(120)] + [(200, None, 1), (201, [0.0] * 8, 2), (202, [None] * 8, 1), (203, [1.0, 2.0], None)]
+    spark.createDataFrame(vectors, VECTORS).repartition(3).write.parquet(f"{d}/embeddings.parquet")
+    spark.createDataFrame([(1, 1, 0), (4, 0, 1), (16, 1, 1), (None, 1, 1), (19, None, None)], LABELS).write.parquet(f"{d}/labels.parquet")
     return d
 
 
@@ -58,6 +62,8 @@ def empty(spark, tmp_path_factory):
     d = str(tmp_path_factory.mktemp("empty"))
     spark.createDataFrame([], SCHEMA).write.parquet(f"{d}/documents.parquet")
     spark.createDataFrame([], "page_id long, url string, html string").write.parquet(f"{d}/pages.parquet")
+    spark.createDataFrame([], VECTORS).write.parquet(f"{d}/embeddings.parquet")
+    spark.createDataFrame([], LABELS).write.parquet(f"{d}/labels.parquet")
     return d
 
 
