@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 from scriptoria.functions import labels
 from scriptoria.functions.dates import month_name, site_label
 from scriptoria.operators import catalog as C
+from scriptoria.operators import colocated
+from scriptoria.scratch import scratch_path
 
 from .registering import query
 from .roles import CONTAINERS, DOCUMENTS, containers, documents, table
@@ -36,6 +38,40 @@ def catalog_all_children(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("slug", _children("documentType"), F.aggregate("documents", F.lit(0).cast("long"), lambda s, d: s + d["paragraphsCount"]).alias("paragraphs"))
 
 
+_STORES: dict[tuple[str, str], str] = {}
+
+
+def _store(spark: SparkSession, sf_dir: str) -> colocated.Store:
+    """The catalog in buckets by slug within years: written once a session and folder, then read by every query."""
+    key = (spark.sparkContext.applicationId, sf_dir)
+    if key not in _STORES:
+        path = scratch_path(spark, "colocated")
+        colocated.write(containers(spark, sf_dir), documents(spark, sf_dir), path, buckets=16)
+        _STORES[key] = path
+    return colocated.open_store(spark, _STORES[key])
+
+
+@query(f"""WITH {CONTAINERS}, {DOCUMENTS}
+SELECT c.slug, siteYear, string_agg(position || ':' || status, ',' ORDER BY position) AS children FROM c JOIN d ON c.slug = d.slug WHERE siteYear = 1996 AND documentType = 'N' GROUP BY 1, 2""")
+def colocated_children(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _store(spark, sf_dir).catalog(C.Filters(siteYear=1996, documentType="N")).select("slug", "siteYear", _children())
+
+
+@query(f"""WITH {CONTAINERS}, {DOCUMENTS}, m AS (SELECT DISTINCT slug FROM d WHERE documentType = 'R')
+SELECT c.slug, siteYear, string_agg(position || ':' || documentType, ',' ORDER BY position) AS children, sum(paragraphsCount)::BIGINT AS paragraphs FROM c JOIN m ON c.slug = m.slug JOIN d ON c.slug = d.slug GROUP BY 1, 2""")
+def colocated_offline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = _store(spark, sf_dir).offline_catalog(C.Filters(documentType="R"))
+    return found.select("slug", "siteYear", _children("documentType"), F.aggregate("documents", F.lit(0).cast("long"), lambda s, d: s + d["paragraphsCount"]).alias("paragraphs"))
+
+
+@query(f"""WITH {CONTAINERS}, {DOCUMENTS}
+SELECT c.slug, siteYear, string_agg(position || ':' || authorSlug, ',' ORDER BY position) AS children FROM c JOIN d ON c.slug = d.slug WHERE c.slug = (SELECT max(slug) FROM c WHERE siteYear = 1994) GROUP BY 1, 2""")
+def colocated_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
+    store = _store(spark, sf_dir)
+    slug = store.containers.where("siteYear = 1994").agg(F.max("slug")).first()[0]
+    return store.detail(1994, slug).select("slug", "siteYear", _children("authorSlug"))
+
+
 @query(f"WITH {CONTAINERS} SELECT count(*) AS n FROM c WHERE false")
 def catalog_empty_id_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = documents(spark, sf_dir)
