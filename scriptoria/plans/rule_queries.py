@@ -7,9 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.functions import dates, labels, lines, publication, text
+from scriptoria.functions import authors, dates, labels, lines, publication, text
 from scriptoria.functions.jsregex import text_or_null
-from scriptoria.operators import archive, exports, segment
+from scriptoria.operators import archive, exports, normalize, segment
 
 from .registering import query
 from .roles import table
@@ -97,3 +97,83 @@ _rule("russian_dates", f"concat('была прочитана ', cast(k % 31 + 1
 _rule("source_paths", _pick([f"concat('src/', {_Y}, '/Q', {_Q}, '/word/', {_Y}, 'Q', {_Q}, '-', cast((m - 1) % 3 + 1 as string), '.doc')", f"concat('src/', {_Y}, '/Q', {_Q}, '/word/', {_month(_NAMES)}, ' ', {_Y}, '.docx')", "'x/readme.doc'"], "k"),
       lambda x: F.concat_ws("|", *[F.coalesce(dates.source_publication(x)[c].cast("string"), F.lit("-")) for c in ("year", "quarter", "month", "rawLabel")]),
       f"CASE WHEN k % 3 = 2 THEN '-|-|-|-' ELSE concat(y, '|', q, '|', m, '|', lower({_NAMES}[m]), ' ', y) END")
+
+
+def _cases(name: str, rule: Callable[[Column], Column], pairs: list[tuple[str, str]], kind: str = "VARCHAR") -> None:
+    """Query ``name`` with one input expression for each branch of the rule, dealt by key, and what SQL makes of that branch's rows."""
+    _rule(name, _pick([made for made, _ in pairs], "k"), rule, _pick([want for _, want in pairs], "k"), kind)
+
+
+_YES, _NO, _NULL, _NULL_INT = "true", "false", "cast(null as string)", "cast(null as int)"
+_NAME, _GENITIVE = _month(_NAMES), _month(_GENITIVES)
+_WORDS, _LETTERS = "concat(repeat('слово ', cast(k % 30 as int)), 'конец.')", "repeat('а', cast(k % 300 + 1 as int))"
+
+_cases("fn_without_author", lambda x: normalize.without_author(x, F.lit("Марк Л. Профет")), [
+    (f"concat('Проповедь Марка Л. Профета о свете ', {_K})", "'Проповедь о свете ' || k"), (f"concat('Лекция Э. К. Профет о годе ', {_Y}, ' (Часть II )')", "'Лекция о годе ' || y || ' (Часть II)'"),
+    (f"concat('Проповедь в праздник ', {_K})", "'Проповедь праздник ' || k"), (f"concat('Учения Элизабет Клэр Профет ', {_K}, ' , конец')", "'Учения ' || k || ', конец'"),
+    (f"concat('О свете ( ', {_K}, ' )')", "'О свете (' || k || ')'")])
+_cases("fn_ascii_slug", text.ascii_slug, [
+    (f"concat('Брошюра № ', {_K})", "'broshyura-' || k"), (f"concat('--', {_K}, '--x--')", "k || '-x'"), (f"concat(repeat('ж', 40), {_K})", "repeat('zh', 24)"), (f"concat('Щи ', {_Y}, '_Ёж')", "'schi-' || y || '-ezh'")])
+_cases("fn_year_in_text", dates.year_in_text, [
+    (f"concat('в ', {_Y}, ' году')", "y"), (f"concat(substr({_Y}, 1, 3), ' ', substr({_Y}, 4, 1))", "y"), (f"concat('1', {_Y})", _NULL_INT), (f"concat('№0 за ', {_Y}, ', ', {_NAME})", "y"), ("'нет'", _NULL_INT)], "INT")
+_rule("fn_iso_date", _pick([f"concat(' ', {_Y}, '-', lpad({_M}, 2, '0'), '-', lpad(cast(k % 35 as string), 2, '0'), ' ')", f"concat({_Y}, '-02-30')", f"concat('18', substr({_Y}, 3, 2), '-01-01')", _NULL, f"concat({_Y}, '-', {_M}, '-01')"], "k"),
+      dates.iso_date, r"CASE WHEN regexp_full_match(trim(x), '(19|20)\d{2}-\d{2}-\d{2}') AND try_strptime(trim(x), '%Y-%m-%d') IS NOT NULL THEN trim(x) END")
+_cases("fn_clean_author", authors.clean_author, [
+    (f"concat('Лекция ', {_K}, ' Э. К. Профет')", "'Элизабет Клэр Профет'"), (f"concat('Проповедь Марка Л. Профета ', {_K})", "'Марк Л. Профет'"), (f"concat('Диктовка Эль Мории ', {_K})", "'Эль Мория ' || k"),
+    (f"concat('Том ', {_K}, ' № ', {_M}, ' – Архангела Михаила – ', {_D}, ' ', {_GENITIVE}, ' ', {_Y}, ' г.')", "'Архангел Михаил'"), ("'«»'", _NULL), (_LETTERS, "CASE WHEN length(x) <= 100 THEN x END"),
+    (f"concat('Курс лекций Возлюбленного Гелиоса ', {_K}, ' была прочитана')", "'Гелиоса ' || k")])
+_cases("fn_normal_author", authors.normal_author, [
+    (f"concat('э. к. профет ', {_K})", "'Элизабет Клэр Профет'"), ("'Марка Л. Профета'", "'Марк Л. Профет'"), (f"concat('Эль Мории ', {_K})", _NULL), (f"concat('возлюбленного Архангела Михаила ', {_K})", "'Архангел Михаил ' || k"),
+    (f"concat('Господа Майтрейи ', {_K})", "'Господь Майтрейя ' || k"), (f"concat('Кто-то ', {_K}, '.')", _NULL), (_NULL, _NULL)])
+_cases("fn_author_of_publication", authors.author_of_publication, [
+    (f"concat('Том ', {_K}, ' № ', {_M}, ' – Имя ', {_Y}, ' – ', {_D}, ' ', {_GENITIVE}, ' ', {_Y}, ' г.')", "'Имя ' || y"), (f"concat('Том ', {_K}, ' № ', {_M}, ' – Э. К. Профет – ', {_Y})", _NULL),
+    (f"concat('Том ', {_K}, ' – Посланник ', {_Y})", _NULL), (f"concat('Текст ', {_K}, ' – Имя')", _NULL), (f"concat('Том ', {_K})", _NULL)])
+_cases("fn_display_author", authors.display_author, [
+    ("'Господа Майтрейи'", "'Господь Майтрейя'"), (f"concat('Господа Майтрейи ', {_K})", "x"), ("'возлюбленного Гелиоса'", "'Возлюбленный Гелиос'"), (f"concat('возлюбленный Ланто ', {_K})", "'Возлюбленный Ланто ' || k"),
+    ("'  '", _NULL), (f"concat(' A', {_K}, ' ')", "'A' || k")])
+_cases("fn_is_heading", lines.is_heading, [
+    (f"concat('Лекция «', {_K}, '»')", _YES), (f"concat('Лекционный зал ', {_K})", _NO), (f"concat(' КУРС  лекций ', {_K})", _YES), ("''", _NO), (f"concat('О лекция ', {_K})", _NO), ("'Семинар'", _YES)], "BOOLEAN")
+_cases("fn_is_specific_heading", lines.is_specific_heading, [
+    ("'Воскресная проповедь'", _NO), ("'Лекция Э.К. Профет'", _NO), (f"concat('Лекция Э.К. Профет ', {_K})", _YES), (f"concat('Лекция о ', {_K})", _YES), (f"concat('x', {_K})", _NO), ("'Лекции Марка Л. Профета'", _NO)], "BOOLEAN")
+_cases("fn_is_attribution", lines.is_attribution, [
+    (f"concat('Проповедь Марка «', {_K}, '» была прочитана ', {_D}, ' ', {_GENITIVE})", _YES), (f"concat('Диктовка ', {_K}, ' через Посланника')", _YES), (f"concat('Диктовка Эль Мории ', {_K})", _NO), (f"concat('Диктовка была ', {_K})", _NO)], "BOOLEAN")
+_cases("fn_is_publication", lines.is_publication, [
+    (f"concat('Том ', {_K}, ' № ', {_M})", _YES), (f"concat('том. ', {_K}, ', №', {_M})", _YES), (f"concat('Том № ', {_K})", _NO), (f"concat('x Том ', {_K}, ' № ', {_M})", _NO)], "BOOLEAN")
+_cases("fn_is_title_candidate", lines.is_title_candidate, [
+    (f"concat('Далекий Бог ', {_K})", _YES), (f"concat('через ', {_K})", _NO), (f"concat('ПРИЗЫВ ', {_K})", _NO), ("repeat('*', cast(k % 5 + 1 as int))", _NO), (f"concat('конец ', {_K}, ',')", _NO), (_WORDS, "k % 30 + 1 <= 18"),
+    (f"concat('ретрит ', {_Y})", _NO), (f"concat('Часть ', {_M})", _NO), (f"concat('Лекция ', {_K})", _NO), (f"concat({_NAME}, ' ', {_Y})", _NO), (_LETTERS, "length(x) <= 150")], "BOOLEAN")
+_cases("fn_is_weak_title", normalize.is_weak_title, [
+    (f"concat('Сегодня утром ', {_K})", _YES), (f"concat('Сегодняшний день ', {_K})", _NO), (f"concat('(часть ', {_M}, ')')", _YES), (_LETTERS, "length(x) > 150"), (f"concat('О свете ', {_K})", _NO), (f"concat('конец ', {_K}, ',')", _YES),
+    (_WORDS, "k % 30 + 1 > 18")], "BOOLEAN")
+_cases("fn_document_title", lambda x: normalize.normal_title(x, F.lit(None).cast("string")), [
+    (f"concat('«Жизнь ', {_K}, '»')", "'Жизнь ' || k"), (f"concat('(часть ', {_M}, ')')", _NULL), ("'Молитва'", _NULL), (f"concat('Лекция «Приливы ', {_K}, '» (часть ', cast(k % 10 + 1 as string), ')')", f"'Лекция «Приливы ' || k || '» (Часть ' || {_ROMAN}[k % 10 + 1] || ')'"),
+    (_NULL, _NULL), (f"concat('  О   свете ', {_K}, ' , да')", "'О свете ' || k || ', да'")])
+_cases("fn_is_trusted", lambda x: normalize.is_trusted(x, F.concat(F.lit("шапка\nТом "), F.col("k"), F.lit(" № "), F.col("m"), F.lit(" – Кто-то\nконец"))), [
+    (f"concat('Том ', {_K}, ' № ', {_M}, ' – Кто-то')", _YES), (f"concat('Том ', {_K}, ' № ', {_M}, '5')", _NO), (f"concat('Том ', {_K}, ' № ', {_M}, '...')", _NO), (_NULL, _NO), ("'Кто-то'", _NO), (f"concat(' Том ', {_K}, '  № ', {_M}, ' ')", _YES)], "BOOLEAN")
+_cases("fn_looks_weak", normalize.looks_weak, [(f"concat({_NAME}, ' ', {_Y})", _YES), (f"concat('ПРИЗЫВ ', {_K})", _YES), (_NULL, _YES), (f"concat('О трех царях ', {_K})", _NO)], "BOOLEAN")
+_cases("fn_shown_header", lambda x: F.array_join(labels.shown_header(F.array(x, F.lit("Жемчужины Мудрости. Май"), F.concat(F.lit("x"), F.col("k"))), F.concat(F.lit("T"), F.col("y"))), "|"), [
+    (f"concat('T', {_Y})", "'x' || k"), (f"concat('a', {_K})", "'a' || k || '|x' || k"), (f"concat('Жемчужины Мудрости ', {_K})", "'x' || k")])
+_rule("fn_issue_parts", f"concat(' ', {_Y}, 'Q', {_Q}, '-', cast((m - 1) % 3 + 1 as string), ' ')", lambda x: F.concat_ws("|", *[labels.issue_parts(x)[c].cast("string") for c in ("slug", "year", "quarter")]), "trim(x) || '|' || y || '|' || q")
+
+
+def _materials(x: Column) -> Column:
+    def one(title: Column, master: Column, year: str) -> Column:
+        return F.struct(title.alias("title"), master.alias("master"), F.lit("t").alias("type"), F.lit("d").alias("date"), F.lit(year).alias("year"))
+
+    return F.array(one(F.concat(F.lit("Title "), F.col("k")), x, "2011"), one(F.lit("Other"), F.lit("M2"), "2012"))
+
+
+_rule("fn_material_matches", "concat('M', cast(k % 4 as string))", lambda x: labels.material_matches(_materials(x), "title", "M2"), "k % 4 = 2", "BOOLEAN")
+_cases("fn_document_type", publication.document_type, [
+    (f"concat('Лекция ', {_K}, chr(10), 'Проповедь')", "'sermon'"), (f"concat('Лекция ', {_K}, ' диктовка')", "'dictation'"), (f"concat('курс  лекций ', {_K})", "'lectureCourse'"), (f"concat('о трех учениях ', {_K})", "'material'"),
+    (f"concat('мои учения здесь ', {_K})", "'teaching'"), (f"concat('лекция ', {_K})", "'lecture'"), (f"concat({_K}, chr(10), 'Открывающий  призыв ', chr(10), 'y')", "'prayer'"), (f"concat('открывающий призыв души ', {_K})", "'material'"),
+    (f"concat({_K}, chr(10), ' молитва')", "'prayer'")])
+_cases("fn_publication_issue", lambda x: publication.publication_line(F.array(F.lit("нет"), x))["issue"], [
+    (f"concat('Том ', {_K}, ' № ', {_M}, ', ', {_D}, ' – А – 2 мая 1960 г.')", "m || ', ' || d"), (f"concat('Том ', {_K}, ' №', {_M})", "m::VARCHAR"), (f"concat('№ ', {_K})", _NULL)])
+_cases("fn_body_start", lambda x: segment.body_start(F.transform(F.split(x, r"\|"), lambda t: F.struct(t.alias("text")))), [
+    (f"concat('a|Лекция ', {_K}, '|b|c|d')", "3"), (f"concat({_NAME}, ' ', {_Y}, '|', repeat('длинный текст ', 5))", "1"), (f"concat('a|b|c|d|e|', {_K})", "4"), ("'a|b'", "2"), (f"concat('Лекция ', {_K}, '|b')", "2"),
+    ("concat(repeat('a|', cast(k % 20 as int)), 'Лекция x|b|c|d')", "CASE WHEN k % 20 < 14 THEN k % 20 + 2 ELSE 4 END")], "INT")
+_cases("fn_magic", lambda x: archive.has_magic(F.unhex(x), F.when(F.col("y") % 2 == 0, ".doc").otherwise(".docx")), [
+    ("concat('D0CF11E0', lpad(cast(k % 100 as string), 2, '0'))", "y % 2 = 0"), ("concat('504B0304', lpad(cast(k % 100 as string), 2, '0'))", "y % 2 = 1"), ("'D0CF'", _NO), ("'504B00'", _NO), (_NULL, _NO)], "BOOLEAN")
+_cases("fn_inner_title", lambda x: exports.inner_title(x, F.when(F.col("k") % 3 == 2, F.array().cast("array<string>")).otherwise(F.array(F.concat(F.lit("h"), F.col("k")), F.concat(F.lit("l"), F.col("y"))))), [
+    (f"concat('T', {_K})", "'T' || k"), (_NULL, "'l' || y"), (_NULL, "'Материал'")])
