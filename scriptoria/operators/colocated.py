@@ -16,7 +16,6 @@ import hashlib
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from scriptoria.operators import catalog as C
 

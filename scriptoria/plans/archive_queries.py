@@ -14,72 +14,6 @@ from scriptoria.streaming import arrivals
 from .registering import query
 from .roles import CONTAINERS, DOCUMENTS, containers, documents, table
 
-_FILES = [
-    "2020/Q1/word/2020Q1-1.doc", "2020/Q1/word/2020Q1-1.docx", "2020/Q1/pdf-mailing/2020Q1-1.pdf", "2019/2-й квартал/Брошюры/Май 2019.docx", "2019/2-й квартал/Печать/Брошюра 5.pdf", "2018/old/notes.txt",
-    "misc/README", "2020/q1/Word/2020Q1-2.docx", "2020/Q1/word/~$20Q1-1.doc", "2017/03_March/plain.pdf",
-]
-
-
-def _listing(spark: SparkSession) -> DataFrame:
-    return A.listing(spark.createDataFrame([(p, len(p)) for p in _FILES], "relativePath string, size long"))
-
-
-@query("""SELECT * FROM (VALUES ('2020/Q1/word/2020Q1-1.doc', '2020/Q1/word/2020Q1-1.doc', 2020, 1, 1, 'word'), ('2020/Q1/word/2020Q1-1.docx', '2020/Q1/word/2020Q1-1.docx', 2020, 1, 1, 'word'),
-('2020/Q1/pdf-mailing/2020Q1-1.pdf', '2020/Q1/pdf-mailing/2020Q1-1.pdf', 2020, 1, 1, 'pdf-mailing'), ('2019/2-й квартал/Брошюры/Май 2019.docx', '2019/Q2/word/2019Q2-2.docx', 2019, 2, 5, 'word'),
-('2019/2-й квартал/Печать/Брошюра 5.pdf', '2019/Q2/pdf-print/2019-broshyura-5.pdf', 2019, 2, NULL, 'pdf-print'), ('2018/old/notes.txt', '2018/Q0/originals/2018-notes.txt', 2018, NULL, NULL, 'originals'), ('misc/README', 'archive/Q0/originals/readme', NULL, NULL, NULL, 'originals'),
-('2020/q1/Word/2020Q1-2.docx', '2020/Q1/word/2020Q1-2.docx', 2020, 1, 2, 'word'), ('2020/Q1/word/~$20Q1-1.doc', '2020/Q1/word/2020-20q1-1.doc', 2020, 1, NULL, 'word'), ('2017/03_March/plain.pdf', '2017/Q1/pdf-mailing/2017Q1-3.pdf', 2017, 1, 3, 'pdf-mailing')) v(oldPath, newPath, year, quarter, month, format)""")
-def source_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.source_map(_listing(spark)).select("oldPath", "newPath", "year", "quarter", "month", "format")
-
-
-@query("""SELECT * FROM (VALUES (10::BIGINT, 15::BIGINT, '.doc=2,.docx=3,.pdf=3,.txt=1,[none]=1', '2017=1,2018=1,2019=2,2020=5,unknown=1', 'originals=2,pdf-mailing=2,pdf-print=1,word=5', 10)) v(files, directories, extensions, years, formats, longest)""")
-def archive_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
-    record = lambda c: F.array_join(F.transform(F.map_entries(c), lambda e: F.concat_ws("=", e["key"], e["value"].cast("string"))), ",")
-    return A.audit(_listing(spark)).select(F.col("filesCount").alias("files"), "directories", record("extensionCounts").alias("extensions"), record("yearCounts").alias("years"), record("formatCounts").alias("formats"), F.size("longestPaths").alias("longest"))
-
-
-@query("""SELECT * FROM (VALUES ('2020Q1-1', '2020/Q1/word/2020Q1-1.docx', 1), ('2020Q1-2', '2020/q1/Word/2020Q1-2.docx', 1)) v(slug, path, rank)""")
-def preferred_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.preferred_sources(spark.createDataFrame([(p,) for p in _FILES], "relativePath string")).select("slug", F.col("relativePath").alias("path"), "rank")
-
-
-@query("""SELECT * FROM (VALUES ('2020/Q1/word/2020Q1-1.docx', 'skipped'), ('2020/q1/Word/2020Q1-2.docx', 'skipped-invalid')) v(path, outcome)""")
-def prepare_outcomes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    files = spark.createDataFrame([(p, 100, bytearray(b"PK\x03\x04" if "1-1" in p else b"PK")) for p in _FILES], "relativePath string, mtime long, head binary")
-    outputs = spark.createDataFrame([("2020/Q1/word/2020Q1-1.docx", 200)], "relativePath string, mtime long")
-    chosen = A.preferred_word_sources(A.word_sources(files))
-    return A.prepare_outcome(chosen, outputs).select(F.col("relativePath").alias("path"), "outcome")
-
-
-@query("""SELECT * FROM (VALUES ('a/x.doc', 'moved'), ('b/y.doc', 'move'), ('c/z.doc', 'missing'), ('d', 'keep')) v(oldPath, status)""")
-def move_plan(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = spark.createDataFrame([("a/x.doc", "n/x.doc"), ("b/y.doc", "n/y.doc"), ("c/z.doc", "n/z.doc"), ("d", "d")], "oldPath string, newPath string")
-    here = spark.createDataFrame([("n/x.doc",), ("b/y.doc",), ("d",)], "relativePath string")
-    return A.move_plan(items, here).select("oldPath", "status")
-
-
-@query("""SELECT * FROM (VALUES ('A/Y.DOCX', 'a/y.doc'), ('n/q.docx', 'b/q.docx'), ('nowhere', NULL)) v(path, found)""")
-def source_map_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = spark.createDataFrame([(0, "a/y.doc", "n/y.doc"), (1, "b/q.docx", "n/q.docx"), (2, "a/Y.doc", "n/other.doc")], "item_pos int, oldPath string, newPath string")
-    paths = spark.createDataFrame([("A/Y.DOCX".replace("DOCX", "docx"),), ("n/q.docx",), ("nowhere",)], "path string")
-    found = A.map_lookup(paths, items).select("path", F.col("item.oldPath").alias("found"))
-    return found.withColumn("path", F.when(F.col("path") == "A/Y.docx", "A/Y.DOCX").otherwise(F.col("path")))
-
-
-@query("""SELECT * FROM (VALUES ('data/source-data/a.doc', 'T1'), ('data/source-data/pearls-word/b.doc', 'T2')) v(sourcePath, title)""")
-def override_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    maps = spark.createDataFrame([('{"files": {"data/source-data/pearls-word/a.doc": {"expectedDocuments": 1, "documents": [{"title": "T1"}]}, "data/source-data/b.doc": {"documents": [{"title": "T2"}]}}}',)], "value string")
-    issues = spark.createDataFrame([("data/source-data/a.doc",), ("data/source-data/pearls-word/b.doc",), ("data/source-data/c.doc",)], "sourcePath string")
-    return A.override_lookup(issues, archive_files.overrides(maps)).select("sourcePath", F.get("titles", F.lit(0)).alias("title"))
-
-
-@query("""SELECT * FROM (VALUES ('s1', 1, 2, 'A'), ('s1', 2, 2, 'B'), ('s1', 3, 2, NULL), ('s2', 1, NULL, NULL)) v(slug, position, expected, title)""")
-def legacy_catalog_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    text = '{"lectures": [{"year": "2011", "title": "A", "href": "/x/s1.html", "authors": [{"name": " N "}]}, {"year": "2011", "title": " B ", "href": "/y/s1.pdf"}, {"title": "no year", "href": "/s2.html"}]}'
-    legacy = archive_files.legacy_catalog(spark.createDataFrame([(text,)], "value string"))
-    docs = spark.createDataFrame([("s1", 1), ("s1", 2), ("s1", 3), ("s2", 1)], "slug string, position int")
-    return archive_files.legacy_reference(docs, legacy).select("slug", "position", F.col("expectedDocuments").alias("expected"), F.col("legacyDocument.title").alias("title"))
-
 
 @query("SELECT o_orderkey AS slug, count(l_orderkey)::INT AS parsed, (o_orderkey % 7)::INT AS legacy FROM orders LEFT JOIN lineitem ON l_orderkey = o_orderkey GROUP BY 1, 3 HAVING count(l_orderkey) <> o_orderkey % 7")
 def count_mismatch(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -160,13 +94,6 @@ def export_packages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return both[0].union(both[1])
 
 
-@query("""SELECT * FROM (VALUES ('2020Q1-1', '2020/Q1/pdf-mailing/2020Q1-1.pdf', 1), ('2019Q2-2', '2019/Q2/Печать/Брошюра 5.pdf', 3), ('2018Q1-1', NULL, NULL)) v(slug, pdf, rank)""")
-def pdf_choice(spark: SparkSession, sf_dir: str) -> DataFrame:
-    issues = spark.createDataFrame([("2020Q1-1", "2020/Q1/word/2020Q1-1.doc"), ("2019Q2-2", "2019/Q2/Брошюры/Май.docx"), ("2018Q1-1", "2018/Q1/word/x.doc")], "slug string, sourcePath string")
-    files = spark.createDataFrame([("2020/Q1/pdf-mailing/2020Q1-1.pdf",), ("2020/Q1/pdf-print/2020Q1-1.pdf",), ("2019/Q2/Печать/Брошюра 5.pdf",), ("2019/Q2/Печать/Брошюра 6.pdf",)], "relativePath string")
-    return exports.pdf_choice(issues, files).select("slug", "pdf", F.col("pdfRank").alias("rank"))
-
-
 @query(f"""WITH {CONTAINERS}, {DOCUMENTS} SELECT 'repeated slug' AS "check", 0::BIGINT AS n UNION ALL SELECT 'repeated id', 0 UNION ALL SELECT 'repeated position', 0 UNION ALL SELECT 'orphan', 0
 UNION ALL SELECT 'count', count(*) FROM (SELECT c.slug, count(d.slug) AS n FROM c LEFT JOIN d ON c.slug = d.slug GROUP BY 1) WHERE n <> 4""")
 def load_problems(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -190,52 +117,6 @@ def changed_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load.changed_only(older, old, ["c_custkey"])
 
 
-@query("""SELECT * FROM (VALUES ('s1', 'p/2020Q1-1.docx'), ('s2', 'w/2.docx'), ('s3', NULL)) v(slug, word)""")
-def word_for_pdf(spark: SparkSession, sf_dir: str) -> DataFrame:
-    issues = spark.createDataFrame([("s1", "w/1.doc", "p/2020Q1-1.docx"), ("s2", "w/2.pdf", None), ("s3", "w/3.pdf", None)], "slug string, sourcePath string, preparedDocx string")
-    files = spark.createDataFrame([("p/2020Q1-1.docx",), ("w/1.doc",), ("w/2.docx",), ("w/2.doc",)], "relativePath string")
-    return exports.word_for_pdf(issues, files).select("slug", "word")
-
-
-@query("""SELECT * FROM (VALUES ('s1', 'a/x.doc'), ('s2', 'a/y.doc'), ('s3', 'm/z.doc'), ('s4', 'gone')) v(slug, path)""")
-def existing_paths(spark: SparkSession, sf_dir: str) -> DataFrame:
-    issues = spark.createDataFrame([("s1", "a/x.doc", None), ("s2", "a/pearls-word/y.doc", None), ("s3", "b", "m/z.doc"), ("s4", "gone", None)], "slug string, sourcePath string, mappedPath string")
-    files = spark.createDataFrame([("a/x.doc",), ("a/y.doc",), ("m/z.doc",)], "relativePath string")
-    return exports.existing_path(issues, files).select("slug", F.col("existingPath").alias("path"))
-
-
-@query("""SELECT * FROM (VALUES ('data/source-data/a.doc', 'A.doc'), ('n/b.doc', 'B.doc'), ('c.doc', NULL)) v(path, name)""")
-def map_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    items = spark.createDataFrame([(0, "A.doc", "a.doc", "n/a.doc"), (1, "B.doc", "b.doc", "n/b.doc")], "item_pos int, originalName string, oldPath string, newPath string")
-    paths = spark.createDataFrame([("data/source-data/a.doc",), ("n/b.doc",), ("c.doc",)], "path string")
-    return A.map_metadata(paths, items).select("path", F.col("sourceMap.originalName").alias("name"))
-
-
-@query("""SELECT * FROM (VALUES ('2020Q1-1.docx', '2020/Q1/word/2020Q1-1.docx'), ('2020Q1-2.docx', '2020/q1/Word/2020Q1-2.docx')) v(prepared, source)""")
-def prepared_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
-    prepared = spark.createDataFrame([("2020Q1-1.docx",), ("2020Q1-2.docx",)], "relativePath string")
-    files = spark.createDataFrame([(p,) for p in _FILES], "relativePath string")
-    return A.prepared_sources(prepared, files).select(F.col("relativePath").alias("prepared"), F.col("sourcePath").alias("source"))
-
-
-@query("SELECT k AS key, n FROM (VALUES ('converted', 0::BIGINT), ('copied', 1), ('skipped', 2), ('skipped-invalid', 0), ('would-convert', 0), ('would-copy', 0)) v(k, n)")
-def outcome_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return A.outcome_counts(spark.createDataFrame([("skipped",), ("copied",), ("skipped",)], "outcome string"))
-
-
-@query("""SELECT * FROM (VALUES ('s2', 'docx', 'disk full')) v(slug, format, error)""")
-def settled_tasks(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return exports.settled(spark.createDataFrame([("s1", "txt", None), ("s2", "docx", "disk full")], "slug string, format string, error string"))
-
-
-@query("""SELECT * FROM (VALUES ('2020Q1-1', '2020'), ('x', '2019'), ('y', 'archive')) v(slug, year)""")
-def export_items(spark: SparkSession, sf_dir: str) -> DataFrame:
-    from scriptoria.sources.parsed_json import export_items as items
-
-    rows = spark.createDataFrame([("2020Q1-1", (2020,), None, None, "a"), ("x", (None,), "data/parsed/2019/x.json", None, "a"), ("y", (None,), None, "b", "a")], "slug string, sitePublication struct<year:int>, jsonPath string, sourceWord string, sourcePdf string")
-    return items(rows).select("slug", "year")
-
-
 @query("""SELECT o_orderkey, row_number() OVER (PARTITION BY year(o_orderdate) ORDER BY o_orderdate, o_orderkey) <= 50 AS inBudget FROM orders WHERE year(o_orderdate) = 1995
 UNION ALL SELECT o_orderkey, false FROM orders WHERE year(o_orderdate) > 1995""")
 def budget_by_block(spark: SparkSession, sf_dir: str) -> DataFrame:
