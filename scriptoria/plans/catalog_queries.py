@@ -147,6 +147,42 @@ def offline_items(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.coalesce(F.get(docs, F.lit(0))["documentType"], F.lit("material")).alias("first_type"), (F.size(docs) == 1).alias("single"), F.array_join(F.transform(docs, lambda d: d["documentType"]), " · ").alias("header"))
 
 
+def _shown(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Containers and inner documents with all columns that listings show."""
+    cont = containers(spark, sf_dir).withColumn("slug", F.col("slug").cast("string"))
+    cont = cont.withColumns({"title": F.concat(F.lit("C"), "slug"), "documentsCount": F.lit(4), "sourceWord": F.when(F.col("siteMonth") % 2 == 0, "w.doc")})
+    signed, number = F.col("status") == "O", F.col("authorSlug").cast("string")
+    kind = F.when(F.col("documentType") == "R", "lecture").when(F.col("documentType") == "A", "prayer").otherwise("odd")
+    docs = documents(spark, sf_dir).select(
+        F.col("slug").cast("string").alias("slug"), "position", F.when(signed, F.concat(F.lit("Имя "), number)).alias("authorName"), F.when(signed, F.concat(F.lit("a"), number)).otherwise("").alias("authorSlug"),
+        F.concat(F.lit("T"), "position").alias("documentTitle"), kind.alias("documentType"), F.concat(F.lit("D"), "position").alias("description"), F.array(F.concat(F.lit("H"), "paragraphsCount"), F.lit("Часть II")).alias("header"),
+        "creationYear", F.when(F.col("position") % 2 == 0, F.to_date(F.lit("1970-02-01"))).alias("creationDate"), F.concat(F.lit("a"), "paragraphsCount", F.lit("\n\n \n\nb")).alias("content"), "paragraphsCount")
+    return cont, docs
+
+
+_SHOWN = "x AS (SELECT *, CASE WHEN status = 'O' THEN 'Имя ' || authorSlug END AS name, CASE WHEN status = 'O' THEN 'a' || authorSlug END AS mark, CASE documentType WHEN 'R' THEN 'lecture' WHEN 'A' THEN 'prayer' ELSE 'odd' END AS kind, CASE documentType WHEN 'R' THEN 'Лекция' WHEN 'A' THEN 'Молитва' ELSE 'odd' END AS kindLabel FROM d)"
+
+
+@query(f"""WITH {CONTAINERS}, {DOCUMENTS}, {_SHOWN}
+SELECT c.slug::VARCHAR AS slug, '/pearls/1997/' || c.slug AS path, {_LABEL} AS label, 'D1' AS description, '/downloads/1997/' || c.slug || '.epub' AS epub,
+string_agg(concat_ws('|', name, '/?siteYear=1997&authorSlug=' || mark, 'T' || position, 'Часть II', '/?siteYear=1997&documentType=' || kind, kindLabel, 'H' || paragraphsCount || ' · Часть II'), ';' ORDER BY position) AS documents
+FROM c JOIN x ON x.slug = c.slug WHERE siteYear = 1997 GROUP BY c.slug, siteYear, siteMonth""")
+def listing_items(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.catalog_items(*_shown(spark, sf_dir), C.Filters(siteYear=1997))
+    one = lambda d: F.concat_ws("|", *[d[c] for c in ("author", "authorHref", "title", "partTitle", "typeHref", "typeLabel", "rawHeader")])
+    return rows.select("slug", "path", F.col("siteMonthLabel").alias("label"), "description", F.col("downloads.epub").alias("epub"), F.array_join(F.transform("documents", one), ";").alias("documents"))
+
+
+@query(f"""WITH {CONTAINERS}, {DOCUMENTS}, {_SHOWN}, n AS (SELECT slug, sum(paragraphsCount)::BIGINT AS paragraphs, string_agg('a' || paragraphsCount || '|b', '|' ORDER BY position) AS body FROM x GROUP BY 1)
+SELECT c.slug::VARCHAR AS slug, CASE WHEN siteMonth % 2 = 0 THEN 'word' ELSE 'pdf' END AS source, name AS author, '/?author=' || mark || '&siteYear=1998' AS author_href, '/?siteYear=1998&creationYear=' || creationYear AS year_href, coalesce(kindLabel, 'Материал') AS type,
+'/?siteYear=1998&documentType=' || coalesce(kind, 'material') AS type_href, creationYear::VARCHAR AS created, coalesce(paragraphs, 0)::BIGINT AS paragraphs, body
+FROM c LEFT JOIN (SELECT * FROM x WHERE position = 1) f ON f.slug = c.slug LEFT JOIN n ON n.slug = c.slug WHERE siteYear = 1998""")
+def offline_listing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = C.offline_items(*_shown(spark, sf_dir), C.Filters(siteYear=1998))
+    return rows.select("slug", F.col("sourceType").alias("source"), F.col("author.label").alias("author"), F.col("author.href").alias("author_href"), F.col("creation.href").alias("year_href"), F.col("documentType.label").alias("type"),
+                       F.col("documentType.href").alias("type_href"), F.col("creationLabel").alias("created"), "paragraphs", F.array_join("body", "|").alias("body"))
+
+
 @query("SELECT o_orderkey, ['Январь','Февраль','Март','Апрель','Май','Июнь','Июль','Август','Сентябрь','Октябрь','Ноябрь','Декабрь'][month(o_orderdate)] AS month, year(o_orderdate) || 'Q' || quarter(o_orderdate) || '-' || ((month(o_orderdate) - 1) % 3 + 1) AS slug FROM orders")
 def quarter_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
     from scriptoria.functions.dates import site_publication

@@ -8,7 +8,6 @@ import zipfile
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.functions.labels import part_title
 from scriptoria.operators import enrich as E
 from scriptoria.operators import evidence, layout, normalize, segment
 from scriptoria.sources import docx
@@ -17,16 +16,6 @@ from .registering import query
 from .roles import table
 
 _P = segment.PARAGRAPH
-_INNER = (
-    "slug string, position int, documentTitle string, documentType string, author struct<name:string,slug:string,raw:string>, creation struct<date:string,year:int,raw:string>, "
-    "publication struct<volume:int,issue:string,date:string,rawDate:string,raw:string>, header array<string>, footerLines array<string>, bodyLines array<string>, label string, rawLabel string"
-)
-
-
-def _inner(spark: SparkSession, *rows: dict) -> DataFrame:
-    base = {"documentTitle": None, "documentType": "sermon", "author": (None, None, None), "creation": (None, None, None), "publication": (None,) * 5, "header": [], "footerLines": [], "bodyLines": [], "label": None, "rawLabel": None}
-    names = [c.split()[0] for c in "slug position documentTitle documentType author creation publication header footerLines bodyLines label rawLabel".split()]
-    return spark.createDataFrame([tuple((base | r).get(n) for n in names) for r in rows], _INNER)
 
 
 def _paragraphs(*lines: str) -> list:
@@ -92,12 +81,6 @@ def line_clusters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return layout.page_lines(items)
 
 
-@query("SELECT * FROM (VALUES (1, 'придуманным словом'), (2, 'Второй абзац.')) v(place, text)")
-def page_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
-    lines = [("d", 1, 0, 40.0, 200.0, 12.0, "придуман-"), ("d", 1, 1, 340.0, 350.0, 12.0, "ным словом"), ("d", 1, 1, 340.0, 300.0, 12.0, "Второй абзац.")]
-    return layout.paragraphs(spark.createDataFrame(lines, layout.LINE_SCHEMA)).select(F.col("place").cast("int").alias("place"), "text")
-
-
 @query("SELECT * FROM (VALUES ('d', 1, 'two-column'), ('d', 2, 'single-column')) v(doc, page, layout)")
 def page_layouts(spark: SparkSession, sf_dir: str) -> DataFrame:
     wide = [("d", 1, 600.0, 400.0, x, 350.0 - 10 * i, 20.0, 10.0, f"{side}-{i}") for i in range(30) for x, side in ((60.0, "left"), (360.0, "right"))]
@@ -141,30 +124,6 @@ def docx_reader(spark: SparkSession, sf_dir: str) -> DataFrame:
         segment.page_count(F.transform("footers", lambda p: p["text"])).alias("pages"), "error")
 
 
-@query("""SELECT * FROM (VALUES (1, 'Далекий Бог', 'Марк Л. Профет', 'mark-l-profet', false), (2, NULL, NULL, NULL, true), (3, 'Проповедь о самоосуждении', NULL, NULL, false), (4, 'Лекция «Приливы» (Часть I)', 'Элизабет Клэр Профет', 'elizabet-kler-profet', false),
-(5, 'Жизнь после смерти', NULL, NULL, false)) v(position, title, author, author_slug, needs)""")
-def needs_enrichment_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = _inner(
-        spark, {"slug": "s", "position": 1, "documentTitle": "Далекий Бог", "author": ("Марка Л. Профета", "marka-l-profeta", "Лекция Марка Л. Профета"), "header": ["Лекция Марка Л. Профета", "Далекий Бог"]},
-        {"slug": "s", "position": 2, "documentTitle": "(часть 1)", "header": ["Жемчужины Мудрости"]}, {"slug": "s", "position": 3, "header": ["Проповедь Э. К. Профет о самоосуждении"]},
-        {"slug": "s", "position": 4, "documentTitle": "(часть 1)", "documentType": "lecture", "author": ("Элизабет Клэр Профет", "elizabet-kler-profet", None), "header": ["Элизабет Клэр Профет", "Лекция «Приливы»", "(часть 1)"]},
-        {"slug": "s", "position": 5, "documentTitle": "«Жизнь после смерти»"})
-    gated = normalize.with_needs_enrichment(docs).select("position", F.col("needsEnrichment").alias("needs"))
-    ready = normalize.normalise(docs).select("position", F.col("documentTitle").alias("title"), F.col("author.name").alias("author"), F.col("author.slug").alias("author_slug"))
-    return ready.join(gated, "position")
-
-
-@query("""SELECT * FROM (VALUES (1, 'Настоящее имя лекции', NULL, NULL, NULL, 'changed'), (2, NULL, 'Элизабет Клэр Профет', NULL, NULL, 'changed'), (3, NULL, NULL, NULL, NULL, 'same'), (4, NULL, NULL, 5, '1980-01-01', 'changed'), (5, NULL, NULL, NULL, NULL, 'failed')) v(position, title, author, volume, date, outcome)""")
-def merge_metadata(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raw = "Том 5 № 10 – Кто-то – 1 января 1980 г."
-    docs = _inner(spark, *[{"slug": "s", "position": k, "header": [raw] if k == 4 else []} for k in range(1, 6)])
-    claim = f'{{"publication": {{"volume": 5, "issue": "10", "date": "1980-01-01", "rawDate": "1 января 1980 г.", "raw": "{raw}", "confidence": "high"}}}}'
-    records = [("s", 1, '{"documentTitle": "Настоящее имя лекции"}'), ("s", 2, '{"author": {"name": "Э. К. Профет", "raw": "Э. К. Профет", "confidence": "high"}}'), ("s", 3, claim), ("s", 4, claim)]
-    provider = E.table_provider(spark.createDataFrame(records, "slug string, position int, record string"))
-    out = E.enrich(docs, provider)
-    return out.select("position", F.col("documentTitle").alias("title"), F.col("author.name").alias("author"), F.col("publication.volume").alias("volume"), F.col("publication.date").alias("date"), "outcome")
-
-
 @query("""WITH j AS (SELECT d.doc_id, d.source, d.lang, CASE WHEN l.quality = 1 THEN 'en' ELSE d.lang END AS new_lang, l.doc_id IS NOT NULL AS asked FROM documents d LEFT JOIN labels l ON d.doc_id = l.doc_id)
 SELECT count_if(asked)::BIGINT AS asked, count_if(NOT asked)::BIGINT AS ready, count_if(lang IS DISTINCT FROM new_lang)::BIGINT AS changed, count(DISTINCT CASE WHEN lang IS DISTINCT FROM new_lang THEN source END)::BIGINT AS changed_issues FROM j""")
 def changed_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -185,9 +144,3 @@ def budgeted_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("SELECT b.item_id, d.doc_id FROM benchmark b JOIN documents d ON contains(d.text, b.text)")
 def evidence_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     return evidence.claims_in_texts(table(spark, sf_dir, "benchmark"), table(spark, sf_dir, "documents"), "item_id", "text", "doc_id", "text")
-
-
-@query("SELECT * FROM (VALUES (1, 'Часть II'), (2, NULL), (3, 'Часть II'), (4, NULL)) v(id, part)")
-def part_titles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = [(1, ["Январь 2020", "Второй семинар", "Часть II"], None), (2, ["Часть VII"], "Курс лекций (Часть VII)"), (3, ["Июль 2020", "Часть II"], "Второй семинар по психологии"), (4, ["Диктовка"], "Диктовка")]
-    return spark.createDataFrame(rows, "id int, header array<string>, title string").select("id", part_title(F.col("header"), F.col("title")).alias("part"))

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from scriptoria.functions import authors, dates, labels, publication, text
+from scriptoria.functions import dates, labels, publication, text
 from scriptoria.functions.jsregex import normal_spaces
 
 from .registering import query
@@ -26,16 +26,6 @@ def slugify(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "supplier").select("s_suppkey", text.slug_part(F.col("s_name")).alias("slug"))
 
 
-@query("SELECT * FROM (VALUES ('Щука & Жук_ёж', 'schuka-and-zhuk-ezh'), ('Элизабет', 'elizabet'), ('Объём 12', 'obem-12'), ('ЦЧШ юя', 'tschsh-yuya')) v(x, slug)")
-def translit_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(spark, "x string", ("Щука & Жук_ёж",), ("Элизабет",), ("Объём 12",), ("ЦЧШ юя",)).select("x", text.name_slug(F.col("x")).alias("slug"))
-
-
-@query("SELECT * FROM (VALUES ('«Жизнь»', 'Жизнь'), ('Лекция «Приливы»', 'Лекция «Приливы»'), (' \"a b\" ', 'a b'), ('„x“', 'x')) v(x, plain)")
-def strip_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _rows(spark, "x string", ("«Жизнь»",), ("Лекция «Приливы»",), (' "a b" ',), ("„x“",)).select("x", text.unquoted(F.col("x")).alias("plain"))
-
-
 @query("SELECT p_partkey, upper(substr(lower(p_name), 1, 1)) || substr(lower(p_name), 2) AS name FROM part")
 def capitalize_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select("p_partkey", text.capitalised(F.lower("p_name")).alias("name"))
@@ -62,14 +52,6 @@ def doc_type_case(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", "text").union(own).select("doc_id", publication.document_type(F.col("text")).alias("kind"))
 
 
-@query("""SELECT * FROM (VALUES (1, 'Марк Л. Профет', 'mark-l-profet', 'Лекция Марка Л. Профета'), (2, 'Элизабет Клэр Профет', 'elizabet-kler-profet', 'Элизабет Клэр Профет'), (3, 'Иисус Христос', 'iisus-hristos', 'Том 21 № 32 – Иисус Христос – 6 августа 1978 г.')) v(id, name, slug, raw)""")
-def author_precedence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _rows(
-        spark, "id int, header array<string>, pearl string", (1, ["Лекция Марка Л. Профета", "Далекий Бог"], None), (2, ["Октябрь 2019", "Элизабет Клэр Профет", "Лекция «Приливы»", "(часть 1)"], None),
-        (3, ["Лекция Э. К. Профет"], "Том 21 № 32 – Иисус Христос – 6 августа 1978 г."))
-    return rows.select("id", authors.extract_author(F.col("header"), F.array_join("header", "\n"), F.lit("x.doc"), F.col("pearl")).alias("a")).select("id", "a.name", "a.slug", "a.raw")
-
-
 @query(r"""SELECT doc_id, substr(trim(regexp_replace(coalesce(list_filter(string_split(text, chr(10)), lambda x: length(trim(x)) > 80)[1], source), '\s+', ' ', 'g')), 1, 180) AS description FROM documents""")
 def doc_description(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "documents").select("doc_id", text.description(F.split("text", "\n"), F.array("source")).alias("description"))
@@ -90,12 +72,6 @@ def url_slug(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "pages").select("page_id", labels.slug_of_href(F.col("url")).alias("slug"))
 
 
-@query("""SELECT * FROM (VALUES (1, 'a;c'), (2, ''), (3, ''), (4, 'x')) v(id, items)""")
-def json_string_array(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows = _rows(spark, "id int, j string", (1, '["a", {"text": "b"}, 3, "c", null]'), (2, '{"a": 1}'), (3, "bad"), (4, '["x"]'))
-    return rows.select("id", F.array_join(labels.strings_only(F.col("j")), ";").alias("items"))
-
-
 @query("SELECT event_id, (props::JSON->>'$.k')::BIGINT AS k FROM events")
 def json_props(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "events").select("event_id", F.from_json("props", "k long")["k"].alias("k"))

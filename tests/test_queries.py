@@ -71,3 +71,18 @@ def test_evidence_of_short_and_long_claims(spark):
     t = spark.createDataFrame([(i, x) for i, x in enumerate(texts)], "tk int, t string")
     got = {(r["ck"], r["tk"]) for r in claims_in_texts(c, t, "ck", "c", "tk", "t").collect()}
     assert got == {(i, j) for i, x in enumerate(claims) for j, y in enumerate(texts) if x and x.strip() and y and x in y}
+
+
+def test_evidence_in_a_very_long_word(spark):
+    import random
+
+    from scriptoria.operators.evidence import claims_in_texts
+
+    draw = random.Random(3)
+    token = "".join(draw.choice("abcdefgh0123+/") for _ in range(200_000))
+    texts = [f"head {token} tail", token[50_000:50_040], "short words only", token[:15] + " " + token[16:40]]
+    claims = [token[i : i + n] for i, n in ((0, 15), (1, 16), (14, 17), (15, 31), (16, 2), (31, 40), (99_999, 64), (199_990, 10), (50_010, 20))] + ["zz" + token[:20], token[10:20] + "zz", f"d {token[:9]}", f"{token[-9:]} t"]
+    c = spark.createDataFrame(list(enumerate(claims)), "ck int, c string")
+    t = spark.createDataFrame(list(enumerate(texts)), "tk int, t string")
+    got = {(r["ck"], r["tk"]) for r in claims_in_texts(c, t, "ck", "c", "tk", "t").collect()}
+    assert got == {(i, j) for i, x in enumerate(claims) for j, y in enumerate(texts) if x in y}
