@@ -65,11 +65,11 @@ def colocated_offline(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @query(f"""WITH {CONTAINERS}, {DOCUMENTS}
-SELECT c.slug, siteYear, string_agg(position || ':' || authorSlug, ',' ORDER BY position) AS children FROM c JOIN d ON c.slug = d.slug WHERE c.slug = (SELECT max(slug) FROM c WHERE siteYear = 1994) GROUP BY 1, 2""")
+SELECT c.slug, siteYear, string_agg(position || ':' || authorSlug, ',' ORDER BY position) AS children FROM c LEFT JOIN d ON c.slug = d.slug WHERE c.slug = (SELECT max(slug) FROM c WHERE siteYear = 1999) GROUP BY 1, 2""")
 def colocated_detail(spark: SparkSession, sf_dir: str) -> DataFrame:
     store = _store(spark, sf_dir)
-    slug = store.containers.where("siteYear = 1994").agg(F.max("slug")).first()[0]
-    return store.detail(1994, slug).select("slug", "siteYear", _children("authorSlug"))
+    slug = store.containers.where("siteYear = 1999").agg(F.max("slug")).first()[0]
+    return store.detail(1999, slug).select("slug", "siteYear", _children("authorSlug"))
 
 
 @query(f"WITH {CONTAINERS} SELECT count(*) AS n FROM c WHERE false")
