@@ -58,9 +58,14 @@ def page_paragraphs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _inner(spark: SparkSession, sf_dir: str, title: str, header: str, kind: str = "'sermon'", author: Column | None = None) -> DataFrame:
-    """One inner document of each order: a written table, so that the rules' plans hold columns and not what made them."""
+    """One inner document of each order: a written table, so that the rules' plans hold columns and not what made them.
+
+    Orders are dealt out first, at most 100,000 to a task: the rules cost far more than their rows' bytes, and a file of few row groups is few tasks.
+    """
+    orders = _orders(spark, sf_dir).select("k")
+    width = max(spark.sparkContext.defaultParallelism, -(-orders.count() // 100_000))
     empty, unknown = F.array().cast("array<string>"), lambda kind: F.from_json(F.lit("{}"), kind)
-    made = _orders(spark, sf_dir).select(
+    made = orders.repartition(width, "k").select(
         "k", F.col("k").cast("string").alias("slug"), F.lit(1).alias("position"), F.expr(title).alias("documentTitle"), F.expr(kind).alias("documentType"),
         (unknown(_ATTRIBUTED) if author is None else author.cast(_ATTRIBUTED)).alias("author"), unknown(_DATED).alias("creation"), unknown(_PUBLISHED).alias("publication"),
         _lines(F.expr(header)).alias("header"), empty.alias("footerLines"), empty.alias("bodyLines"), F.lit(None).cast("string").alias("label"), F.lit(None).cast("string").alias("rawLabel"))
@@ -77,9 +82,8 @@ def needs_enrichment_split(spark: SparkSession, sf_dir: str) -> DataFrame:
         spark, sf_dir, _pick([f"concat('Далекий Бог ', {_K})", "'(часть 1)'", _NULL, "'(часть 1)'", f"concat('«Жизнь после смерти ', {_K}, '»')"], "k"),
         _pick([f"concat('Лекция Марка Л. Профета|Далекий Бог ', {_K})", "'Жемчужины Мудрости'", f"concat('Проповедь Э. К. Профет о самоосуждении ', {_K})", f"concat('Элизабет Клэр Профет|Лекция «Приливы ', {_K}, '»|(часть 1)')", "''"], "k"),
         "CASE k % 5 WHEN 3 THEN 'lecture' ELSE 'sermon' END", author)
-    gated = normalize.with_needs_enrichment(docs).select("k", F.col("needsEnrichment").alias("needs"))
-    ready = normalize.normalise(docs).select("k", F.col("documentTitle").alias("title"), F.col("author.name").alias("author"), F.col("author.slug").alias("author_slug"))
-    return ready.join(gated, "k")
+    split = normalize.with_needs_enrichment(docs)
+    return split.select("k", F.col("readyTitle").alias("title"), F.col("readyAuthor.name").alias("author"), F.col("readyAuthor.slug").alias("author_slug"), F.col("needsEnrichment").alias("needs"))
 
 
 @query(f"""WITH {_ORDERS} SELECT k, CASE k % 5 WHEN 0 THEN 'Настоящее имя лекции ' || k END AS title, CASE k % 5 WHEN 1 THEN 'Элизабет Клэр Профет' END AS author, CASE k % 5 WHEN 3 THEN k::INT END AS volume,
